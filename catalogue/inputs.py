@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from tallyframe.contract import (
     CARD,
     CONFLICT,
+    MALFORMED_RULE,
+    MISSING_RULE,
     Band,
     Contract,
     Rule,
     Slot,
-    malformed_rule,
-    missing_rule,
 )
 
 YEARS = (2000, 1999, 1998, 1997, 1996, 1995)
@@ -31,7 +31,6 @@ def _account_contract() -> Contract:
     status = tuple(f"status_{n}" for n in range(1, 7))
     bills = tuple(f"bill_{n}" for n in range(1, 7))
     payments = tuple(f"pay_{n}" for n in range(1, 7))
-    integers = ("id", "limit_bal", *status, *bills, *payments)
     columns = ("id", "limit_bal", "segment", *status, *bills, *payments)
     return Contract(
         name="account",
@@ -40,8 +39,8 @@ def _account_contract() -> Contract:
         id="id",
         limit="limit_bal",
         rules=(
-            malformed_rule(columns),
-            missing_rule(integers),
+            MISSING_RULE,
+            MALFORMED_RULE,
             Rule("invalid_account_id", "id <= 0"),
             Rule("nonpositive_limit", "limit_bal <= 0"),
             Rule("conflicting_account_id", CONFLICT),

@@ -16,7 +16,7 @@ from catalogue.inputs import (
     scratch_folder,
     table,
 )
-from tallyframe.contract import CARD, Contract, Rule
+from tallyframe.contract import CARD, MISSING, Contract, Rule
 from tallyframe.functions.expressions import broken_rules, guarded_ratio
 from tallyframe.operators import checks, gate, keyed, metrics, quality, reports, reshape
 from tallyframe.plans.publish import integrity_report, publish
@@ -148,7 +148,7 @@ def bronze_replay(spark, sf_dir):
         batch = quality.bronze_rows(
             _unique(spark, sf_dir), source, F.current_timestamp(), ACCOUNT
         )
-        tables.append_new(batch, stored, [quality.HASH], {"source_sha256": source})
+        tables.append_new(batch, stored, [quality.HASH], spark.table(stored))
         seen.append(F.struct(
             F.lit(n).alias("replays"),
             F.lit(spark.table(stored).count()).cast("long").alias("bronze_rows"),
@@ -294,7 +294,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "conflict_flag": conflict_flag,
     "reject_missing": lambda s, d: quality.type_rows(_unique(s, d), ACCOUNT)
-    .where(ACCOUNT.rules[1].fails_when)
+    .where(MISSING)
     .groupBy("segment")
     .agg(F.count(F.lit(1)).alias("rejected_rows")),
     "rule_domains": rule_domains,

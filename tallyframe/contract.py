@@ -14,7 +14,9 @@ from dataclasses import dataclass
 # Column that carries the text of a row with too many or too few fields.
 MALFORMED = "malformed_text"
 
-# Flag set by the conflict operator before the rules are evaluated.
+# Flags that the operators set before the rules are evaluated: an integer column
+# is NULL, and another distinct row has the same id.
+MISSING = "has_missing"
 CONFLICT = "id_conflict"
 
 
@@ -70,17 +72,10 @@ class Contract:
         return f"{measure}_{self.unit}"
 
 
-def malformed_rule(columns: tuple[str, ...]) -> Rule:
-    """Rows with surplus fields: the parser kept the text and filled every column.
-
-    Rows with too few fields have NULLs instead and fall under the missing rule.
-    """
-    filled = " AND ".join(f"raw.`{c}` IS NOT NULL" for c in columns)
-    return Rule("malformed_row", f"`{MALFORMED}` IS NOT NULL AND {filled}")
-
-
-def missing_rule(integers: tuple[str, ...]) -> Rule:
-    return Rule("missing_or_noninteger", " OR ".join(f"`{c}` IS NULL" for c in integers))
+# A row with surplus fields fills every column, so it needs a code of its own. A
+# row with too few fields has NULLs and is already named by the missing rule.
+MISSING_RULE = Rule("missing_or_noninteger", MISSING)
+MALFORMED_RULE = Rule("malformed_row", f"NOT {MISSING} AND {MALFORMED} IS NOT NULL")
 
 
 def _card() -> Contract:
@@ -100,8 +95,8 @@ def _card() -> Contract:
         id="ID",
         limit="LIMIT_BAL",
         rules=(
-            malformed_rule(columns),
-            missing_rule(columns),
+            MISSING_RULE,
+            MALFORMED_RULE,
             Rule("invalid_account_id", "ID <= 0"),
             Rule("nonpositive_credit_limit", "LIMIT_BAL <= 0"),
             Rule("age_out_of_range", "AGE NOT BETWEEN 18 AND 120"),

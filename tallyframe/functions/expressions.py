@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +26,10 @@ def strict_bigint(column: str) -> Column:
     return F.col(column).try_cast("bigint")
 
 
+def any_null(columns: tuple[str, ...]) -> Column:
+    return reduce(or_, [F.col(c).isNull() for c in columns])
+
+
 def broken_rules(rules: tuple[Rule, ...]) -> Column:
     """Codes of all broken rules in rule order, joined by ``|``; '' when none is."""
     codes = [F.when(F.expr(r.fails_when), F.lit(r.code)) for r in rules]

@@ -7,8 +7,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.contract import CARD, CONFLICT, MALFORMED, Contract
-from tallyframe.functions.expressions import broken_rules, row_fingerprint, strict_bigint
+from tallyframe.contract import CARD, CONFLICT, MALFORMED, MISSING, Contract
+from tallyframe.functions.expressions import any_null, broken_rules, row_fingerprint, strict_bigint
 from tallyframe.operators import keyed
 
 HASH = "record_hash"
@@ -48,7 +48,8 @@ def type_rows(unique: DataFrame, contract: Contract = CARD) -> DataFrame:
         F.col(c) if c in contract.text_columns else strict_bigint(c).alias(c)
         for c in contract.columns
     ]
-    return unique.select(HASH, COPIES, MALFORMED, F.struct(*contract.columns).alias("raw"), *typed)
+    rows = unique.select(HASH, COPIES, MALFORMED, F.struct(*contract.columns).alias("raw"), *typed)
+    return rows.withColumn(MISSING, any_null(contract.integers))
 
 
 def conflicting_ids(typed: DataFrame, contract: Contract = CARD) -> DataFrame:
@@ -87,7 +88,7 @@ def flag_conflicts(
 
 def apply_rules(flagged: DataFrame, contract: Contract = CARD) -> DataFrame:
     """Add the reason text; '' marks an accepted row."""
-    return flagged.withColumn(REASON, broken_rules(contract.rules)).drop(CONFLICT)
+    return flagged.withColumn(REASON, broken_rules(contract.rules)).drop(CONFLICT, MISSING)
 
 
 def check_rows(
@@ -98,17 +99,37 @@ def check_rows(
     return apply_rules(flag_conflicts(typed, contract, heavy_rows=heavy_rows), contract)
 
 
-def bronze_rows(unique: DataFrame, source_sha256: str, ingested_at, contract: Contract = CARD):
-    """Distinct raw rows with their lineage."""
+def bronze_rows(
+    unique: DataFrame, source_sha256: str, ingested_at, contract: Contract = CARD
+) -> DataFrame:
+    """Distinct raw rows with their lineage and the number of copies the source had."""
     return unique.select(
         *contract.columns,
         HASH,
         MALFORMED,
+        COPIES,
         F.lit(source_sha256).alias("source_sha256"),
         F.lit(ingested_at).alias("ingested_at"),
     )
 
 
+def decided_rows(checked: DataFrame, contract: Contract = CARD) -> DataFrame:
+    """What the later steps need of a checked batch, and no more.
+
+    Accepted rows keep the typed columns that silver is made of, rejected rows
+    their raw text; ``accepted`` tells them apart.
+    """
+    used = {contract.id, contract.limit}.union(*((s.status, s.bill, s.payment) for s in contract.slots))
+    rejected = F.col(REASON) != ""
+    return checked.select(
+        COPIES,
+        REASON,
+        *[c for c in contract.columns if c in used],
+        *[F.when(rejected, F.col(c)).alias(c) for c in (HASH, "raw", MALFORMED)],
+        (~rejected).alias("accepted"),
+    )
+
+
 def accepted_rows(checked: DataFrame, contract: Contract = CARD) -> DataFrame:
     return checked.where(F.col(REASON) == "").select(HASH, *contract.columns)
 

@@ -1,10 +1,10 @@
 """Publishing one full snapshot.
 
-The batch is evaluated once: distinct rows and checked rows are staged as
-tables next to the published ones, and everything after that is a narrow scan
-of a stage. Lost executors cost a rerun of their tasks; a lost driver leaves
-only partitions that no view shows, because the SUCCESS audit row comes last.
-One writer at a time.
+The source is read once: its distinct rows go to bronze, and from there on all
+steps read columnar tables. The checked batch is staged as a table as well, so
+the rules run once. Lost executors cost a rerun of their tasks; a lost driver
+leaves only partitions that no view shows, because the SUCCESS audit row comes
+last. One writer at a time.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.contract import CARD, MALFORMED, Contract
+from tallyframe.contract import CARD, Contract
 from tallyframe.operators import gate, keyed, quality, reshape
 from tallyframe.sources import tables
+from tallyframe.sources.snapshot import read_snapshot, require_digest, snapshot_digest
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_]*"
 
@@ -55,17 +56,38 @@ class _Stage:
             self._spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def _staged_check(stage: _Stage, raw: DataFrame, contract: Contract) -> DataFrame:
-    unique = stage.keep(quality.dedupe(quality.stamp(raw, contract)), "unique")
+def _store_raw(
+    stage: _Stage, raw: DataFrame, table: str, source_sha256: str, ingested_at, contract: Contract
+) -> DataFrame:
+    """Store the distinct rows in bronze; returns the rows of this batch.
+
+    The first batch of a source is written to its bronze partition and read
+    back from there. Any later one is staged and only its unseen rows are
+    appended, because nobody guarantees that it holds the same rows.
+    """
+    spark = raw.sparkSession
+
+    def stored() -> DataFrame:
+        return spark.table(table).where(F.col("source_sha256") == source_sha256)
+
+    unique = quality.dedupe(quality.stamp(raw, contract))
+    rows = quality.bronze_rows(unique, source_sha256, ingested_at, contract)
+    if stored().isEmpty():
+        tables.append(rows, table)
+        return stored()
+    rows = stage.keep(rows, "unique")
+    tables.append_new(rows, table, [quality.HASH], stored())
+    return rows
+
+
+def _check(stage: _Stage, unique: DataFrame, contract: Contract) -> DataFrame:
     typed = quality.type_rows(unique, contract)
     conflicts = stage.keep(quality.conflicting_ids(typed, contract), "conflicts")
     flagged = quality.flag_conflicts(
         typed, contract, conflicts, known_small=conflicts.count() <= keyed.BROADCAST_KEYS
     )
-    checked = quality.apply_rules(flagged, contract)
-    return stage.keep(
-        checked.withColumn("accepted", F.col(quality.REASON) == ""), "checked", "accepted"
-    )
+    decided = quality.decided_rows(quality.apply_rules(flagged, contract), contract)
+    return stage.keep(decided, "checked", "accepted")
 
 
 def publish(
@@ -98,21 +120,14 @@ def publish(
         )
 
     try:
-        checked = _staged_check(stage, raw, contract)
+        unique = _store_raw(
+            stage, raw, f"{namespace}.{tables.BRONZE}", source_sha256, started, contract
+        )
+        checked = _check(stage, unique, contract)
         observed = gate.batch_counts(checked, contract).first().asDict()
         expected_facts = observed.pop("monthly_rows")
         unique_rows = observed.pop("unique_rows")
         counts.update(observed)
-
-        tables.append_new(
-            quality.bronze_rows(
-                checked.select("raw.*", quality.HASH, MALFORMED),
-                source_sha256, started, contract,
-            ),
-            f"{namespace}.{tables.BRONZE}",
-            [quality.HASH],
-            {"source_sha256": source_sha256},
-        )
         rejected = quality.quarantined_rows(checked.where("NOT accepted"), source_sha256, started)
         tables.append(
             rejected.withColumn("run_id", F.lit(run_id)), f"{namespace}.{tables.QUARANTINE}"
@@ -122,7 +137,7 @@ def publish(
             counts["rejected_rows"], max_reject_rate,
         )
 
-        accepted = quality.accepted_rows(checked.where("accepted"), contract)
+        accepted = checked.where("accepted")
         dimension = reshape.accounts(accepted, run_id, contract)
         facts = reshape.repayments(accepted, run_id, contract, with_band=True)
         # Rebalancing sizes the files; the facts go to one folder per month, and AQE
@@ -144,6 +159,25 @@ def publish(
     return {"run_id": run_id, "status": "SUCCESS", **counts}
 
 
+def publish_file(
+    spark: SparkSession,
+    path: str,
+    namespace: str,
+    expected_sha256: str | None = None,
+    contract: Contract = CARD,
+    **options,
+) -> dict:
+    """Publish a CSV snapshot under its own identity, optionally a pinned one.
+
+    A snapshot whose bytes are not the pinned ones is refused before it is read.
+    """
+    identity = snapshot_digest(spark, path)
+    if expected_sha256 is not None:
+        require_digest(identity, expected_sha256)
+    raw = read_snapshot(spark, path, contract)
+    return publish(spark, raw, namespace, identity, contract=contract, **options)
+
+
 def integrity_report(spark: SparkSession, namespace: str) -> DataFrame:
     """Observed against expected counts of the current publication, one row per check."""
     ns = namespace

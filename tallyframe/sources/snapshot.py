@@ -73,30 +73,29 @@ def snapshot_digest(
 ) -> str:
     """64 hex digits that identify a snapshot.
 
-    One file: its own digest. Several: a hash tree over (file name, digest) -
-    file lists of up to 4096 groups, then the list of groups - so that no
-    aggregation holds the list of all files.
+    One file: its own digest. Several: a hash tree over (file name, digest,
+    copies). The entries are spread evenly over 4096 slices, each slice becomes
+    one hash, and the last step sees 4096 of them at most, so no task holds
+    the list of all files.
     """
-    named = file_digests(spark, path, whole_file_bytes=whole_file_bytes).select(
-        F.substring_index("path", "/", -1).alias("name"), "digest"
+    entries = (
+        file_digests(spark, path, whole_file_bytes=whole_file_bytes)
+        .groupBy(F.substring_index("path", "/", -1).alias("name"), "digest")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("entry", F.concat_ws(" ", "digest", "copies", "name"))
     )
-    entry = F.concat_ws(" ", "name", "digest")
-    groups = named.groupBy(F.substring(F.sha2("name", 256), 1, 3).alias("slice")).agg(
-        F.count(F.lit(1)).alias("files"),
-        F.max("digest").alias("only"),
-        F.sha2(F.array_join(F.array_sort(F.collect_list(entry)), "\n"), 256).alias("node"),
+
+    def node(column):
+        return F.sha2(F.array_join(F.array_sort(F.collect_list(column)), "\n"), 256).alias("node")
+
+    slices = entries.groupBy(F.substring(F.sha2("entry", 256), 1, 3)).agg(
+        F.sum("copies").alias("files"), F.max("digest").alias("only"), node("entry")
     )
-    root = groups.agg(
-        F.sum("files").alias("files"),
-        F.max("only").alias("only"),
-        F.sha2(
-            F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "slice", "node"))), "\n"),
-            256,
-        ).alias("node"),
-    ).first()
-    if not root.files:
+    root = slices.agg(F.sum("files").alias("files"), F.max("only").alias("only"), node("node"))
+    found = root.first()
+    if not found.files:
         raise ValueError("The snapshot has no files")
-    return root.only if root.files == 1 else root.node
+    return found.only if found.files == 1 else found.node
 
 
 def require_digest(actual: str, expected: str) -> str:

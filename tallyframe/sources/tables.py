@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyframe.contract import CARD, MALFORMED, Contract
 from tallyframe.operators import metrics
@@ -24,11 +25,15 @@ RUNS = "pipeline_runs"
 
 def _layout(contract: Contract) -> dict[str, tuple[str, tuple[str, ...]]]:
     raw = ", ".join(f"`{c}` STRING" for c in contract.columns)
-    lineage = f"{MALFORMED} STRING, source_sha256 STRING, ingested_at TIMESTAMP"
+    lineage = "source_sha256 STRING, ingested_at TIMESTAMP"
     return {
-        BRONZE: (f"{raw}, record_hash STRING, {lineage}", ("source_sha256",)),
+        BRONZE: (
+            f"{raw}, record_hash STRING, {MALFORMED} STRING, copies BIGINT, {lineage}",
+            ("source_sha256",),
+        ),
         QUARANTINE: (
-            f"record_hash STRING, {raw}, {lineage}, rejection_reason STRING, run_id STRING",
+            f"record_hash STRING, {raw}, {MALFORMED} STRING, {lineage}, "
+            "rejection_reason STRING, run_id STRING",
             ("run_id",),
         ),
         ACCOUNTS: (
@@ -95,7 +100,10 @@ def install(
         where = f" LOCATION '{root}/{table}'" if root else ""
         if root and partitions:
             # The folder must exist before its partitions can be looked for.
-            empty = spark.createDataFrame([], columns)
+            fields = StructType.fromDDL(columns).fields
+            empty = spark.range(0, 0, 1, 1).select(
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+            )
             empty.write.mode("append").partitionBy(*partitions).parquet(f"{root}/{table}")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{split}{where}")
         if root and partitions:
@@ -111,18 +119,14 @@ def append(rows: DataFrame, table: str) -> None:
     rows.select(*spark.table(table).columns).write.mode("append").insertInto(table)
 
 
-def append_new(rows: DataFrame, table: str, keys: list[str], within: dict[str, str]) -> None:
-    """Append the rows whose keys are not in the table yet; a replay appends nothing.
+def append_new(rows: DataFrame, table: str, keys: list[str], present: DataFrame) -> None:
+    """Append the rows whose keys are not in ``present``; a replay appends nothing.
 
-    Only the partition named by ``within`` is read, and only its keys. The
-    first batch of a source finds that partition empty and needs no join.
+    The keys are compared first. Whole rows move only when some are new.
     """
-    present = rows.sparkSession.table(table)
-    for column, value in within.items():
-        present = present.where(F.col(column) == value)
-    if not present.isEmpty():
-        rows = rows.join(present.select(*keys), keys, "left_anti")
-    append(rows, table)
+    present = present.select(*keys)
+    if not rows.select(*keys).join(present, keys, "left_anti").isEmpty():
+        append(rows.join(present, keys, "left_anti"), table)
 
 
 def record_run(
