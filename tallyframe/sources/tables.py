@@ -87,10 +87,11 @@ def install(
 ) -> None:
     """Create the schema, the empty tables and the reader views where absent.
 
-    With ``root`` the schema and its tables live under that shared folder and a
-    new session finds what earlier ones wrote there.
+    With ``root`` the tables live under that shared folder and a new session
+    finds what earlier ones wrote there. The schema's own location holds only
+    the stages of running batches, so dropping the schema loses no data.
     """
-    place = f" LOCATION '{root}'" if root else ""
+    place = f" LOCATION '{root}/stages'" if root else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}{place}")
     for table, (columns, partitions) in _layout(contract).items():
         name = f"{namespace}.{table}"
