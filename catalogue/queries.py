@@ -33,7 +33,7 @@ REJECT_RATE = 0.5
 
 
 def _unique(spark, sf_dir):
-    return quality.dedupe(quality.stamp(acct_raw(spark, sf_dir), ACCOUNT))
+    return quality.unique_rows(acct_raw(spark, sf_dir), ACCOUNT)
 
 
 def _checked(spark, sf_dir):

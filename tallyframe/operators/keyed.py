@@ -9,8 +9,8 @@ carry the answer back to the rows:
   can be that large, so this list is bounded and is broadcast;
 * all other keys: shuffle join, no task sees more than ``heavy_rows`` rows of
   one key. Rows already settled by the broadcast, and rows with a NULL key,
-  take a hash of the whole row as second join key, so that they do not meet in
-  one task either.
+  take a hash of the row as second join key, so that they do not meet in one
+  task either.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ def mark_rows(
     found: DataFrame,
     flag: str,
     *,
+    spread: list[str] | None = None,
     heavy_rows: int = HEAVY_ROWS,
     known_small: bool = False,
 ) -> DataFrame:
@@ -45,8 +46,9 @@ def mark_rows(
 
     ``found`` has the key columns, ``n`` (rows of that key in ``rows``) and
     ``hit``; it must contain every key with more than ``heavy_rows`` rows. NULL
-    keys never match. ``known_small`` says that ``found`` was counted and has
-    at most BROADCAST_KEYS rows.
+    keys never match. ``spread`` names the columns that tell rows of one key
+    apart (default: all). ``known_small`` says that ``found`` was counted and
+    has at most BROADCAST_KEYS rows.
     """
     out = [*rows.columns, F.coalesce("__hit", F.lit(False)).alias(flag)]
     if known_small:
@@ -56,7 +58,7 @@ def mark_rows(
     # The second join key is a hash on both sides. A constant on the light side would
     # be folded into a filter, and the rows would be partitioned by the key alone.
     # The partition id keeps equal rows of different tasks apart, and a rerun repeats it.
-    of_key, of_row = F.xxhash64(*keys), F.xxhash64(*rows.columns, F.spark_partition_id())
+    of_key, of_row = F.xxhash64(*keys), F.xxhash64(*(spread or rows.columns), F.spark_partition_id())
     heavy = found.where(F.col("n") > heavy_rows).select(*keys, F.col("hit").alias("__heavy"))
     light = found.where((F.col("n") <= heavy_rows) & F.col("hit")).select(
         *keys, of_key.alias("__spread"), F.lit(True).alias("__light")

@@ -23,23 +23,33 @@ def require_columns(columns: list[str], contract: Contract) -> None:
         raise ValueError("Unexpected input schema: columns differ from the contract")
 
 
-def stamp(raw: DataFrame, contract: Contract = CARD) -> DataFrame:
-    """Contract columns as text, in contract order, with the row fingerprint."""
+def as_text(raw: DataFrame, contract: Contract = CARD) -> DataFrame:
+    """Contract columns as text, in contract order, and the malformed text or NULL."""
     require_columns(raw.columns, contract)
     text = [F.col(c).cast("string").alias(c) for c in contract.columns]
     malformed = F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(None)
-    rows = raw.select(*text, malformed.cast("string").alias(MALFORMED))
-    return rows.withColumn(HASH, row_fingerprint(rows.columns))
+    return raw.select(*text, malformed.cast("string").alias(MALFORMED))
 
 
-def dedupe(stamped: DataFrame) -> DataFrame:
-    """One row per distinct raw row, with the number of ``copies`` it had.
+def dedupe(rows: DataFrame) -> DataFrame:
+    """One row per distinct row, with the number of ``copies`` it had.
 
     Copies collapse before the shuffle, so a row repeated a billion times
     travels once per task; the raw row count is ``sum(copies)`` and needs no
     second scan and no accumulator.
     """
-    return stamped.groupBy(*stamped.columns).agg(F.count(F.lit(1)).alias(COPIES))
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(COPIES))
+
+
+def stamp(rows: DataFrame, contract: Contract = CARD) -> DataFrame:
+    """Add the row fingerprint. Equal rows have equal ones, so it can follow the
+    deduplication: it does not travel, and plans that do not use it skip it."""
+    return rows.withColumn(HASH, row_fingerprint([*contract.columns, MALFORMED]))
+
+
+def unique_rows(raw: DataFrame, contract: Contract = CARD) -> DataFrame:
+    """Distinct raw rows as text with copies and fingerprint."""
+    return stamp(dedupe(as_text(raw, contract)), contract)
 
 
 def type_rows(unique: DataFrame, contract: Contract = CARD) -> DataFrame:
@@ -81,8 +91,11 @@ def flag_conflicts(
     """Flag every row of a conflicting id; a NULL id conflicts with nothing."""
     if conflicts is None:
         conflicts = conflicting_ids(typed, contract)
+    # Rows are spread by columns that the rules need anyway, so no other is kept for it.
     return keyed.mark_rows(
-        typed, [contract.id], conflicts, CONFLICT, heavy_rows=heavy_rows, known_small=known_small
+        typed, [contract.id], conflicts, CONFLICT,
+        spread=[contract.limit, *(s.status for s in contract.slots)],
+        heavy_rows=heavy_rows, known_small=known_small,
     )
 
 
@@ -95,7 +108,7 @@ def check_rows(
     raw: DataFrame, contract: Contract = CARD, *, heavy_rows: int = keyed.HEAVY_ROWS
 ) -> DataFrame:
     """All quality steps as one lazy plan."""
-    typed = type_rows(dedupe(stamp(raw, contract)), contract)
+    typed = type_rows(unique_rows(raw, contract), contract)
     return apply_rules(flag_conflicts(typed, contract, heavy_rows=heavy_rows), contract)
 
 
@@ -154,7 +167,7 @@ def prepare(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Lazy (bronze, accepted, quarantine) frames of one snapshot."""
     ingested_at = ingested_at or datetime.now(timezone.utc)
-    bronze = bronze_rows(dedupe(stamp(raw, contract)), source_sha256, ingested_at, contract)
+    bronze = bronze_rows(unique_rows(raw, contract), source_sha256, ingested_at, contract)
     checked = check_rows(raw, contract)
     return (
         bronze,
