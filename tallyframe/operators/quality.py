@@ -91,10 +91,11 @@ def flag_conflicts(
     """Flag every row of a conflicting id; a NULL id conflicts with nothing."""
     if conflicts is None:
         conflicts = conflicting_ids(typed, contract)
-    # Rows are spread by columns that the rules need anyway, so no other is kept for it.
+    # Rows are spread by columns that the rules need anyway, so no other is kept for it,
+    # and by the copies, which the list of conflicting ids counts on being there.
     return keyed.mark_rows(
         typed, [contract.id], conflicts, CONFLICT,
-        spread=[contract.limit, *(s.status for s in contract.slots)],
+        spread=[COPIES, contract.limit, *(s.status for s in contract.slots)],
         heavy_rows=heavy_rows, known_small=known_small,
     )
 

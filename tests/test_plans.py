@@ -5,6 +5,7 @@ import uuid
 
 import pytest
 from conftest import card
+from pyspark.sql import functions as F
 
 from catalogue.queries import QUERIES
 from tallyframe import publish
@@ -29,8 +30,9 @@ def published(spark, tmp_path_factory):
     return ns
 
 
-def test_deduplication_runs_once_for_rows_and_conflicts(spark):
-    frame = QUERIES["quarantine_rows"](spark, SF)
+@pytest.mark.parametrize("name", ["quarantine_rows", "gold_monthly", "run_counts"])
+def test_deduplication_runs_once_for_rows_and_conflicts(spark, name):
+    frame = QUERIES[name](spark, SF)
     final = plan(frame).split("== Initial Plan ==")[0]
     # Orders and customers are each scanned once although three branches need them.
     assert final.count("FileScan parquet") == 2
@@ -57,3 +59,13 @@ def test_the_latest_month_prunes_the_other_months(spark, published):
     formatted = frame._jdf.queryExecution().toString()
     filters = re.findall(r"PartitionFilters: \[([^\n]*)\]", formatted)
     assert any("month" in f and "run_id" in f for f in filters)
+
+
+def test_facts_are_not_squeezed_into_one_task_per_month_without_aqe(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        facts = QUERIES["silver_repayments"](spark, SF).hint("rebalance", F.col("month"))
+        text = facts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "hashpartitioning(month" not in text
