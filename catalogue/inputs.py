@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.contract import (
@@ -99,7 +99,7 @@ def _every(n: int):
     return F.col("idn") % n == 0
 
 
-def _text(column) -> F.Column:
+def _text(column: Column) -> Column:
     return F.coalesce(column, F.lit(0)).cast("string")
 
 

@@ -41,28 +41,34 @@ def file_digests(
     """(path, digest) of every file of a snapshot.
 
     Up to ``whole_file_bytes`` the digest is the SHA-256 of the file's bytes.
-    Beyond, it is the SHA-256 of the row count and eight sums over the 32-bit
-    words of the rows' SHA-256: the file is split over tasks, the sums combine
-    before the shuffle, and the row order does not matter.
+    Beyond, it is the SHA-256 of the row count and of four sums over 32-bit
+    words, which come from the two halves of each row's SHA-256: the file is
+    split over tasks, the sums combine before the shuffle, and the row order
+    does not matter.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     # The length filter reaches the source, which then skips the content of larger files.
     whole = files.where(F.col("length") <= whole_file_bytes).select(
         "path", F.sha2("content", 256).alias("digest")
     )
-    words = [
-        F.sum(F.conv(F.substring("h", 1 + 8 * w, 8), 16, 10).cast("decimal(20,0)")).cast("string")
-        for w in range(8)
-    ]
-    by_row = (
+    halves = [F.xxhash64(F.substring("h", start, 32)) for start in (1, 33)]
+    words = [w for h in halves for w in (h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32))]
+    blocks = (
         spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path)
         .where(F.col("_metadata.file_size") > whole_file_bytes)
         .select(
             F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
             F.sha2(F.col("value").cast("binary"), 256).alias("h"),
         )
-        .groupBy("path")
-        .agg(F.concat_ws("|", F.count(F.lit(1)).cast("string"), *words).alias("sums"))
+        .groupBy("path", "block")
+        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(v).alias(f"w{w}") for w, v in enumerate(words)])
+    )
+    # A block is too small to overflow BIGINT; the whole file may not be.
+    totals = [F.sum(F.col(f"w{w}").cast("decimal(20,0)")).cast("string") for w in range(4)]
+    by_row = (
+        blocks.groupBy("path")
+        .agg(F.concat_ws("|", F.sum("n").cast("string"), *totals).alias("sums"))
         .select("path", F.sha2("sums", 256).alias("digest"))
     )
     return whole.unionByName(by_row)
