@@ -25,6 +25,7 @@ HEADLINES = (
     "conflict_flag", "conflict_keys", "ri_orphans", "monthly_ship_trend", "segment_alerts",
     "report_monthly", "segments_latest_month", "rejection_triage", "integrity_report",
     "monthly_from_wide", "reconcile_monthly", "card_monthly", "card_alerts",
+    "snapshot_csv",
 )
 
 

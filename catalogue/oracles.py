@@ -322,6 +322,12 @@ ORACLES: dict[str, str] = {
     "review_alerts": f"{_ACCT_GOLD} SELECT * FROM alerts WHERE alert_status = 'REVIEW'",
     "rejection_triage": f"""{_ACCT} SELECT rejection_reason, count(*) AS rejected_rows
         FROM acct_checked WHERE rejection_reason <> '' GROUP BY 1""",
+    "published_bronze": f"""{_ACCT} SELECT {_ACCT_LIST}, copies,
+        sha256('{{' || {_JSON} || '}}') AS record_hash FROM acct_unique""",
+    "published_accounts": f"{_ACCT} SELECT * FROM acct_dim",
+    "published_repayments": f"{_ACCT} SELECT * FROM acct_fact",
+    "published_segments": f"{_ACCT_GOLD} SELECT * FROM segments",
+    "published_alerts": f"{_ACCT_GOLD} SELECT * FROM alerts",
     "grain_violations": f"""{_ACCT} SELECT account_id, month, count(*) AS copies
         FROM acct_fact GROUP BY ALL HAVING count(*) > 1""",
     "grain_violations_events": """

@@ -338,6 +338,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rejection_triage": _view(
         "quarantine_records", lambda v: reports.rejection_triage(v).drop("run_id")
     ),
+    "published_bronze": _view(
+        "bronze_records", lambda v: v.select(*ACCOUNT.columns, "record_hash", "copies")
+    ),
+    "published_accounts": _view("silver_accounts", lambda v: v.drop("run_id")),
+    "published_repayments": _view("silver_repayments", lambda v: v.drop("run_id")),
+    "published_segments": _view("gold_segments", lambda v: v),
+    "published_alerts": _view("gold_alerts", lambda v: v),
     "grain_violations": _view(
         "silver_repayments", lambda v: checks.grain_violations(v, ["account_id", "month"])
     ),

@@ -20,6 +20,13 @@ MISSING = "has_missing"
 CONFLICT = "id_conflict"
 
 
+# Columns that the operators add next to those of a contract.
+RESERVED = {
+    MALFORMED, MISSING, CONFLICT, "raw", "record_hash", "copies", "accepted",
+    "rejection_reason", "source_sha256", "ingested_at", "run_id",
+}
+
+
 @dataclass(frozen=True)
 class Rule:
     """A reason code and the SQL predicate over typed columns that raises it.
@@ -63,6 +70,19 @@ class Contract:
     delayed_from: int = 2
     undocumented: tuple[int, ...] = (-2, 0)
 
+    def __post_init__(self):
+        own = set(self.columns)
+        used = {self.id, self.limit, *self.text_columns}
+        used.update(*((s.status, s.bill, s.payment) for s in self.slots))
+        if len(own) != len(self.columns) or len({r.code for r in self.rules}) != len(self.rules):
+            raise ValueError(f"Contract {self.name}: a column or reason code is repeated")
+        if used - own:
+            raise ValueError(f"Contract {self.name}: unknown columns {sorted(used - own)}")
+        if own & RESERVED:
+            raise ValueError(f"Contract {self.name}: reserved columns {sorted(own & RESERVED)}")
+        if [b.below for b in self.bands].index(None) != len(self.bands) - 1:
+            raise ValueError(f"Contract {self.name}: only the last band is open")
+
     @property
     def integers(self) -> tuple[str, ...]:
         return tuple(c for c in self.columns if c not in self.text_columns)
