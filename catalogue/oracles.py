@@ -267,6 +267,7 @@ ORACLES: dict[str, str] = {
     "silver_repayments": f"{_ACCT} SELECT *, 'run-1' AS run_id FROM acct_fact",
     "gold_monthly": f"{_ACCT_GOLD} SELECT * FROM monthly",
     "gold_segments": f"{_ACCT_GOLD} SELECT * FROM segments",
+    "gold_segments_joined": f"{_ACCT_GOLD} SELECT * FROM segments",
     "gold_alerts": f"{_ACCT_GOLD} SELECT * FROM alerts",
     "segment_alerts": f"""
         WITH rates AS (

@@ -316,6 +316,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_repayments": _facts,
     "gold_monthly": _monthly,
     "gold_segments": lambda s, d: metrics.segments(
+        reshape.repayments(_accepted(s, d), RUN, ACCOUNT, with_band=True), None, ACCOUNT
+    ),
+    "gold_segments_joined": lambda s, d: metrics.segments(
         *reversed(reshape.build_silver(_accepted(s, d), RUN, ACCOUNT)), ACCOUNT
     ),
     "gold_alerts": lambda s, d: metrics.alerts(_monthly(s, d), 1.0),

@@ -79,12 +79,19 @@ def monthly(facts: DataFrame, contract: Contract = CARD) -> DataFrame:
     return facts.sparkSession.sql(monthly_text("{facts}", contract), facts=facts)
 
 
-def segments(facts: DataFrame, dimension: DataFrame, contract: Contract = CARD) -> DataFrame:
-    """Accounts, bills and delay rate per month and limit band."""
-    banded = facts.join(
-        dimension.select("account_id", "run_id", "limit_band"), ["account_id", "run_id"]
-    )
-    return facts.sparkSession.sql(segment_text("{banded}", contract), banded=banded)
+def segments(
+    facts: DataFrame, dimension: DataFrame | None = None, contract: Contract = CARD
+) -> DataFrame:
+    """Accounts, bills and delay rate per month and limit band.
+
+    Facts built ``with_band`` need no dimension and no join. Others get the band
+    by their account: an account has one fact per month (the grain check), so
+    no key of that join is hot.
+    """
+    if dimension is not None:
+        bands = dimension.select("account_id", "run_id", "limit_band")
+        facts = facts.join(bands, ["account_id", "run_id"])
+    return facts.sparkSession.sql(segment_text("{facts}", contract), facts=facts)
 
 
 def alerts(

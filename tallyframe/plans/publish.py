@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.contract import CARD, Contract
 from tallyframe.operators import gate, keyed, quality, reshape
+from tallyframe.plans.sizing import sized_for, source_bytes
 from tallyframe.sources import tables
 from tallyframe.sources.snapshot import read_snapshot, require_digest, snapshot_digest
 
@@ -129,8 +130,10 @@ def publish(
         unique_rows = observed.pop("unique_rows")
         counts.update(observed)
         rejected = quality.quarantined_rows(checked.where("NOT accepted"), source_sha256, started)
+        # Rebalancing sizes the files here and below, whatever the stage's files are like.
         tables.append(
-            rejected.withColumn("run_id", F.lit(run_id)), f"{namespace}.{tables.QUARANTINE}"
+            rejected.withColumn("run_id", F.lit(run_id)).hint("rebalance", F.col(quality.HASH)),
+            f"{namespace}.{tables.QUARANTINE}",
         )
         gate.check_gate(
             counts["raw_rows"], unique_rows, counts["accepted_accounts"],
@@ -140,8 +143,8 @@ def publish(
         accepted = checked.where("accepted")
         dimension = reshape.accounts(accepted, run_id, contract)
         facts = reshape.repayments(accepted, run_id, contract, with_band=True)
-        # Rebalancing sizes the files; the facts go to one folder per month, and AQE
-        # splits a month over as many tasks as its size asks for.
+        # The facts go to one folder per month, and AQE splits a month over as many
+        # tasks as its size asks for.
         tables.append(
             dimension.hint("rebalance", F.col("account_id")), f"{namespace}.{tables.ACCOUNTS}"
         )
@@ -174,8 +177,9 @@ def publish_file(
     identity = snapshot_digest(spark, path)
     if expected_sha256 is not None:
         require_digest(identity, expected_sha256)
-    raw = read_snapshot(spark, path, contract)
-    return publish(spark, raw, namespace, identity, contract=contract, **options)
+    with sized_for(spark, source_bytes(spark, path)):
+        raw = read_snapshot(spark, path, contract)
+        return publish(spark, raw, namespace, identity, contract=contract, **options)
 
 
 def integrity_report(spark: SparkSession, namespace: str) -> DataFrame:

@@ -17,22 +17,27 @@ def read_snapshot(
 ) -> DataFrame:
     """Every column as text, in contract order; nothing is inferred.
 
-    The schema is bound in the order of the file's own header, and every file
-    of the snapshot must have that header. ``keep_malformed`` adds the text of
+    The snapshot is every file below ``path``, the same files as its digest
+    covers. The schema is bound in the order of the file's own header, and
+    every file must have that header. ``keep_malformed`` adds the text of
     rows with too many or too few fields, so that a long row is rejected
     instead of silently cut; without it surplus fields are dropped.
     """
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+
+    def reader():
+        return spark.read.option("header", True).option("recursiveFileLookup", True)
+
+    header = reader().option("inferSchema", False).csv(path).columns
     if sorted(header) != sorted(contract.columns):
         raise ValueError("Input schema mismatch: the header is not the contract's column set")
     schema = ", ".join(f"`{c}` STRING" for c in header)
     wanted = list(contract.columns)
-    reader = spark.read.option("header", True).option("enforceSchema", False)
+    bound = reader().option("enforceSchema", False)
     if keep_malformed:
         schema += f", `{MALFORMED}` STRING"
         wanted.append(MALFORMED)
-        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
-    return reader.schema(schema).csv(path).select(*wanted)
+        bound = bound.option("columnNameOfCorruptRecord", MALFORMED)
+    return bound.schema(schema).csv(path).select(*wanted)
 
 
 def file_digests(

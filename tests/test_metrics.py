@@ -15,6 +15,7 @@ from tallyframe import (
     segments,
 )
 from tallyframe.operators import reports
+from tallyframe.operators.reshape import repayments
 
 # Recorded delay rates of six months and the changes that follow from them.
 RECORDED = [
@@ -87,13 +88,15 @@ def test_monthly_columns_and_values(silver):
 
 
 def test_segments_add_up_to_the_month(silver):
-    _, dimension, facts = silver
+    accepted, dimension, facts = silver
     found = segments(facts, dimension)
     assert found.dtypes == [
         ("month", "date"), ("limit_band", "string"), ("accounts", "bigint"),
         ("positive_bill_ntd", "bigint"), ("delayed_accounts", "bigint"),
         ("delayed_account_rate", "double"),
     ]
+    carried = segments(repayments(accepted, "r", with_band=True))
+    assert rows_of(carried, "*") == rows_of(found, "*")
     rolled = found.groupBy("month").sum("accounts", "positive_bill_ntd", "delayed_accounts")
     expected = monthly(facts).select("month", "accounts", "positive_bill_ntd", "delayed_accounts")
     assert rows_of(rolled, "*") == rows_of(expected, "*")

@@ -49,6 +49,16 @@ def test_a_second_file_with_another_column_order_is_refused(spark, tmp_path):
         read_snapshot(spark, str(tmp_path)).collect()
 
 
+def test_files_in_folders_below_belong_to_the_snapshot(spark, tmp_path):
+    write(tmp_path / "a.csv", line())
+    (tmp_path / "day=1").mkdir()
+    write(tmp_path / "day=1" / "b.csv", line(ID="2"))
+    (tmp_path / "_SUCCESS").write_text("")
+    frame = read_snapshot(spark, str(tmp_path))
+    assert rows_of(frame, "ID") == [("1",), ("2",)]
+    assert file_digests(spark, str(tmp_path)).count() == 2
+
+
 def test_rows_with_surplus_or_missing_fields_are_rejected(spark, tmp_path):
     path = write(
         tmp_path / "a.csv", line(), line(ID="2") + ",surplus", "3,100000", line(ID="4"),
