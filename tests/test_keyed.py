@@ -1,5 +1,7 @@
 import pytest
 from conftest import rows_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyframe.operators import keyed
@@ -72,3 +74,23 @@ def test_the_hot_key_does_not_meet_in_one_partition(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "__spread" in [ln for ln in plan.splitlines() if "Exchange hashpartitioning(k" in ln][0]
     assert largest < 900  # 1200 such rows over four partitions
+
+
+@settings(max_examples=15, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(
+    keys=st.lists(st.one_of(st.none(), st.integers(0, 6)), min_size=1, max_size=40),
+    parents=st.sets(st.integers(0, 6)),
+    heavy_rows=st.integers(1, 8),
+)
+def test_any_keys(spark, keys, parents, heavy_rows):
+    rows = spark.createDataFrame([(k,) for k in keys], "k int")
+    marked = keyed.mark_repeated(rows, ["k"], "again", heavy_rows=heavy_rows)
+    assert sorted((str(r.k), r.again) for r in marked.collect()) == sorted(
+        (str(k), k is not None and keys.count(k) > 1) for k in keys
+    )
+    known = spark.createDataFrame([(p,) for p in parents], "k int")
+    lost = keyed.rows_without_match(rows, ["k"], known, heavy_rows=heavy_rows)
+    assert sorted(str(r.k) for r in lost.collect()) == sorted(
+        str(k) for k in keys if k not in parents
+    )

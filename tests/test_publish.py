@@ -132,6 +132,23 @@ def test_a_break_at_any_step_stays_invisible(spark, place, batch, monkeypatch, b
     assert spark.table(f"{ns}.bronze_records").where(f"source_sha256 = '{'b' * 64}'").count() == 4
 
 
+def test_a_part_left_by_a_dead_writer_is_completed(spark, place, batch):
+    ns, root = place
+    publish(spark, batch, ns, SHA, 0.9, root=root)
+    part = spark.table(f"{ns}.bronze_records").drop("source_sha256").limit(2)
+    part.write.parquet(f"{root}/{tables.BRONZE}/source_sha256={'b' * 64}")
+    publish(spark, batch, ns, "b" * 64, 0.9)
+    hashes = spark.table(f"{ns}.bronze_records").where(f"source_sha256 = '{'b' * 64}'")
+    assert hashes.count() == hashes.select("record_hash").distinct().count() == 5
+
+
+def test_an_empty_batch_is_refused(spark, place, batch):
+    ns, root = place
+    with pytest.raises(ValueError, match="No usable input"):
+        publish(spark, batch.limit(0), ns, SHA, 1.0, root=root)
+    assert spark.table(f"{ns}.pipeline_runs").first().raw_rows == 0
+
+
 def test_facts_that_do_not_add_up_block_publication(spark, place, batch, monkeypatch):
     ns, root = place
     whole = tables.append
