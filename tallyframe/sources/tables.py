@@ -99,13 +99,8 @@ def install(
             continue
         split = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
         where = f" LOCATION '{root}/{table}'" if root else ""
-        if root and partitions:
-            # The folder must exist before its partitions can be looked for.
-            fields = StructType.fromDDL(columns).fields
-            empty = spark.range(0, 0, 1, 1).select(
-                *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
-            )
-            empty.write.mode("append").partitionBy(*partitions).parquet(f"{root}/{table}")
+        if root:
+            _make_folder(spark, columns, partitions, f"{root}/{table}")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{split}{where}")
         if root and partitions:
             spark.catalog.recoverPartitions(name)
@@ -114,6 +109,16 @@ def install(
             spark.sql(f"CREATE VIEW IF NOT EXISTS {namespace}.{view} AS {text}")
 
 
+def _make_folder(spark: SparkSession, columns: str, partitions: tuple[str, ...], path: str):
+    """An empty append: the folder must exist before a table or its partitions are looked up."""
+    fields = StructType.fromDDL(columns).fields
+    empty = spark.range(0, 0, 1, 1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    )
+    writer = empty.write.mode("append")
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+
+
 def append(rows: DataFrame, table: str) -> None:
     """Append by position of the table's own columns."""
     spark = rows.sparkSession

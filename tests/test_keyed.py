@@ -64,6 +64,7 @@ def test_the_hot_key_does_not_meet_in_one_partition(spark):
     found = keyed.repeated_keys(rows, ["k"]).withColumn("hit", F.lit(True))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
     try:
         marked = keyed.mark_rows(rows, ["k"], found, "again", heavy_rows=50)
         plan = marked._jdf.queryExecution().executedPlan().toString()
@@ -72,6 +73,7 @@ def test_the_hot_key_does_not_meet_in_one_partition(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
     assert "__spread" in [ln for ln in plan.splitlines() if "Exchange hashpartitioning(k" in ln][0]
     assert largest < 900  # 1200 such rows over four partitions
 
