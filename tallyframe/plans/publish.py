@@ -40,10 +40,17 @@ def require_parameters(
 
 
 class _Stage:
-    """Intermediate tables of one run, dropped at its end."""
+    """Intermediate tables of one run, dropped at its end.
+
+    There is one writer at a time, so stages found at the start belong to
+    writers that died; they are dropped as well.
+    """
 
     def __init__(self, spark: SparkSession, namespace: str, run_id: str):
-        self._spark, self._prefix, self._names = spark, f"{namespace}.stage_{run_id}", []
+        self._spark, self._prefix = spark, f"{namespace}.stage_{run_id}"
+        found = spark.sql(f"SHOW TABLES IN {namespace} LIKE 'stage_*'").select("tableName")
+        self._names = [f"{namespace}.{r.tableName}" for r in found.collect()]
+        self.drop()
 
     def keep(self, rows: DataFrame, name: str, partition: str | None = None) -> DataFrame:
         table = f"{self._prefix}_{name}"
@@ -53,8 +60,8 @@ class _Stage:
         return self._spark.table(table)
 
     def drop(self) -> None:
-        for table in self._names:
-            self._spark.sql(f"DROP TABLE IF EXISTS {table}")
+        while self._names:
+            self._spark.sql(f"DROP TABLE IF EXISTS {self._names.pop()}")
 
 
 def _store_raw(

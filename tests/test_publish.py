@@ -244,3 +244,12 @@ def test_stages_are_dropped_when_a_step_fails(spark, place, batch, monkeypatch):
     with pytest.raises(RuntimeError):
         publish(spark, batch, ns, SHA, root=root)
     assert [t.name for t in spark.catalog.listTables(ns) if t.name.startswith("stage_")] == []
+
+
+def test_stages_of_dead_writers_are_dropped(spark, place, batch):
+    ns, root = place
+    publish(spark, batch, ns, SHA, 0.9, root=root)
+    spark.range(3).write.saveAsTable(f"{ns}.stage_dead_unique")
+    publish(spark, batch, ns, SHA, 0.9)
+    assert [t.name for t in spark.catalog.listTables(ns) if t.name.startswith("stage_")] == []
+    assert counts(spark, ns)[4:] == (2, 12)
