@@ -20,43 +20,55 @@ def accounts(accepted: DataFrame, run_id: str, contract: Contract = CARD) -> Dat
     )
 
 
-def repayments(
-    accepted: DataFrame, run_id: str, contract: Contract = CARD, *, with_band: bool = False
-) -> DataFrame:
-    """One row per account and slot, unfolded in place without a shuffle.
-
-    ``with_band`` also carries the account's limit band, so that segment
-    metrics over the stored facts need no join with the dimension.
-    """
-    bill, payment = contract.money("bill"), contract.money("payment")
+def unfold(accepted: DataFrame, contract: Contract = CARD) -> DataFrame:
+    """One narrow row per account and slot, made in place without a shuffle."""
     slots = [
         F.struct(
             F.lit(s.month).cast("date").alias("month"),
             F.col(s.status).alias("repayment_status"),
-            F.col(s.bill).alias(bill),
-            F.col(s.payment).alias(payment),
+            F.col(s.bill).alias(contract.money("bill")),
+            F.col(s.payment).alias(contract.money("payment")),
         )
         for s in contract.slots
     ]
-    keep = [F.col(contract.id).alias("account_id")]
-    tail = [F.lit(run_id).alias("run_id")]
-    if with_band:
-        keep.append(banded(F.col(contract.limit), contract.bands).alias("limit_band"))
-        tail.append(F.col("limit_band"))
-    status = F.col("repayment_status")
-    return accepted.select(*keep, F.inline(F.array(*slots))).select(
+    return accepted.select(
+        F.col(contract.id).alias("account_id"),
+        F.col(contract.limit).alias("limit"),
+        F.inline(F.array(*slots)),
+    )
+
+
+def facts(
+    unfolded: DataFrame, run_id: str, contract: Contract = CARD, *, with_band: bool = False
+) -> DataFrame:
+    """Add what follows from the unfolded columns.
+
+    ``with_band`` also carries the account's limit band, so that segment
+    metrics over the stored facts need no join with the dimension.
+    """
+    bill, status = F.col(contract.money("bill")), F.col("repayment_status")
+    band = [banded(F.col("limit"), contract.bands).alias("limit_band")] if with_band else []
+    return unfolded.select(
         "account_id",
         "month",
         status,
         bill,
-        payment,
-        F.greatest(F.col(bill), F.lit(0).cast("long")).alias(contract.money("positive_bill")),
+        contract.money("payment"),
+        F.greatest(bill, F.lit(0).cast("long")).alias(contract.money("positive_bill")),
         (status >= contract.delayed_from).alias("delayed_2plus"),
         status.isin(*contract.undocumented).alias("status_not_documented"),
-        *tail,
+        F.lit(run_id).alias("run_id"),
+        *band,
     )
 
 
+def repayments(
+    accepted: DataFrame, run_id: str, contract: Contract = CARD, *, with_band: bool = False
+) -> DataFrame:
+    """The period facts of accepted rows."""
+    return facts(unfold(accepted, contract), run_id, contract, with_band=with_band)
+
+
 def build_silver(
     accepted: DataFrame, run_id: str, contract: Contract = CARD
 ) -> tuple[DataFrame, DataFrame]:

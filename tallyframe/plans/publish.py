@@ -17,7 +17,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.contract import CARD, Contract
+from tallyframe.contract import CARD, MALFORMED, Contract
 from tallyframe.operators import gate, keyed, quality, reshape
 from tallyframe.plans.sizing import sized_for, source_bytes
 from tallyframe.sources import tables
@@ -93,7 +93,8 @@ def _store_raw(
 
 def _check(stage: _Stage, unique: DataFrame, contract: Contract) -> DataFrame:
     typed = quality.type_rows(unique, contract)
-    conflicts = stage.keep(quality.conflicting_ids(typed, contract), "conflicts")
+    repeated = keyed.repeated_keys(typed, [contract.id]).withColumn("hit", F.lit(True))
+    conflicts = stage.keep(repeated, "conflicts")
     flagged = quality.flag_conflicts(
         typed, contract, conflicts, known_small=conflicts.count() <= keyed.BROADCAST_KEYS
     )
@@ -139,10 +140,14 @@ def publish(
         expected_facts = observed.pop("monthly_rows")
         unique_rows = observed.pop("unique_rows")
         counts.update(observed)
-        rejected = quality.quarantined_rows(checked.where("NOT accepted"), source_sha256, started)
-        # Rebalancing sizes the files here and below, whatever the stage's files are like.
+        # Rebalancing sizes the files here and below. It moves the columns that nothing else
+        # gives; constants and derived columns are added behind it.
+        rejected = checked.where("NOT accepted").select(
+            quality.HASH, "raw", MALFORMED, quality.REASON
+        ).hint("rebalance", F.col(quality.HASH))
         tables.append(
-            rejected.withColumn("run_id", F.lit(run_id)).hint("rebalance", F.col(quality.HASH)),
+            quality.quarantined_rows(rejected, source_sha256, started)
+            .withColumn("run_id", F.lit(run_id)),
             f"{namespace}.{tables.QUARANTINE}",
         )
         gate.check_gate(
@@ -151,15 +156,16 @@ def publish(
         )
 
         accepted = checked.where("accepted")
-        dimension = reshape.accounts(accepted, run_id, contract)
-        facts = reshape.repayments(accepted, run_id, contract, with_band=True)
-        # The facts go to one folder per month, and AQE splits a month over as many
-        # tasks as its size asks for.
+        limits = accepted.select(contract.id, contract.limit)
         tables.append(
-            dimension.hint("rebalance", F.col("account_id")), f"{namespace}.{tables.ACCOUNTS}"
+            reshape.accounts(limits.hint("rebalance", F.col(contract.id)), run_id, contract),
+            f"{namespace}.{tables.ACCOUNTS}",
         )
+        # The facts go to one folder per month, and AQE splits a month over as many
+        # tasks as its size asks for.
+        unfolded = reshape.unfold(accepted, contract).hint("rebalance", F.col("month"))
         stored = f"{namespace}.{tables.REPAYMENTS}"
-        tables.append(facts.hint("rebalance", F.col("month")), stored)
+        tables.append(reshape.facts(unfolded, run_id, contract, with_band=True), stored)
         counts["monthly_rows"] = spark.table(stored).where(F.col("run_id") == run_id).count()
         if counts["monthly_rows"] != expected_facts:
             raise ValueError("Account-month reconciliation failed")
