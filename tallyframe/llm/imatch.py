@@ -22,9 +22,9 @@ from .scratch import Scratch
 
 #: Shares of the documents that a lexicon term is found in.
 BAND = (0.0005, 0.2)
-PARTS = 32
+PARTS = 64
 #: Each draw takes the terms whose hash ends in so many zero bits.
-DRAWS = (0, 2, 4)
+DRAWS = (0, 3)
 #: Ranges of ids in which documents get their follower, at least; more if they would hold more text than that.
 RANGES = 200
 RANGE_BYTES = 256 << 20

@@ -1,6 +1,6 @@
 """Toxicity: a convolutional text classifier in numpy, with thresholds by language.
 
-Words are hashed into a table of embeddings. Filters of several widths slide
+Words and their beginnings are hashed into a table of embeddings and summed. Filters of several widths slide
 over them; the largest value of each filter over the whole text goes through a
 logistic layer. Training is by Adam on a bounded sample of labelled rows. The
 logit is then calibrated on rows that were not trained on, and each language
@@ -18,16 +18,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .words import BY_LETTER, sliced
+from .words import BY_LETTER, mixed, sliced
 
-SLOTS = 1 << 15
-DIMENSION = 12
+SLOTS = 1 << 18
+DIMENSION = 8
+#: Bytes of the word beginnings that have embeddings of their own.
+STEMS = (4, 5, 6)
 WIDTHS = (1, 2, 3)
-FILTERS = 12
-EPOCHS = 14
-BATCH = 32
+FILTERS = 8
+EPOCHS = 6
+BATCH = 16
+#: Evidence that a word has by chance.
+CHANCE = 2.5
+RATE = 0.003
+RATE_WORDS = 0.02
 #: The classifier is fitted on at most this many labelled rows, and calibrated on at most as many.
-SAMPLE = 4000
+SAMPLE = 6000
 #: Score from which on a document is toxic, unless its language's calibration says otherwise.
 THRESHOLD = 0.7
 #: Clean calibration rows of a language that its threshold may reject.
@@ -48,16 +54,34 @@ class Net(NamedTuple):
 
 
 def slots(texts: pa.Array) -> list[np.ndarray]:
-    """The table slots of each text's words, A-Z folded; a text without words has one of its own."""
+    """Of each text's words, A-Z folded, the table slots of the word and of its beginnings (0 where there is none).
+
+    So inflected forms share something with their stem. A text without words
+    has one word without slots.
+    """
     out: list[np.ndarray] = []
-    for batch, words in sliced(pa.RecordBatch.from_arrays([texts], ["text"]), "text", BY_LETTER):
-        hashed = (words.hashes(fold=True) % np.uint64(SLOTS - 1) + np.uint64(1)).astype(np.int32)
-        out += [hashed[a:b] if b > a else np.zeros(1, dtype=np.int32) for a, b in zip(words.first[:-1], words.first[1:])]
+    for _, words in sliced(pa.RecordBatch.from_arrays([texts], ["text"]), "text", BY_LETTER):
+        rows = np.zeros((len(words.starts), 1 + len(STEMS)), dtype=np.int32)
+        rows[:, 0] = words.hashes(fold=True) % np.uint64(SLOTS - 1) + np.uint64(1)
+        for column, size in enumerate(STEMS, 1):
+            stems = words._replace(ends=np.minimum(words.ends, words.starts + size)).hashes(fold=True)
+            longer = words.ends - words.starts > size
+            rows[longer, column] = mixed(stems[longer] + np.uint64(size)) % np.uint64(SLOTS - 1) + np.uint64(1)
+        none = np.zeros((1, 1 + len(STEMS)), dtype=np.int32)
+        out += [rows[a:b] if b > a else none for a, b in zip(words.first[:-1], words.first[1:])]
     return out
 
 
 def _padded(ids: np.ndarray) -> np.ndarray:
-    return np.concatenate((ids, np.zeros(max(WIDTHS) - 1, dtype=ids.dtype)))
+    return np.concatenate((ids, np.zeros((max(WIDTHS) - 1, ids.shape[1]), dtype=ids.dtype)))
+
+
+def _embedded(net: Net, ids: np.ndarray) -> np.ndarray:
+    """The sum of the embeddings of each word's slots."""
+    out = net.table[ids[:, 0]]
+    for column in range(1, ids.shape[1]):
+        out += net.table[ids[:, column]]
+    return out
 
 
 def _pooled(net: Net, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +91,7 @@ def _pooled(net: Net, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.zeros(len(net.weights), dtype=np.int64)
     step = 8192
     for lo in range(0, n, step):
-        words = net.table[ids[lo : lo + step + max(WIDTHS) - 1]]
+        words = _embedded(net, ids[lo : lo + step + max(WIDTHS) - 1])
         count, column = min(step, n - lo), 0
         for width, kernel, bias in zip(WIDTHS, net.filters, net.biases):
             value = words[:count] @ kernel[0]
@@ -89,41 +113,64 @@ def logits(net: Net, texts: list[np.ndarray]) -> np.ndarray:
     return np.maximum(pooled, 0) @ net.weights + net.bias[0]
 
 
+def _evidence(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Signed root of the likelihood ratio between a slot's share of positive and of negative rows.
+
+    A word of one row says little, one of many rows of a kind says much.
+    """
+    ones, zeros = (np.zeros(SLOTS) for _ in range(2))
+    for ids, label in zip(texts, labels):
+        (ones if label else zeros)[np.unique(ids)] += 1
+    share = min(max(float(labels.mean()) if len(labels) else 0.5, 1e-6), 1 - 1e-6)
+    n = ones + zeros
+    ratio = sum(np.where(x > 0, x * np.log(np.maximum(x, 1) / np.maximum(n * part, 1e-9)), 0) for x, part in ((ones, share), (zeros, 1 - share)))
+    return np.where(ones > n * share, 1, -1) * np.sqrt(np.maximum(2 * ratio, 0))
+
+
 def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Net:
-    """A net trained on the texts; positive rows weigh as much as negative ones together."""
+    """A net trained on the texts; positive rows weigh as much as negative ones together.
+
+    The first coordinate of each embedding begins with what the rows say about
+    the word alone, the others near 0, so that unknown words are quiet.
+    """
     rng = np.random.Generator(np.random.PCG64(seed))
 
     def normal(*shape, scale):
         return (rng.standard_normal(shape) * scale).astype(np.float32)
 
-    net = Net(
-        normal(SLOTS, DIMENSION, scale=0.1),
-        [normal(w, DIMENSION, FILTERS, scale=1 / math.sqrt(w * DIMENSION)) for w in WIDTHS],
-        [np.zeros(FILTERS, dtype=np.float32) for _ in WIDTHS],
-        normal(FILTERS * len(WIDTHS), scale=0.3),
-        np.zeros(1, dtype=np.float32),
-    )
+    table = normal(SLOTS, DIMENSION, scale=0.02)
+    evidence = _evidence(texts, labels)
+    table[:, 0] = np.clip(np.sign(evidence) * np.maximum(np.abs(evidence) - CHANCE, 0), -8, 16) / 4
+    table[0] = 0
+    filters = [normal(w, DIMENSION, FILTERS, scale=0.1) for w in WIDTHS]
+    for kernel in filters:
+        kernel[0, 0] += 1
+        kernel[1:, 0] += 0.3
+    net = Net(table, filters, [np.zeros(FILTERS, dtype=np.float32) for _ in WIDTHS], np.full(FILTERS * len(WIDTHS), 0.05, dtype=np.float32), np.full(1, -2, dtype=np.float32))
     share = min(max(float(labels.mean()) if len(labels) else 0.5, 0.01), 0.99)
     gain = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
-    parameters = net.parameters()
-    first, second = ([np.zeros_like(p) for p in parameters] for _ in range(2))
+    dense = net.parameters()[1:]
+    first, second = ([np.zeros_like(p) for p in dense] for _ in range(2))
     step = 0
     for _ in range(EPOCHS):
         order = rng.permutation(len(texts))
         for lo in range(0, len(order), BATCH):
             rows, step = order[lo : lo + BATCH], step + 1
-            grads = [np.zeros_like(p) for p in parameters]
+            grads, words = [np.zeros_like(p) for p in dense], []
             for row in rows:
-                _gradients(net, texts[row], float(labels[row]), float(gain[row]) / len(rows), grads)
-            for p, g, m, v in zip(parameters, grads, first, second):
+                words.append(_gradients(net, texts[row], float(labels[row]), float(gain[row]) / len(rows), grads))
+            for ids, grad in words:
+                np.subtract.at(net.table, ids, RATE_WORDS * grad)
+            net.table[0] = 0
+            for p, g, m, v in zip(dense, grads, first, second):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
-                p -= 0.004 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+                p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
     return net
 
 
-def _gradients(net: Net, ids: np.ndarray, label: float, gain: float, grads: list[np.ndarray]) -> None:
-    """Adds one text's gradients; through the pooling they reach only the words of each maximum."""
+def _gradients(net: Net, ids: np.ndarray, label: float, gain: float, grads: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Adds one text's gradients; those of embeddings, which reach only the words of each maximum, are returned."""
     pooled, at = _pooled(net, ids)
     shown = np.maximum(pooled, 0)
     logit = float(shown @ net.weights + net.bias[0])
@@ -131,15 +178,17 @@ def _gradients(net: Net, ids: np.ndarray, label: float, gain: float, grads: list
     grads[-1][0] += error
     grads[-2] += error * shown
     back = error * net.weights * (pooled > 0)
-    ids, column = _padded(ids), 0
+    ids, column, touched, values = _padded(ids), 0, [], []
     for k, (width, kernel) in enumerate(zip(WIDTHS, net.filters)):
         own = slice(column, column + kernel.shape[2])
         column = own.stop
-        grads[1 + len(WIDTHS) + k] += back[own]
+        grads[len(WIDTHS) + k] += back[own]
         for j in range(width):
             words = ids[at[own] + j]
-            grads[1 + k][j] += net.table[words].T * back[own]
-            np.add.at(grads[0], words, (kernel[j] * back[own]).T)
+            grads[k][j] += _embedded(net, words).T * back[own]
+            touched.append(words.T.ravel())
+            values.append(np.tile((kernel[j] * back[own]).T, (words.shape[1], 1)))
+    return np.concatenate(touched), np.concatenate(values)
 
 
 def _calibrate(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
