@@ -66,28 +66,43 @@ def cents(column: str):
     return F.round(F.col(column) * 100).cast("bigint")
 
 
+def slotted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with its slot: the outer slots are open, and undated orders are in the last."""
+    year = F.year("o_orderdate")
+    slot = F.when(year >= YEARS[0], 1).when(year > YEARS[-1], YEARS[0] + 1 - year).otherwise(len(YEARS))
+    return table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderstatus", slot.alias("slot"), cents("o_totalprice").alias("c")
+    )
+
+
+def slot_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of the table and orders that reached a customer's slot: equal unless a customer is missing."""
+    there = slotted_orders(spark, sf_dir).groupBy("slot").agg(F.count(F.lit(1)).alias("orders_in_table"))
+    sums = [F.coalesce(F.sum(f"n_{n}"), F.lit(0)).alias(f"n_{n}") for n in range(1, len(YEARS) + 1)]
+    read = customer_years(spark, sf_dir).agg(*sums).select(
+        F.posexplode(F.array(*[f"n_{n}" for n in range(1, len(YEARS) + 1)])).alias("at", "orders_read")
+    )
+    read = read.select((F.col("at") + 1).alias("slot"), "orders_read")
+    return there.join(read, "slot").select("slot", "orders_in_table", "orders_read")
+
+
 def customer_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with order count, signed bill and payment of each slot year.
 
     Orders combine per customer before the shuffle, so a customer with a third
     of all orders sends one row per task.
     """
-    orders = table(spark, sf_dir, "orders").select(
-        "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("y"),
-        cents("o_totalprice").alias("c"),
-    )
+    orders = slotted_orders(spark, sf_dir)
     signed = F.when(F.col("o_orderstatus") == "F", -F.col("c")).otherwise(F.col("c"))
     per_slot = []
-    for n, year in enumerate(YEARS, start=1):
-        here = F.col("y") == year
+    for n in range(1, len(YEARS) + 1):
+        here = F.col("slot") == n
         per_slot += [
             F.count_if(here).alias(f"n_{n}"),
             F.sum(F.when(here, signed)).alias(f"bill_{n}"),
             F.sum(F.when(here & (F.col("o_orderstatus") == "P"), F.col("c"))).alias(f"pay_{n}"),
         ]
-    yearly = (
-        orders.where(F.col("y").between(YEARS[-1], YEARS[0])).groupBy("o_custkey").agg(*per_slot)
-    )
+    yearly = orders.groupBy("o_custkey").agg(*per_slot)
     customers = table(spark, sf_dir, "customer").select(
         "c_custkey", (F.col("c_custkey") + 1).alias("idn"),
         cents("c_acctbal").alias("balance"), "c_mktsegment",
@@ -183,9 +198,7 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="run-")
-        context.setCheckpointDir(shared)
-        shared = context.getCheckpointDir()
     return f"{shared.rstrip('/')}/{purpose}_{uuid.uuid4().hex}"

@@ -11,18 +11,22 @@ _CARD_STATUS = ("PAY_0", "PAY_2", "PAY_3", "PAY_4", "PAY_5", "PAY_6")
 
 
 def _each(pattern: str) -> str:
-    return ", ".join(pattern.format(n=n, year=2001 - n) for n in _SLOTS)
+    return ", ".join(pattern.format(n=n) for n in _SLOTS)
 
 
+# The outer slots are open, so that every order has one.
 _BASE = f"""
+slotted AS (
+  SELECT *, CASE WHEN year(o_orderdate) >= 2000 THEN 1 WHEN year(o_orderdate) > 1995 THEN 2001 - year(o_orderdate)
+    ELSE 6 END AS order_slot, CAST(order_slot AS INTEGER) AS slot FROM orders),
 yearly AS (
   SELECT o_custkey, {_each(
-      "count(*) FILTER (WHERE year(o_orderdate) = {year}) AS n_{n}, "
+      "count(*) FILTER (WHERE slot = {n}) AS n_{n}, "
       "sum(CASE WHEN o_orderstatus = 'F' THEN -1 ELSE 1 END * CAST(round(o_totalprice * 100) AS BIGINT))"
-      " FILTER (WHERE year(o_orderdate) = {year}) AS b_{n}, "
+      " FILTER (WHERE slot = {n}) AS b_{n}, "
       "sum(CAST(round(o_totalprice * 100) AS BIGINT))"
-      " FILTER (WHERE year(o_orderdate) = {year} AND o_orderstatus = 'P') AS p_{n}")}
-  FROM orders GROUP BY o_custkey),
+      " FILTER (WHERE slot = {n} AND o_orderstatus = 'P') AS p_{n}")}
+  FROM slotted GROUP BY o_custkey),
 base AS (
   SELECT c_custkey + 1 AS idn, CAST(round(c_acctbal * 100) AS BIGINT) AS balance, c_mktsegment,
     {_each(
@@ -225,11 +229,54 @@ ungated AS ({" UNION ALL ".join(
     f"WHERE {' AND '.join(f't_{c} IS NOT NULL' for c in _ACCT_INTEGERS)}" for n in _SLOTS)}),
 drift AS ({_monthly("ungated", "cents")})"""
 
+
+
+def _digest(hashes: str, copies: str, rest: str) -> str:
+    """The order-free digest of SHA-256 hashes, each counted so many times."""
+    words = ", ".join(
+        f"CAST(coalesce(sum(coalesce(CAST('0x' || substr({hashes}, {8 * n + 1}, 8) AS BIGINT), 0) * CAST({copies} AS HUGEINT)), 0) AS VARCHAR)"
+        for n in range(8)
+    )
+    return f"sha256(concat_ws('|', CAST(sum({copies}) AS VARCHAR), {words})) AS digest {rest}"
+
+
+def _json(columns: list[str]) -> str:
+    """The row as JSON without its NULL fields."""
+    fields = ", ".join(f"'\"{c}\":\"' || {c} || '\"'" for c in columns)
+    return f"'{{' || concat_ws(',', {fields}) || '}}'"
+
+
+# Rows of the derived accounts as CSV with the columns turned round: some long, some short.
+_DAMAGED = f"""{_ACCT},
+lined AS (SELECT *, TRY_CAST(id AS BIGINT) % 11 = 0 AS is_long,
+    TRY_CAST(id AS BIGINT) % 11 <> 0 AND TRY_CAST(id AS BIGINT) % 13 = 0 AS is_short FROM acct_raw),
+broken_raw AS (
+  SELECT is_long, {', '.join(
+    c if c in list(reversed(_ACCT_COLUMNS))[:3] else f"CASE WHEN NOT is_short THEN {c} END AS {c}" for c in _ACCT_COLUMNS)}
+  FROM lined),
+broken_unique AS (SELECT *, count(*) AS copies FROM broken_raw GROUP BY ALL),
+broken_typed AS (SELECT *, {_typing(_ACCT_COLUMNS, _ACCT_INTEGERS)} FROM broken_unique),
+broken_conflicts AS (SELECT t_id AS k FROM broken_typed WHERE t_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1),
+broken_checked AS (
+  SELECT *, concat_ws('|', {', '.join(f"CASE WHEN {t} THEN '{c}' END" for c, t in [
+    ("missing_or_noninteger", " OR ".join(f"t_{c} IS NULL" for c in _ACCT_INTEGERS)),
+    ("malformed_row", "is_long AND " + " AND ".join(f"t_{c} IS NOT NULL" for c in _ACCT_INTEGERS)),
+    ("invalid_account_id", "t_id <= 0"),
+    ("nonpositive_limit", "t_limit_bal <= 0"),
+    ("conflicting_account_id", "k IS NOT NULL"),
+    *[(f"invalid_status_{n}", f"t_status_{n} < -2 OR t_status_{n} > 9") for n in _SLOTS],
+    *[(f"negative_pay_{n}", f"t_pay_{n} < 0") for n in _SLOTS],
+  ])}) AS rejection_reason
+  FROM broken_typed LEFT JOIN broken_conflicts ON k = t_id)"""
+
 _LINE_KEYS = """
 WITH keys AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
   WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL)"""
 
 ORACLES: dict[str, str] = {
+    "slot_coverage": f"""WITH {_BASE}
+        SELECT slot, count(*) AS orders_in_table, count(c_custkey) AS orders_read
+        FROM slotted LEFT JOIN customer ON c_custkey = o_custkey GROUP BY slot""",
     "acct_raw_rows": f"{_ACCT} SELECT {_ACCT_LIST} FROM acct_raw",
     "bronze_hash": f"{_ACCT} SELECT id, sha256('{{' || {_JSON} || '}}') AS record_hash FROM acct_unique",
     "exact_dedup": f"{_ACCT} SELECT {_ACCT_LIST}, copies FROM acct_unique",
@@ -335,11 +382,11 @@ ORACLES: dict[str, str] = {
         SELECT user_id, event_type, CAST(date_trunc('day', ts) AS DATE) AS day, count(*) AS copies
         FROM events GROUP BY ALL HAVING count(*) > 1""",
     "ri_orphans": """
-        SELECT o_orderkey, o_custkey FROM orders
-        WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)""",
+        SELECT doc_id, source FROM documents d
+        WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "ri_orphan_count": """
-        SELECT count(*) AS orphans FROM orders
-        WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)""",
+        SELECT count(*) AS orphans FROM documents d
+        WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "monthly_from_wide": f"{_ACCT_GOLD} SELECT * FROM monthly",
     "reconcile_monthly": f"""{_ACCT_GOLD} SELECT {_MONTHLY_COLUMNS}, 'published' AS only_in
         FROM monthly WHERE false""",
@@ -356,7 +403,30 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT 'rejected_rows_of_run', rejected_rows FROM counts
           UNION ALL SELECT 'repeated_account_months', 0
           UNION ALL SELECT 'facts_without_account', 0)""",
+    "integrity_damaged": f"""{_ACCT}, {_COUNTS}
+        SELECT check_name, observed, expected, observed = expected AS passed FROM (
+          SELECT 'current_accounts' AS check_name, accepted_accounts AS observed, accepted_accounts AS expected FROM counts
+          UNION ALL SELECT 'current_account_months', monthly_rows + 7, monthly_rows FROM counts
+          UNION ALL SELECT 'bronze_rows_of_source', unique_rows, unique_rows FROM counts
+          UNION ALL SELECT 'rejected_rows_of_run', rejected_rows, rejected_rows FROM counts
+          UNION ALL SELECT 'repeated_account_months', 6, 0
+          UNION ALL SELECT 'facts_without_account', 1, 0)""",
+    "run_status": f"""{_ACCT}, {_COUNTS}, {_SPOILED}
+        SELECT true AS is_dated, CAST(32 AS INTEGER) AS id_length, 'SUCCESS' AS status, raw_rows, exact_duplicates,
+          rejected_rows, accepted_accounts, monthly_rows, 'Full snapshot published' AS message FROM counts
+        UNION ALL SELECT true, 32, 'FAILED', raw_rows, raw_rows - unique_rows, unique_rows, 0, 0,
+          'No usable input rows; publication blocked' FROM failed""",
     "snapshot_csv": f"{_ACCT} SELECT {_ACCT_LIST} FROM acct_raw",
+    "malformed_rows": f"""{_DAMAGED} SELECT rejection_reason, count(*) AS rows_found FROM broken_checked GROUP BY 1""",
+    "export_round_trip": f"""{_ACCT_GOLD} SELECT *, unnest(['csv', 'json']) AS kind FROM monthly""",
+    "snapshot_digests": f"""{_ACCT}, card_rows AS (
+          {_CARD.lstrip()} SELECT {', '.join(_CARD_COLUMNS)} FROM card_raw)
+        SELECT 'account' AS snapshot, {_digest("h", "1", f"FROM (SELECT sha256({_json(_ACCT_COLUMNS)}) AS h FROM acct_raw)")}
+        UNION ALL
+        SELECT 'card', {_digest("h", "1", f"FROM (SELECT sha256({_json(_CARD_COLUMNS)}) AS h FROM card_rows)")}""",
+    "text_digests": f"""SELECT lang, {_digest("sha256(text)", "1", "FROM documents GROUP BY lang")}""",
+    "pinned_snapshot": """
+        SELECT * FROM (VALUES ('same', 'accepted'), ('other_order', 'accepted'), ('one_repeated', 'refused')) t(tried, outcome)""",
     "card_rejection_reasons": f"""{_CARD} SELECT rejection_reason, count(*) AS rows_found
         FROM card_checked GROUP BY 1""",
     "card_quarantine_rows": f"""{_CARD} SELECT {', '.join(_CARD_COLUMNS)}, rejection_reason
@@ -365,6 +435,7 @@ ORACLES: dict[str, str] = {
     "card_repayments": f"{_CARD} SELECT *, 'run-1' AS run_id FROM card_fact",
     "card_monthly": f"{_CARD} SELECT * FROM monthly",
     "card_segments": f"{_CARD} SELECT * FROM segments",
+    "card_segments_joined": f"{_CARD} SELECT * FROM segments",
     "card_alerts": f"{_CARD} SELECT * FROM alerts",
     "card_published_trend": f"{_CARD} SELECT {_TREND_COLUMNS.replace('cents', 'ntd')} FROM monthly",
 }

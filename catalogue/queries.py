@@ -14,14 +14,16 @@ from catalogue.inputs import (
     cents,
     run_log,
     scratch_folder,
+    slot_coverage,
     table,
 )
 from tallyframe.contract import CARD, MISSING, Contract, Rule
-from tallyframe.functions.expressions import broken_rules, guarded_ratio
+from tallyframe.functions.expressions import broken_rules, digest_of, guarded_ratio
 from tallyframe.operators import checks, gate, keyed, metrics, quality, reports, reshape
 from tallyframe.plans.publish import integrity_report, publish
 from tallyframe.sources import tables
-from tallyframe.sources.snapshot import file_digests, read_snapshot, snapshot_digest
+from tallyframe.sources.export import write_csv, write_json
+from tallyframe.sources.snapshot import read_snapshot, require_digest
 
 RUN = "run-1"
 FAILED_SOURCE = "f" * 64
@@ -68,23 +70,25 @@ def _publish(
 ) -> str:
     """Publish the derived snapshot into a namespace of its own in the shared folder."""
     raw = (card_raw if contract is CARD else acct_raw)(spark, sf_dir)
-    source = FAILED_SOURCE
     if spoil:
         raw = raw.withColumn(contract.limit, F.lit("-1"))
-    else:
-        source = snapshot_digest(spark, f"{sf_dir}/customer.parquet")
     root = None
     if namespace is None:
         root = scratch_folder(spark, contract.name)
         namespace = root.rsplit("/", 1)[1]
+    else:
+        root = _roots[namespace]
+    _roots[namespace] = root
     try:
-        publish(spark, raw, namespace, source, REJECT_RATE, 1.0, contract, root)
+        # the identity comes from the rows, so it covers every table they are made of
+        publish(spark, raw, namespace, None, REJECT_RATE, 1.0, contract, root)
     except ValueError:
         if not spoil:
             raise
     return namespace
 
 
+_roots: dict[str, str] = {}
 _published: dict[tuple[str, str, str], str] = {}
 
 
@@ -141,7 +145,7 @@ def bronze_replay(spark, sf_dir):
     root = scratch_folder(spark, "bronze")
     ns = root.rsplit("/", 1)[1]
     tables.install(spark, ns, ACCOUNT, root)
-    source = snapshot_digest(spark, f"{sf_dir}/customer.parquet")
+    source = quality.snapshot_digest(_unique(spark, sf_dir)).first().digest
     stored = f"{ns}.{tables.BRONZE}"
     seen = []
     for n in (1, 2):
@@ -156,6 +160,30 @@ def bronze_replay(spark, sf_dir):
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*seen)))
 
 
+def run_status(spark, sf_dir):
+    """The status report of a refused and a published run, without what differs from run to run."""
+    ns = _publish(spark, sf_dir, ACCOUNT)
+    _publish(spark, sf_dir, ACCOUNT, ns, spoil=True)
+    newest_first = reports.run_status(spark.table(f"{ns}.pipeline_runs"))
+    return newest_first.select(
+        F.col("completed_at").isNotNull().alias("is_dated"), F.length("run_id").alias("id_length"),
+        "status", "raw_rows", "exact_duplicates", "rejected_rows", "accepted_accounts", "monthly_rows", "message",
+    )
+
+
+def integrity_damaged(spark, sf_dir):
+    """The integrity report of a namespace with a fact of each month stored twice and a lost account file."""
+    ns = _publish(spark, sf_dir, ACCOUNT)
+    facts = spark.table(f"{ns}.{tables.REPAYMENTS}")
+    again = facts.where(F.col("account_id") == facts.agg(F.min("account_id")).scalar())
+    # read whole before its own table is written
+    kept = spark.createDataFrame(again.collect(), again.schema)
+    tables.append(kept, f"{ns}.{tables.REPAYMENTS}")
+    stranger = kept.limit(1).withColumn("account_id", F.lit(-1).cast("long"))
+    tables.append(stranger, f"{ns}.{tables.REPAYMENTS}")
+    return integrity_report(spark, ns)
+
+
 def snapshot_csv(spark, sf_dir):
     """Write the snapshot as CSV parts with a header and read it back as text."""
     folder = scratch_folder(spark, "csv")
@@ -163,13 +191,70 @@ def snapshot_csv(spark, sf_dir):
     return read_snapshot(spark, folder, ACCOUNT).select(*ACCOUNT.columns)
 
 
+def malformed_rows(spark, sf_dir):
+    """Reasons of a CSV snapshot whose columns stand in another order, with long and short rows."""
+    folder = scratch_folder(spark, "malformed")
+    turned = list(reversed(ACCOUNT.columns))
+    number = F.col("id").try_cast("bigint")
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in turned])
+    long = F.concat(line, F.lit(",surplus"))
+    short = F.concat_ws(",", *turned[:3])
+    lines = acct_raw(spark, sf_dir).select(
+        F.when(number % 11 == 0, long).when(number % 13 == 0, short).otherwise(line).alias("value")
+    )
+    # every part begins with the header, whichever part it is
+    lines = lines.withColumn("part", F.spark_partition_id())
+    header = lines.select(F.lit(",".join(turned)).alias("value"), "part").distinct()
+    every = lines.withColumn("rank", F.lit(1)).unionByName(header.withColumn("rank", F.lit(0)))
+    every.repartition("part").sortWithinPartitions("part", "rank").select("value", "part").write.partitionBy("part").text(folder)
+    checked = quality.check_rows(read_snapshot(spark, folder, ACCOUNT), ACCOUNT)
+    return checked.groupBy(quality.REASON).agg(F.count(F.lit(1)).alias("rows_found"))
+
+
+def export_round_trip(spark, sf_dir):
+    """The monthly metrics, written as CSV and as JSON and read again."""
+    folder = scratch_folder(spark, "export")
+    monthly = _monthly(spark, sf_dir)
+    write_csv(monthly, f"{folder}/csv")
+    write_json(monthly, f"{folder}/json")
+    back = [
+        spark.read.schema(monthly.schema).option("header", True).csv(f"{folder}/csv"),
+        spark.read.schema(monthly.schema).json(f"{folder}/json"),
+    ]
+    return back[0].withColumn("kind", F.lit("csv")).unionByName(back[1].withColumn("kind", F.lit("json")))
+
+
 def snapshot_digests(spark, sf_dir):
-    names = ("customer", "orders", "lineitem", "events")
-    digests = [file_digests(spark, f"{sf_dir}/{n}.parquet") for n in names]
-    found = digests[0]
-    for more in digests[1:]:
-        found = found.unionByName(more)
-    return found.select(F.substring_index("path", "/", -1).alias("file"), "digest")
+    """The identities of both derived snapshots."""
+    found = [
+        quality.snapshot_digest(quality.unique_rows(raw(spark, sf_dir), contract)).select(F.lit(contract.name).alias("snapshot"), "digest")
+        for raw, contract in ((acct_raw, ACCOUNT), (card_raw, CARD))
+    ]
+    return found[0].unionByName(found[1])
+
+
+def text_digests(spark, sf_dir):
+    """One order-free digest of all texts of a language."""
+    return table(spark, sf_dir, "documents").groupBy("lang").agg(digest_of(F.sha2("text", 256)).alias("digest"))
+
+
+def pinned_snapshot(spark, sf_dir):
+    """Whether digests pin the accounts: their own, that of the rows in another order, that of changed rows."""
+    raw = acct_raw(spark, sf_dir)
+    pin = quality.snapshot_digest(quality.unique_rows(raw, ACCOUNT)).first().digest
+    tries = {
+        "same": raw,
+        "other_order": raw.orderBy(F.desc("id")),
+        "one_repeated": raw.unionAll(raw.orderBy("id", "limit_bal").limit(1)),
+    }
+    out = []
+    for name, rows in tries.items():
+        try:
+            require_digest(quality.snapshot_digest(quality.unique_rows(rows, ACCOUNT)).first().digest, pin)
+            out.append((name, "accepted"))
+        except ValueError:
+            out.append((name, "refused"))
+    return spark.createDataFrame(out, "tried string, outcome string")
 
 
 # --- rules, ratios and trends over the tables themselves --------------------
@@ -233,20 +318,18 @@ def ratio_null_guard(spark, sf_dir):
     )
 
 
-def ri_orphans(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return checks.orphans(orders, _solvent(spark, sf_dir), ["o_custkey"])
+def _labelled(spark, sf_dir):
+    return table(spark, sf_dir, "labels").select("doc_id")
 
 
-def _solvent(spark, sf_dir):
-    return table(spark, sf_dir, "customer").where("c_acctbal > 0").select(
-        F.col("c_custkey").alias("o_custkey")
-    )
+def ri_orphans(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return checks.orphans(docs, _labelled(spark, sf_dir), ["doc_id"])
 
 
 def ri_orphan_count(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_custkey")
-    return checks.orphan_count(orders, _solvent(spark, sf_dir), ["o_custkey"])
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return checks.orphan_count(docs, _labelled(spark, sf_dir), ["doc_id"])
 
 
 def grain_violations_events(spark, sf_dir):
@@ -286,6 +369,7 @@ def _run_counts(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "slot_coverage": slot_coverage,
     "acct_raw_rows": acct_raw,
     "bronze_hash": lambda s, d: _unique(s, d).select("id", quality.HASH),
     "exact_dedup": lambda s, d: _unique(s, d).select(*ACCOUNT.columns, quality.COPIES),
@@ -358,8 +442,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_monthly": reconcile_monthly,
     "reconcile_drift": reconcile_drift,
     "integrity_report": lambda s, d: integrity_report(s, _publication(s, d)),
+    "integrity_damaged": integrity_damaged,
+    "run_status": run_status,
     "snapshot_csv": snapshot_csv,
+    "malformed_rows": malformed_rows,
+    "export_round_trip": export_round_trip,
     "snapshot_digests": snapshot_digests,
+    "text_digests": text_digests,
+    "pinned_snapshot": pinned_snapshot,
     "card_rejection_reasons": lambda s, d: _card(s, d)
     .groupBy(quality.REASON)
     .agg(F.count(F.lit(1)).alias("rows_found")),
@@ -369,7 +459,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "card_accounts": lambda s, d: _card_silver(s, d)[0],
     "card_repayments": lambda s, d: _card_silver(s, d)[1],
     "card_monthly": lambda s, d: metrics.monthly(_card_silver(s, d)[1]),
-    "card_segments": lambda s, d: metrics.segments(*reversed(_card_silver(s, d))),
+    "card_segments": lambda s, d: metrics.segments(
+        reshape.repayments(quality.accepted_rows(_card(s, d), CARD), RUN, CARD, with_band=True), None, CARD
+    ),
+    "card_segments_joined": lambda s, d: metrics.segments(*reversed(_card_silver(s, d))),
     "card_alerts": lambda s, d: metrics.alerts(metrics.monthly(_card_silver(s, d)[1])),
     "card_published_trend": _view("gold_monthly", reports.monthly_trend, CARD),
 }

@@ -37,11 +37,15 @@ def report(spark: SparkSession, namespace: str) -> None:
     def view(name: str):
         return spark.table(f"{namespace}.{name}")
 
-    reports.monthly_trend(view("gold_monthly")).show(100, False)
-    reports.latest_month_concentration(view("gold_segments"), view("gold_monthly")).show(100, False)
-    reports.review_alerts(view("gold_alerts")).show(100, False)
-    reports.recent_runs(view("pipeline_runs")).show(20, False)
-    reports.rejection_triage(view("quarantine_records")).orderBy(F.desc("rejected_rows")).show()
+    for rows in (
+        reports.monthly_trend(view("gold_monthly")),
+        reports.latest_month_concentration(view("gold_segments"), view("gold_monthly")),
+        reports.review_alerts(view("gold_alerts")),
+        reports.run_status(view("pipeline_runs")),
+        reports.rejection_triage(view("quarantine_records")).orderBy("run_id", F.desc("rejected_rows"), "rejection_reason"),
+    ):
+        # grouped or limited by definition, so it is printed whole
+        rows.show(max(1, rows.count()), False)
 
 
 def main(given: list[str] | None = None) -> None:

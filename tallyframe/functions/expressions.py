@@ -48,3 +48,21 @@ def banded(column: Column, bands: tuple[Band, ...]) -> Column:
 def guarded_ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient as DOUBLE, NULL unless the denominator is positive."""
     return F.when(denominator > 0, numerator.cast("double") / denominator)
+
+
+def digest_of(hashes: Column, copies: Column | None = None) -> Column:
+    """Aggregate: SHA-256 of the number of rows and of order-free sums over their SHA-256 (64 hex digits).
+
+    The eight 32-bit words of each hash are added up, so the sums combine before
+    a shuffle, and neither the order of rows nor their split over files or
+    tasks matters. ``copies`` says how often a row counts. One definition for
+    every size; a NULL hash counts as zeros.
+    """
+    weight = F.lit(1) if copies is None else copies
+    weight = weight.cast("decimal(18,0)")
+    sums = [
+        F.coalesce(F.conv(F.substring(hashes, 8 * n + 1, 8), 16, 10).cast("decimal(10,0)"), F.lit(0)) * weight
+        for n in range(8)
+    ]
+    parts = [F.coalesce(F.sum(s.cast("decimal(28,0)")), F.lit(0)).cast("string") for s in [weight, *sums]]
+    return F.sha2(F.concat_ws("|", *parts), 256)

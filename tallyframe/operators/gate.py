@@ -12,6 +12,7 @@ from tallyframe.operators.quality import COPIES, REASON
 NO_ROWS = "No usable input rows; publication blocked"
 NOT_RECONCILED = "Input reconciliation failed"
 TOO_MANY_REJECTS = "Quarantine rate exceeds threshold; publication blocked"
+PASS = "PASS"
 
 
 def batch_counts(checked: DataFrame, contract: Contract = CARD) -> DataFrame:
@@ -28,35 +29,21 @@ def batch_counts(checked: DataFrame, contract: Contract = CARD) -> DataFrame:
     )
 
 
-def require_rate(max_reject_rate: float) -> None:
-    if not 0 <= max_reject_rate <= 1:
+def require_rate(rate: float) -> None:
+    if not 0 <= rate <= 1:
         raise ValueError("max_reject_rate must lie between 0 and 1")
 
 
-def check_gate(
-    raw_rows: int, unique_rows: int, accepted_rows: int, rejected_rows: int, max_reject_rate: float
-) -> None:
-    """Raise ValueError unless the batch may be published."""
-    require_rate(max_reject_rate)
-    if not (raw_rows and accepted_rows):
-        raise ValueError(NO_ROWS)
-    if unique_rows != accepted_rows + rejected_rows:
-        raise ValueError(NOT_RECONCILED)
-    if rejected_rows / unique_rows > max_reject_rate:
-        raise ValueError(TOO_MANY_REJECTS)
-
-
 def gate_outcomes(counts: DataFrame, max_reject_rates: list[float]) -> DataFrame:
-    """The same decision as a column, for several limits side by side."""
+    """Counts of batches with the outcome under each limit: PASS, or why publication is blocked."""
+    for rate in max_reject_rates:
+        require_rate(rate)
     limits = F.explode(F.array(*[F.lit(float(r)) for r in max_reject_rates]))
+    decided = F.col("accepted_accounts") + F.col("rejected_rows")
     outcome = (
-        F.when((F.col("raw_rows") == 0) | (F.col("accepted_accounts") == 0), NO_ROWS)
-        .when(
-            F.col("unique_rows") != F.col("accepted_accounts") + F.col("rejected_rows"),
-            NOT_RECONCILED,
-        )
-        .when(F.col("rejected_rows") / F.col("unique_rows") > F.col("max_reject_rate"),
-              TOO_MANY_REJECTS)
-        .otherwise("PASS")
+        F.when(F.least("raw_rows", "accepted_accounts") == 0, NO_ROWS)
+        .when(decided != F.col("unique_rows"), NOT_RECONCILED)
+        .when(F.col("rejected_rows") / F.col("unique_rows") > F.col("max_reject_rate"), TOO_MANY_REJECTS)
+        .otherwise(PASS)
     )
     return counts.select("*", limits.alias("max_reject_rate")).withColumn("outcome", outcome)

@@ -5,10 +5,11 @@ key nor a plain join on it is safe: both bring the whole group into one task.
 The operators here aggregate per key first (combined before the shuffle), then
 carry the answer back to the rows:
 
-* keys with more than ``heavy_rows`` rows: at most ``rows / heavy_rows`` keys
-  can be that large, so this list is bounded and is broadcast;
-* all other keys: shuffle join, no task sees more than ``heavy_rows`` rows of
-  one key. Rows already settled by the broadcast, and rows with a NULL key,
+* heavy keys, those with more than 1 / HEAVY_KEYS of the counted rows: there are
+  fewer than HEAVY_KEYS of them however large the table is, and they are
+  broadcast;
+* all other keys: shuffle join, no task sees more than 1 / HEAVY_KEYS of the rows
+  for one key. Rows already settled by the broadcast, and rows with a NULL key,
   take a hash of the row as second join key, so that they do not meet in one
   task either.
 """
@@ -21,10 +22,7 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# 10**12 rows give at most 10**6 heavy keys, some tens of MB as a broadcast table.
-HEAVY_ROWS = 1_000_000
-# Key lists up to this many rows are broadcast whole, once their size is known.
-BROADCAST_KEYS = 2_000_000
+HEAVY_KEYS = 1000
 
 
 def key_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -39,28 +37,25 @@ def mark_rows(
     flag: str,
     *,
     spread: list[str] | None = None,
-    heavy_rows: int = HEAVY_ROWS,
-    known_small: bool = False,
+    heavy_keys: int = HEAVY_KEYS,
 ) -> DataFrame:
     """Add boolean ``flag``: true where the row's key is in ``found`` with ``hit`` true.
 
     ``found`` has the key columns, ``n`` (rows of that key in ``rows``) and
-    ``hit``; it must contain every key with more than ``heavy_rows`` rows. NULL
-    keys never match. ``spread`` names the columns that tell rows of one key
-    apart (default: all). ``known_small`` says that ``found`` was counted and
-    has at most BROADCAST_KEYS rows.
+    ``hit``; keys that it lacks must have one row each at most. NULL keys never
+    match. ``spread`` names the columns that tell rows of one key apart
+    (default: all).
     """
     out = [*rows.columns, F.coalesce("__hit", F.lit(False)).alias(flag)]
-    if known_small:
-        hits = found.where("hit").select(*keys, F.lit(True).alias("__hit"))
-        return rows.join(F.broadcast(hits), keys, "left").select(*out)
+    counted = found.agg(F.sum("n")).scalar()
+    is_heavy = F.col("n") * F.lit(heavy_keys) > counted
 
     # The second join key is a hash on both sides. A constant on the light side would
     # be folded into a filter, and the rows would be partitioned by the key alone.
     # The partition id keeps equal rows of different tasks apart, and a rerun repeats it.
     of_key, of_row = F.xxhash64(*keys), F.xxhash64(*(spread or rows.columns), F.spark_partition_id())
-    heavy = found.where(F.col("n") > heavy_rows).select(*keys, F.col("hit").alias("__heavy"))
-    light = found.where((F.col("n") <= heavy_rows) & F.col("hit")).select(
+    heavy = found.where(is_heavy).select(*keys, F.col("hit").alias("__heavy"))
+    light = found.where(~is_heavy & F.col("hit")).select(
         *keys, of_key.alias("__spread"), F.lit(True).alias("__light")
     )
     settled = reduce(or_, [F.col(k).isNull() for k in keys], F.col("__heavy").isNotNull())
@@ -79,15 +74,15 @@ def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def mark_repeated(
-    rows: DataFrame, keys: list[str], flag: str, *, heavy_rows: int = HEAVY_ROWS
+    rows: DataFrame, keys: list[str], flag: str, *, heavy_keys: int = HEAVY_KEYS
 ) -> DataFrame:
     """Add boolean ``flag``: another row has the same key."""
     found = repeated_keys(rows, keys).withColumn("hit", F.lit(True))
-    return mark_rows(rows, keys, found, flag, heavy_rows=heavy_rows)
+    return mark_rows(rows, keys, found, flag, heavy_keys=heavy_keys)
 
 
 def rows_without_match(
-    rows: DataFrame, keys: list[str], parents: DataFrame, *, heavy_rows: int = HEAVY_ROWS
+    rows: DataFrame, keys: list[str], parents: DataFrame, *, heavy_keys: int = HEAVY_KEYS
 ) -> DataFrame:
     """Rows whose key is absent from ``parents`` (or NULL).
 
@@ -101,5 +96,5 @@ def rows_without_match(
         .select(*keys, "n", F.coalesce("__known", F.lit(False)).alias("hit"))
     )
     # A row is kept unless its key is known, so unmatched and NULL keys fall out alike.
-    marked = mark_rows(rows, keys, found, "__matched", heavy_rows=heavy_rows)
+    marked = mark_rows(rows, keys, found, "__matched", heavy_keys=heavy_keys)
     return marked.where(~F.col("__matched")).drop("__matched")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.contract import CARD, CONFLICT, MALFORMED, MISSING, Contract
-from tallyframe.functions.expressions import any_null, broken_rules, row_fingerprint, strict_bigint
+from tallyframe.functions.expressions import any_null, broken_rules, digest_of, row_fingerprint, strict_bigint
 from tallyframe.operators import keyed
 
 HASH = "record_hash"
@@ -52,6 +52,15 @@ def unique_rows(raw: DataFrame, contract: Contract = CARD) -> DataFrame:
     return stamp(dedupe(as_text(raw, contract)), contract)
 
 
+def snapshot_digest(unique: DataFrame) -> DataFrame:
+    """The identity of a snapshot, one row: a digest of its distinct rows and their copies.
+
+    Order, file layout and column order do not matter, a changed, added or
+    repeated row does. It needs the deduplicated rows only, not the source.
+    """
+    return unique.agg(digest_of(F.col(HASH), F.col(COPIES)).alias("digest"))
+
+
 def type_rows(unique: DataFrame, contract: Contract = CARD) -> DataFrame:
     """Typed columns at the top, the text they came from in the struct ``raw``."""
     typed = [
@@ -85,8 +94,7 @@ def flag_conflicts(
     contract: Contract = CARD,
     conflicts: DataFrame | None = None,
     *,
-    heavy_rows: int = keyed.HEAVY_ROWS,
-    known_small: bool = False,
+    heavy_keys: int = keyed.HEAVY_KEYS,
 ) -> DataFrame:
     """Flag every row of a conflicting id; a NULL id conflicts with nothing."""
     if conflicts is None:
@@ -96,7 +104,7 @@ def flag_conflicts(
     return keyed.mark_rows(
         typed, [contract.id], conflicts, CONFLICT,
         spread=[COPIES, contract.limit, *(s.status for s in contract.slots)],
-        heavy_rows=heavy_rows, known_small=known_small,
+        heavy_keys=heavy_keys,
     )
 
 
@@ -106,11 +114,11 @@ def apply_rules(flagged: DataFrame, contract: Contract = CARD) -> DataFrame:
 
 
 def check_rows(
-    raw: DataFrame, contract: Contract = CARD, *, heavy_rows: int = keyed.HEAVY_ROWS
+    raw: DataFrame, contract: Contract = CARD, *, heavy_keys: int = keyed.HEAVY_KEYS
 ) -> DataFrame:
     """All quality steps as one lazy plan."""
     typed = type_rows(unique_rows(raw, contract), contract)
-    return apply_rules(flag_conflicts(typed, contract, heavy_rows=heavy_rows), contract)
+    return apply_rules(flag_conflicts(typed, contract, heavy_keys=heavy_keys), contract)
 
 
 def bronze_rows(

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyframe.contract import CARD, Contract
 
+# The run that readers see: the latest SUCCESS, ties broken by run id; NULL without one.
+NEWEST_SUCCESS = "max_by(struct(*), struct(completed_at, run_id)) FILTER (WHERE status = 'SUCCESS')"
+
 
 def monthly_trend(gold_monthly: DataFrame, contract: Contract = CARD) -> DataFrame:
     return gold_monthly.select(
@@ -42,12 +45,17 @@ def recent_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
     return runs.orderBy(F.desc("completed_at"), F.desc("run_id")).limit(limit)
 
 
+def run_status(runs: DataFrame, limit: int = 20) -> DataFrame:
+    """What the newest runs took in and gave out; the same order as recent_runs."""
+    return recent_runs(runs, limit).select(
+        "run_id", "completed_at", "status", "raw_rows", "exact_duplicates", "rejected_rows",
+        "accepted_accounts", "monthly_rows", "message",
+    )
+
+
 def latest_success(runs: DataFrame) -> DataFrame:
     """The run that readers see: newest SUCCESS, ties broken by run id."""
-    newest = runs.where(F.col("status") == "SUCCESS").agg(
-        F.max(F.struct("completed_at", "run_id")).alias("newest")
-    )
-    return newest.where("newest IS NOT NULL").select("newest.run_id", "newest.completed_at")
+    return runs.agg(F.expr(NEWEST_SUCCESS).alias("run")).where("run IS NOT NULL").select("run.*")
 
 
 def rejection_triage(quarantine: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 """Publishing one full snapshot.
 
-The source is read once: its distinct rows go to bronze, and from there on all
-steps read columnar tables. The checked batch is staged as a table as well, so
-the rules run once. Lost executors cost a rerun of their tasks; a lost driver
-leaves only partitions that no view shows, because the SUCCESS audit row comes
-last. One writer at a time.
+The source is read once: its distinct rows are staged, and from there on all
+steps read columnar data. The rules run once, on the staged rows, and what the
+later steps need of them is staged at the size of their files, so that all
+that follows is map-only. Lost executors cost a rerun of their tasks; a lost
+driver leaves only partitions that no view shows, because the SUCCESS audit
+row comes last. One writer at a time.
 """
 
 from __future__ import annotations
@@ -12,170 +13,145 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.contract import CARD, MALFORMED, Contract
-from tallyframe.operators import gate, keyed, quality, reshape
+from tallyframe.operators import gate, quality, reshape
 from tallyframe.plans.sizing import sized_for, source_bytes
 from tallyframe.sources import tables
-from tallyframe.sources.snapshot import read_snapshot, require_digest, snapshot_digest
+from tallyframe.sources.snapshot import file_sha256, read_snapshot, require_digest
+from tallyframe.sources.stages import Stage, drop_dead
 
-_NAME = r"[A-Za-z_][A-Za-z0-9_]*"
+# What an audit row counts.
+COUNTED = ("raw_rows", "exact_duplicates", "rejected_rows", "accepted_accounts", "monthly_rows")
 
 
 def require_parameters(
-    namespace: str, source_sha256: str, max_reject_rate: float, threshold_pp: float
+    namespace: str, source_sha256: str | None, max_reject_rate: float, threshold_pp: float
 ) -> None:
     """Refuse bad parameters before anything is created or read."""
-    if not re.fullmatch(rf"{_NAME}(\.{_NAME})?", namespace):
+    parts = namespace.split(".")
+    if len(parts) > 2 or not all(p.isascii() and p.isidentifier() for p in parts):
         raise ValueError("The namespace must be a simple schema or catalog.schema name")
-    if not re.fullmatch(r"[0-9a-f]{64}", source_sha256):
+    if source_sha256 is not None and not re.fullmatch(r"[0-9a-f]{64}", source_sha256):
         raise ValueError("The source identity must be 64 lower-case hex digits")
     if not math.isfinite(threshold_pp) or threshold_pp < 0:
         raise ValueError("The alert threshold must be finite and nonnegative")
     gate.require_rate(max_reject_rate)
 
 
-class _Stage:
-    """Intermediate tables of one run, dropped at its end.
-
-    There is one writer at a time, so stages found at the start belong to
-    writers that died; they are dropped as well.
-    """
-
-    def __init__(self, spark: SparkSession, namespace: str, run_id: str):
-        self._spark, self._prefix = spark, f"{namespace}.stage_{run_id}"
-        found = spark.sql(f"SHOW TABLES IN {namespace} LIKE 'stage_*'").select("tableName")
-        self._names = [f"{namespace}.{r.tableName}" for r in found.collect()]
-        self.drop()
-
-    def keep(self, rows: DataFrame, name: str, partition: str | None = None) -> DataFrame:
-        table = f"{self._prefix}_{name}"
-        self._names.append(table)
-        writer = rows.write.format("parquet").mode("overwrite")
-        (writer.partitionBy(partition) if partition else writer).saveAsTable(table)
-        return self._spark.table(table)
-
-    def drop(self) -> None:
-        while self._names:
-            self._spark.sql(f"DROP TABLE IF EXISTS {self._names.pop()}")
-
-
-def _store_raw(
-    stage: _Stage, raw: DataFrame, table: str, source_sha256: str, ingested_at, contract: Contract
-) -> DataFrame:
-    """Store the distinct rows in bronze; returns the rows of this batch.
+@dataclass
+class _Run:
+    """One publication: where it writes, what it has counted, and its audit row at the end."""
+
+    spark: SparkSession
+    namespace: str
+    contract: Contract
+    threshold_pp: float
+    place: str
+    source: str | None
+    id: str = field(default_factory=lambda: uuid.uuid4().hex)
+    started: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
+    counts: dict[str, int] = field(default_factory=lambda: dict.fromkeys(COUNTED, 0))
+
+    def __enter__(self):
+        drop_dead(self.spark, self.place, self.spark.table(self.table(tables.RUNS)))
+        self.stage = Stage(self.spark, self.place, self.id)
+        return self
+
+    def __exit__(self, kind, problem, _):
+        try:
+            if isinstance(problem, Exception):
+                self.record("FAILED", str(problem))
+        finally:
+            self.stage.drop()
+
+    def table(self, name: str) -> str:
+        return f"{self.namespace}.{name}"
+
+    def record(self, status: str, message: str) -> None:
+        tables.record_run(
+            self.spark, self.namespace, self.id, status, self.source, self.counts, message, self.threshold_pp
+        )
 
-    The first batch of a source is written to its bronze partition and read
-    back from there. Any later one is staged and only its unseen rows are
-    appended, because nobody guarantees that it holds the same rows.
-    """
-    spark = raw.sparkSession
-
-    def stored() -> DataFrame:
-        return spark.table(table).where(F.col("source_sha256") == source_sha256)
-
-    # A writer that died while its files were being moved into place may have left a part
-    # of this source behind that the catalog does not know of yet.
-    spark.catalog.recoverPartitions(table)
-    unique = quality.unique_rows(raw, contract)
-    rows = quality.bronze_rows(unique, source_sha256, ingested_at, contract)
-    if stored().isEmpty():
-        tables.append(rows, table)
-        return stored()
-    rows = stage.keep(rows, "unique")
-    tables.append_new(rows, table, [quality.HASH], stored())
-    return rows
-
-
-def _check(stage: _Stage, unique: DataFrame, contract: Contract) -> DataFrame:
-    typed = quality.type_rows(unique, contract)
-    repeated = keyed.repeated_keys(typed, [contract.id]).withColumn("hit", F.lit(True))
-    conflicts = stage.keep(repeated, "conflicts")
-    flagged = quality.flag_conflicts(
-        typed, contract, conflicts, known_small=conflicts.count() <= keyed.BROADCAST_KEYS
-    )
-    decided = quality.decided_rows(quality.apply_rules(flagged, contract), contract)
-    return stage.keep(decided, "checked", "accepted")
+    def store_raw(self, unique: DataFrame) -> None:
+        """Append the distinct rows that bronze lacks of this source; a new source lacks all."""
+        target = self.table(tables.BRONZE)
+        rows = quality.bronze_rows(unique, self.source, self.started, self.contract)
+        # A writer that died while its files were being moved into place may have left a part
+        # of this source behind that the catalog does not know of yet.
+        self.spark.catalog.recoverPartitions(target)
+        stored = self.spark.table(target).where(F.col("source_sha256") == self.source)
+        if stored.isEmpty():
+            tables.append(rows, target)
+        else:
+            tables.append_new(rows, target, [quality.HASH], stored)
+
+    def check(self, unique: DataFrame) -> DataFrame:
+        """Run the rules once and stage what the later steps need, at the size of their files."""
+        flagged = quality.flag_conflicts(quality.type_rows(unique, self.contract), self.contract)
+        decided = quality.decided_rows(quality.apply_rules(flagged, self.contract), self.contract)
+        return self.stage.keep(decided.hint("rebalance"), "checked", "accepted")
+
+    def store_rejects(self, checked: DataFrame) -> None:
+        rejected = checked.where("NOT accepted").select(quality.HASH, "raw", MALFORMED, quality.REASON)
+        rows = quality.quarantined_rows(rejected, self.source, self.started).withColumn("run_id", F.lit(self.id))
+        tables.append(rows, self.table(tables.QUARANTINE))
+
+    def pass_gate(self, checked: DataFrame, max_reject_rate: float) -> int:
+        """Count the batch and raise unless it may be published; returns the facts to expect."""
+        seen = gate.gate_outcomes(gate.batch_counts(checked, self.contract), [max_reject_rate]).first()
+        self.counts.update({name: seen[name] for name in COUNTED[:-1]})
+        if seen.outcome != gate.PASS:
+            raise ValueError(seen.outcome)
+        return seen.monthly_rows
+
+    def store_versions(self, accepted: DataFrame, expected: int) -> None:
+        limits = accepted.select(self.contract.id, self.contract.limit)
+        tables.append(reshape.accounts(limits, self.id, self.contract), self.table(tables.ACCOUNTS))
+        facts = reshape.facts(reshape.unfold(accepted, self.contract), self.id, self.contract, with_band=True)
+        tables.append(facts, self.table(tables.REPAYMENTS))
+        stored = self.spark.table(self.table(tables.REPAYMENTS)).where(F.col("run_id") == self.id).count()
+        if stored != expected:
+            raise ValueError("Account-month reconciliation failed")
+        self.counts["monthly_rows"] = stored
 
 
 def publish(
     spark: SparkSession,
     raw: DataFrame,
     namespace: str,
-    source_sha256: str,
+    source_sha256: str | None = None,
     max_reject_rate: float = 0.01,
     threshold_pp: float = 1.0,
     contract: Contract = CARD,
     root: str | None = None,
+    size: int = 0,
 ) -> dict:
     """Check, store and publish one snapshot; returns the run record.
 
-    Raw rows and rejects are stored before the gate, so that a refused batch
-    can be looked into; versions are stored after it and the audit row last.
+    ``source_sha256`` names the source; without it the snapshot's own digest
+    does. ``size`` is what is known of the source's bytes. Raw rows and rejects
+    are stored before the gate, so that a refused batch can be looked into;
+    versions are stored after it and the audit row last.
     """
     require_parameters(namespace, source_sha256, max_reject_rate, threshold_pp)
     tables.install(spark, namespace, contract, root)
-
-    run_id, started = uuid.uuid4().hex, datetime.now(timezone.utc)
-    counts = dict.fromkeys(
-        ("raw_rows", "exact_duplicates", "rejected_rows", "accepted_accounts", "monthly_rows"), 0
-    )
-    stage = _Stage(spark, namespace, run_id)
-
-    def record(status: str, message: str) -> None:
-        tables.record_run(
-            spark, namespace, run_id, status, source_sha256, counts, message, threshold_pp
-        )
-
-    try:
-        unique = _store_raw(
-            stage, raw, f"{namespace}.{tables.BRONZE}", source_sha256, started, contract
-        )
-        checked = _check(stage, unique, contract)
-        observed = gate.batch_counts(checked, contract).first().asDict()
-        expected_facts = observed.pop("monthly_rows")
-        unique_rows = observed.pop("unique_rows")
-        counts.update(observed)
-        # Rebalancing sizes the files here and below. It moves the columns that nothing else
-        # gives; constants and derived columns are added behind it.
-        rejected = checked.where("NOT accepted").select(
-            quality.HASH, "raw", MALFORMED, quality.REASON
-        ).hint("rebalance", F.col(quality.HASH))
-        tables.append(
-            quality.quarantined_rows(rejected, source_sha256, started)
-            .withColumn("run_id", F.lit(run_id)),
-            f"{namespace}.{tables.QUARANTINE}",
-        )
-        gate.check_gate(
-            counts["raw_rows"], unique_rows, counts["accepted_accounts"],
-            counts["rejected_rows"], max_reject_rate,
-        )
-
-        accepted = checked.where("accepted")
-        limits = accepted.select(contract.id, contract.limit)
-        tables.append(
-            reshape.accounts(limits.hint("rebalance", F.col(contract.id)), run_id, contract),
-            f"{namespace}.{tables.ACCOUNTS}",
-        )
-        # The facts go to one folder per month, and AQE splits a month over as many
-        # tasks as its size asks for.
-        unfolded = reshape.unfold(accepted, contract).hint("rebalance", F.col("month"))
-        stored = f"{namespace}.{tables.REPAYMENTS}"
-        tables.append(reshape.facts(unfolded, run_id, contract, with_band=True), stored)
-        counts["monthly_rows"] = spark.table(stored).where(F.col("run_id") == run_id).count()
-        if counts["monthly_rows"] != expected_facts:
-            raise ValueError("Account-month reconciliation failed")
-        record("SUCCESS", "Full snapshot published")
-    except Exception as problem:
-        record("FAILED", str(problem))
-        raise
-    finally:
-        stage.drop()
-    return {"run_id": run_id, "status": "SUCCESS", **counts}
+    place = f"{root or spark.conf.get('spark.sql.warehouse.dir') + '/' + namespace}/stages"
+    with sized_for(spark, size), _Run(spark, namespace, contract, threshold_pp, place, source_sha256) as run:
+        unique = run.stage.keep(quality.unique_rows(raw, contract), "unique")
+        run.source = run.source or quality.snapshot_digest(unique).first().digest
+        run.store_raw(unique)
+        checked = run.check(unique)
+        run.store_rejects(checked)
+        expected = run.pass_gate(checked, max_reject_rate)
+        run.store_versions(checked.where("accepted"), expected)
+        run.record("SUCCESS", "Full snapshot published")
+        return {"run_id": run.id, "status": "SUCCESS", **run.counts}
 
 
 def publish_file(
@@ -186,25 +162,23 @@ def publish_file(
     contract: Contract = CARD,
     **options,
 ) -> dict:
-    """Publish a CSV snapshot under its own identity, optionally a pinned one.
+    """Publish a CSV snapshot under its own identity.
 
-    A snapshot whose bytes are not the pinned ones is refused before it is read.
+    ``expected_sha256`` pins the bytes of a single file: other bytes are
+    refused before anything is read, and so is what can't be pinned.
     """
-    identity = snapshot_digest(spark, path)
     if expected_sha256 is not None:
-        require_digest(identity, expected_sha256)
-    with sized_for(spark, source_bytes(spark, path)):
-        raw = read_snapshot(spark, path, contract)
-        return publish(spark, raw, namespace, identity, contract=contract, **options)
+        require_digest(file_sha256(spark, path), expected_sha256)
+    raw = read_snapshot(spark, path, contract)
+    return publish(spark, raw, namespace, contract=contract, size=source_bytes(spark, path), **options)
 
 
 def integrity_report(spark: SparkSession, namespace: str) -> DataFrame:
     """Observed against expected counts of the current publication, one row per check."""
     ns = namespace
-    newest = (
-        f"(SELECT * FROM {ns}.{tables.RUNS} WHERE status = 'SUCCESS' "
-        "ORDER BY completed_at DESC, run_id DESC LIMIT 1)"
-    )
+
+    def newest(field: str) -> str:
+        return tables.newest_success(f"{ns}.{tables.RUNS}", field)
 
     def one(check: str, observed: str, expected: str) -> str:
         return (
@@ -214,17 +188,17 @@ def integrity_report(spark: SparkSession, namespace: str) -> DataFrame:
 
     checks = [
         one("current_accounts", f"SELECT count(*) FROM {ns}.silver_accounts",
-            f"(SELECT accepted_accounts FROM {newest})"),
+            newest("accepted_accounts")),
         one("current_account_months", f"SELECT count(*) FROM {ns}.silver_repayments",
-            f"(SELECT monthly_rows FROM {newest})"),
+            newest("monthly_rows")),
         one("bronze_rows_of_source",
             f"SELECT count(*) FROM {ns}.{tables.BRONZE} "
-            f"WHERE source_sha256 = (SELECT source_sha256 FROM {newest})",
-            f"(SELECT raw_rows - exact_duplicates FROM {newest})"),
+            f"WHERE source_sha256 = {newest('source_sha256')}",
+            f"{newest('raw_rows')} - {newest('exact_duplicates')}"),
         one("rejected_rows_of_run",
             f"SELECT count(*) FROM {ns}.{tables.QUARANTINE} "
-            f"WHERE run_id = (SELECT run_id FROM {newest})",
-            f"(SELECT rejected_rows FROM {newest})"),
+            f"WHERE run_id = {newest('run_id')}",
+            newest("rejected_rows")),
         one("repeated_account_months",
             f"SELECT count(*) FROM (SELECT 1 FROM {ns}.silver_repayments "
             "GROUP BY account_id, month HAVING count(*) > 1)", "0L"),

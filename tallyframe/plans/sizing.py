@@ -14,13 +14,13 @@ SCAN = "spark.sql.files.maxPartitionBytes"
 SHUFFLE = "spark.sql.shuffle.partitions"
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
-# One shuffle partition per 256 MB of source. The upper limits keep the number of
-# shuffle blocks (scan tasks times partitions) within what a shuffle can track, and a
-# scan task small enough to collapse its copies in memory: 100 TB become 200,000 scan
-# tasks of 550 MB and 32,000 partitions of 3.4 GB of text, about a third of it compressed.
+# One shuffle partition per 256 MB of source, whatever its size: 100 TB have 400,000.
+# Beyond a TB a scan task reads 512 MB, which it streams, so that there are as many
+# shuffle blocks as need be and no more.
 PARTITION_BYTES = 256 * MB
-MAX_PARTITIONS = 32_000
-MAX_SCAN_TASKS = 200_000
+SCAN_BYTES = 128 * MB
+LARGE_SCAN_BYTES = 512 * MB
+LARGE = 1024 * 1024 * MB
 
 
 def source_bytes(spark: SparkSession, path: str) -> int:
@@ -31,8 +31,7 @@ def source_bytes(spark: SparkSession, path: str) -> int:
 
 def settings_for(size: int) -> tuple[int, int]:
     """(shuffle partitions, bytes per scan task) for a source of ``size`` bytes."""
-    partitions = min(MAX_PARTITIONS, ceil(size / PARTITION_BYTES))
-    return partitions, max(128 * MB, ceil(size / MAX_SCAN_TASKS))
+    return ceil(size / PARTITION_BYTES), LARGE_SCAN_BYTES if size > LARGE else SCAN_BYTES
 
 
 @contextmanager
@@ -46,7 +45,7 @@ def sized_for(spark: SparkSession, size: int) -> Iterator[None]:
     current = spark.conf.get(INITIAL, None) or spark.conf.get(SHUFFLE)
     if partitions > int(current):
         wanted |= {SHUFFLE: str(partitions), INITIAL: str(partitions)}
-    if scan > 128 * MB:
+    if scan > SCAN_BYTES:
         wanted[SCAN] = str(scan)
     before = {name: spark.conf.get(name, None) for name in wanted}
     try:

@@ -1,4 +1,4 @@
-"""Reading a raw CSV snapshot as text, and its identity."""
+"""Reading a raw CSV snapshot as text, and pinning a file."""
 
 from __future__ import annotations
 
@@ -7,21 +7,17 @@ from pyspark.sql import functions as F
 
 from tallyframe.contract import CARD, MALFORMED, Contract
 
-# Files up to this size are hashed whole, one file at a time in a task. Larger
-# ones are hashed by row, so that no task and no JVM array has to hold a file.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
+# A pin hashes the bytes of one file as one value; a larger file can't be pinned.
+PINNED_BYTES = 256 * 1024 * 1024
 
 
-def read_snapshot(
-    spark: SparkSession, path: str, contract: Contract = CARD, *, keep_malformed: bool = True
-) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str, contract: Contract = CARD) -> DataFrame:
     """Every column as text, in contract order; nothing is inferred.
 
-    The snapshot is every file below ``path``, the same files as its digest
-    covers. The schema is bound in the order of the file's own header, and
-    every file must have that header. ``keep_malformed`` adds the text of
-    rows with too many or too few fields, so that a long row is rejected
-    instead of silently cut; without it surplus fields are dropped.
+    The snapshot is every file below ``path``. The schema is bound in the order
+    of the file's own header, and every file must have that header. The text of
+    rows with too many or too few fields is kept in a column of its own, so
+    that a long row is rejected instead of silently cut.
     """
 
     def reader():
@@ -30,83 +26,20 @@ def read_snapshot(
     header = reader().option("inferSchema", False).csv(path).columns
     if sorted(header) != sorted(contract.columns):
         raise ValueError("Input schema mismatch: the header is not the contract's column set")
-    schema = ", ".join(f"`{c}` STRING" for c in header)
-    wanted = list(contract.columns)
-    bound = reader().option("enforceSchema", False)
-    if keep_malformed:
-        schema += f", `{MALFORMED}` STRING"
-        wanted.append(MALFORMED)
-        bound = bound.option("columnNameOfCorruptRecord", MALFORMED)
-    return bound.schema(schema).csv(path).select(*wanted)
+    schema = ", ".join(f"`{c}` STRING" for c in [*header, MALFORMED])
+    bound = reader().option("enforceSchema", False).option("columnNameOfCorruptRecord", MALFORMED)
+    return bound.schema(schema).csv(path).select(*contract.columns, MALFORMED)
 
 
-def file_digests(
-    spark: SparkSession, path: str, *, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """(path, digest) of every file of a snapshot.
-
-    Up to ``whole_file_bytes`` the digest is the SHA-256 of the file's bytes.
-    Beyond, it is the SHA-256 of the row count and of four sums over 32-bit
-    words, which come from the two halves of each row's SHA-256: the file is
-    split over tasks, the sums combine before the shuffle, and the row order
-    does not matter.
-    """
+def file_sha256(spark: SparkSession, path: str, limit: int = PINNED_BYTES) -> str:
+    """SHA-256 of the bytes of one file; anything else, and a larger file, raises ValueError."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    # The length filter reaches the source, which then skips the content of larger files.
-    whole = files.where(F.col("length") <= whole_file_bytes).select(
-        "path", F.sha2("content", 256).alias("digest")
-    )
-    halves = [F.xxhash64(F.substring("h", start, 32)) for start in (1, 33)]
-    words = [w for h in halves for w in (h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32))]
-    blocks = (
-        spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path)
-        .where(F.col("_metadata.file_size") > whole_file_bytes)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.sha2(F.col("value").cast("binary"), 256).alias("h"),
-        )
-        .groupBy("path", "block")
-        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(v).alias(f"w{w}") for w, v in enumerate(words)])
-    )
-    # A block is too small to overflow BIGINT; the whole file may not be.
-    totals = [F.sum(F.col(f"w{w}").cast("decimal(20,0)")).cast("string") for w in range(4)]
-    by_row = (
-        blocks.groupBy("path")
-        .agg(F.concat_ws("|", F.sum("n").cast("string"), *totals).alias("sums"))
-        .select("path", F.sha2("sums", 256).alias("digest"))
-    )
-    return whole.unionByName(by_row)
-
-
-def snapshot_digest(
-    spark: SparkSession, path: str, *, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> str:
-    """64 hex digits that identify a snapshot.
-
-    One file: its own digest. Several: a hash tree over (file name, digest,
-    copies). The entries are spread evenly over 4096 slices, each slice becomes
-    one hash, and the last step sees 4096 of them at most, so no task holds
-    the list of all files.
-    """
-    entries = (
-        file_digests(spark, path, whole_file_bytes=whole_file_bytes)
-        .groupBy(F.substring_index("path", "/", -1).alias("name"), "digest")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("entry", F.concat_ws(" ", "digest", "copies", "name"))
-    )
-
-    def node(column):
-        return F.sha2(F.array_join(F.array_sort(F.collect_list(column)), "\n"), 256).alias("node")
-
-    slices = entries.groupBy(F.substring(F.sha2("entry", 256), 1, 3)).agg(
-        F.sum("copies").alias("files"), F.max("digest").alias("only"), node("entry")
-    )
-    root = slices.agg(F.sum("files").alias("files"), F.max("only").alias("only"), node("node"))
-    found = root.first()
-    if not found.files:
-        raise ValueError("The snapshot has no files")
-    return found.only if found.files == 1 else found.node
+    found = files.agg(F.count("path").alias("n"), F.max("length").alias("size")).first()
+    if found.n != 1:
+        raise ValueError(f"Only one file can be pinned, and {path} has {found.n}")
+    if found.size > limit:
+        raise ValueError(f"A file of {found.size} bytes can't be pinned; the limit is {limit}")
+    return files.select(F.sha2("content", 256)).first()[0]
 
 
 def require_digest(actual: str, expected: str) -> str:

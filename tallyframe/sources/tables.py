@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from tallyframe.contract import CARD, MALFORMED, Contract
 from tallyframe.operators import metrics
+from tallyframe.operators.reports import NEWEST_SUCCESS
 
 BRONZE = "bronze_records"
 QUARANTINE = "quarantine_records"
@@ -48,6 +49,7 @@ def _layout(contract: Contract) -> dict[str, tuple[str, tuple[str, ...]]]:
             "status_not_documented BOOLEAN, run_id STRING, limit_band STRING",
             ("run_id", "month"),
         ),
+        # The columns of the audit table, but for the threshold.
         RUNS: (
             "run_id STRING, completed_at TIMESTAMP, status STRING, source_sha256 STRING, "
             "raw_rows BIGINT, exact_duplicates BIGINT, rejected_rows BIGINT, "
@@ -57,12 +59,14 @@ def _layout(contract: Contract) -> dict[str, tuple[str, tuple[str, ...]]]:
     }
 
 
+def newest_success(runs: str, field: str = "") -> str:
+    """Text of a scalar subquery: the run that readers see as a struct, or one field of it."""
+    return f"(SELECT run{'.' + field if field else ''} FROM (SELECT {NEWEST_SUCCESS} AS run FROM {runs}))"
+
+
 def _views(namespace: str, contract: Contract) -> dict[str, str]:
     def newest(field: str) -> str:
-        return (
-            f"(SELECT max(struct(completed_at, run_id, threshold_pp)).{field} "
-            f"FROM {namespace}.{RUNS} WHERE status = 'SUCCESS')"
-        )
+        return newest_success(f"{namespace}.{RUNS}", field)
 
     def current(table: str) -> str:
         return f"{namespace}.{table} WHERE run_id = {newest('run_id')}"
@@ -85,13 +89,16 @@ def _views(namespace: str, contract: Contract) -> dict[str, str]:
 def install(
     spark: SparkSession, namespace: str, contract: Contract = CARD, root: str | None = None
 ) -> None:
-    """Create the schema, the empty tables and the reader views where absent.
+    """Create the schema and the empty tables where absent, and define the reader views anew.
 
     With ``root`` the tables live under that shared folder and a new session
-    finds what earlier ones wrote there. The schema's own location holds only
-    the stages of running batches, so dropping the schema loses no data.
+    finds what earlier ones wrote there. The schema's own location stays empty,
+    so dropping the schema loses no data. Without ``root`` they live in the
+    session's warehouse, which only a local session may use.
     """
-    place = f" LOCATION '{root}/stages'" if root else ""
+    if not root and not is_local(spark):
+        raise ValueError("Off a local session the tables need a root that all executors share")
+    place = f" LOCATION '{root}/schema'" if root else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}{place}")
     for table, (columns, partitions) in _layout(contract).items():
         name = f"{namespace}.{table}"
@@ -105,8 +112,12 @@ def install(
         if root and partitions:
             spark.catalog.recoverPartitions(name)
     for view, text in _views(namespace, contract).items():
-        if not spark.catalog.tableExists(f"{namespace}.{view}"):
-            spark.sql(f"CREATE VIEW IF NOT EXISTS {namespace}.{view} AS {text}")
+        spark.sql(f"CREATE OR REPLACE VIEW {namespace}.{view} AS {text}")
+
+
+def is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def _make_folder(spark: SparkSession, columns: str, partitions: tuple[str, ...], path: str):
@@ -152,7 +163,7 @@ def record_run(
         "status": status,
         "source_sha256": source_sha256,
         **counts,
-        "message": message[:1000],
+        "message": message,
         "threshold_pp": float(threshold_pp),
     }
     row = spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in values.items()])

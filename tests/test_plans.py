@@ -61,11 +61,6 @@ def test_the_latest_month_prunes_the_other_months(spark, published):
     assert any("month" in f and "run_id" in f for f in filters)
 
 
-def test_facts_are_not_squeezed_into_one_task_per_month_without_aqe(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        facts = QUERIES["silver_repayments"](spark, SF).hint("rebalance", F.col("month"))
-        text = facts._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert "hashpartitioning(month" not in text
+def test_the_list_that_marks_rows_broadcasts_a_bounded_list_only(spark):
+    text = plan(QUERIES["conflict_flag"](spark, SF)).split("== Initial Plan ==")[0]
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -57,10 +57,10 @@ def expected(batch):
 
 @settings(max_examples=10, deadline=None, derandomize=True,
           suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
-@given(batch=st.lists(rows, min_size=1, max_size=25), heavy_rows=st.sampled_from([1, 2, 10**6]))
-def test_any_batch(spark, cards, batch, heavy_rows):
+@given(batch=st.lists(rows, min_size=1, max_size=25), heavy_keys=st.sampled_from([1, 2, 10**6]))
+def test_any_batch(spark, cards, batch, heavy_keys):
     reasons = expected(batch)
-    checked = quality.check_rows(cards(*batch), heavy_rows=heavy_rows)
+    checked = quality.check_rows(cards(*batch), heavy_keys=heavy_keys)
     found = checked.select("raw.*", quality.REASON, quality.COPIES).collect()
     assert {tuple(r)[:25]: r.rejection_reason for r in found} == reasons
     assert len(found) == len(reasons)
@@ -78,5 +78,5 @@ def test_any_batch(spark, cards, batch, heavy_rows):
     assert dimension.select("account_id").distinct().count() == accepted_rows
     assert reconcile(monthly(facts), monthly_from_wide(accepted)).count() == 0
 
-    shuffled = quality.check_rows(cards(*batch).orderBy(F.rand(1)), heavy_rows=heavy_rows)
+    shuffled = quality.check_rows(cards(*batch).orderBy(F.rand(1)), heavy_keys=heavy_keys)
     assert shuffled.exceptAll(checked).count() == 0

@@ -1,3 +1,6 @@
+import os
+import pathlib
+import time
 import uuid
 from datetime import datetime, timedelta, timezone
 
@@ -5,10 +8,10 @@ import pytest
 from conftest import card
 from pyspark.sql import functions as F
 
-from tallyframe import CARD, integrity_report, publish, publish_file, snapshot_digest
-from tallyframe.operators import keyed
+from tallyframe import CARD, file_sha256, integrity_report, publish, publish_file, read_snapshot
 from tallyframe.plans import publish as plan
 from tallyframe.sources import tables
+from tallyframe.sources.stages import drop_dead
 
 SHA = "a" * 64
 
@@ -28,6 +31,11 @@ def batch(cards):
     )
 
 
+def staged(root):
+    folder = pathlib.Path(root.removeprefix("file://")) / "stages"
+    return sorted(p.name for p in folder.iterdir()) if folder.exists() else []
+
+
 def counts(spark, ns):
     names = (
         "bronze_records", "quarantine_records", "account_versions", "repayment_versions",
@@ -60,8 +68,7 @@ def test_publish_and_replay(spark, place, batch):
     ]
     age = datetime.now(timezone.utc) - audit.first().completed_at.astimezone(timezone.utc)
     assert timedelta(0) <= age < timedelta(minutes=10)
-    leftovers = [t.name for t in spark.catalog.listTables(ns) if t.name.startswith("stage_")]
-    assert leftovers == []
+    assert staged(root) == []
 
 
 def test_changed_rows_under_a_known_source_are_appended_and_judged_alone(spark, place, cards):
@@ -164,13 +171,6 @@ def test_facts_that_do_not_add_up_block_publication(spark, place, batch, monkeyp
     assert spark.table(f"{ns}.silver_repayments").count() == 0
 
 
-def test_many_conflicts_take_the_shuffle_path_with_the_same_result(spark, place, batch, monkeypatch):
-    ns, root = place
-    monkeypatch.setattr(keyed, "BROADCAST_KEYS", 0)
-    run = publish(spark, batch, ns, SHA, 0.9, root=root)
-    assert (run["rejected_rows"], run["accepted_accounts"]) == (3, 2)
-
-
 def test_each_run_is_judged_by_its_own_threshold(spark, place, cards):
     ns, root = place
     rows = [card(ID=str(n)) for n in range(1, 50)] + [card(ID="50", PAY_0="2")]
@@ -218,13 +218,16 @@ def test_publish_from_a_pinned_file(spark, place, tmp_path):
     ns, root = place
     path = tmp_path / "snapshot.csv"
     path.write_text("\n".join([",".join(CARD.columns), ",".join(card()), ",".join(card(ID="2"))]))
-    digest = snapshot_digest(spark, str(path))
+    pin = file_sha256(spark, str(path))
     with pytest.raises(ValueError, match="checksum"):
         publish_file(spark, str(path), ns, "0" * 64, root=root)
     assert not spark.catalog.databaseExists(ns)
-    run = publish_file(spark, str(path), ns, digest, root=root)
+    run = publish_file(spark, str(path), ns, pin, root=root)
     assert run["accepted_accounts"] == 2
-    assert spark.table(f"{ns}.pipeline_runs").first().source_sha256 == digest
+    # without a name the source is known by its rows
+    again = publish(spark, read_snapshot(spark, str(path)).orderBy("ID"), ns, root=root)
+    known = {r.run_id: r.source_sha256 for r in spark.table(f"{ns}.pipeline_runs").collect()}
+    assert known[run["run_id"]] == known[again["run_id"]] and spark.table(f"{ns}.bronze_records").count() == 2
 
 
 def test_catalog_qualified_and_managed_namespace(spark, batch):
@@ -240,16 +243,55 @@ def test_catalog_qualified_and_managed_namespace(spark, batch):
 
 def test_stages_are_dropped_when_a_step_fails(spark, place, batch, monkeypatch):
     ns, root = place
-    monkeypatch.setattr(plan, "_check", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    monkeypatch.setattr(plan._Run, "check", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
         publish(spark, batch, ns, SHA, root=root)
-    assert [t.name for t in spark.catalog.listTables(ns) if t.name.startswith("stage_")] == []
+    assert staged(root) == []
 
 
-def test_stages_of_dead_writers_are_dropped(spark, place, batch):
+def test_only_stages_of_runs_that_are_over_are_dropped(spark, place, batch):
     ns, root = place
+    done = publish(spark, batch, ns, SHA, 0.9, root=root)["run_id"]
+    spark.range(3).write.saveAsTable(f"{ns}.stage_customers")  # a user's table
+    folder = pathlib.Path(root.removeprefix("file://")) / "stages"
+    for run in (done, "writing", "silent"):
+        (folder / run / "unique").mkdir(parents=True)
+    long_ago = time.time() - 8 * 86400
+    os.utime(folder / "silent", (long_ago, long_ago))
     publish(spark, batch, ns, SHA, 0.9, root=root)
-    spark.range(3).write.saveAsTable(f"{ns}.stage_dead_unique")
-    publish(spark, batch, ns, SHA, 0.9)
-    assert [t.name for t in spark.catalog.listTables(ns) if t.name.startswith("stage_")] == []
+    assert staged(root) == ["writing"]
+    assert spark.table(f"{ns}.stage_customers").count() == 3
     assert counts(spark, ns)[4:] == (2, 12)
+    assert drop_dead(spark, f"{root}/stages", spark.table(f"{ns}.pipeline_runs"), days=0.0) == ["writing"]
+    assert drop_dead(spark, f"{root}/nowhere", spark.table(f"{ns}.pipeline_runs")) == []
+
+
+def test_an_older_definition_of_a_view_is_replaced(spark, place, batch):
+    ns, root = place
+    tables.install(spark, ns, CARD, root)
+    spark.sql(f"CREATE OR REPLACE VIEW {ns}.gold_monthly AS SELECT 'old' AS definition")
+    publish(spark, batch, ns, SHA, 0.9, root=root)
+    assert "delayed_account_rate" in spark.table(f"{ns}.gold_monthly").columns
+    assert spark.table(f"{ns}.gold_alerts").count() == 6
+
+
+def test_the_integrity_report_names_what_is_damaged(spark, place, batch):
+    ns, root = place
+    publish(spark, batch, ns, SHA, 0.9, root=root)
+    facts = spark.table(f"{ns}.{tables.REPAYMENTS}").limit(1).collect()
+    schema = spark.table(f"{ns}.{tables.REPAYMENTS}").schema
+    tables.append(spark.createDataFrame(facts, schema), f"{ns}.{tables.REPAYMENTS}")
+    stranger = spark.createDataFrame(facts, schema).withColumn("account_id", F.lit(-5).cast("long"))
+    tables.append(stranger, f"{ns}.{tables.REPAYMENTS}")
+    broken = {r.check_name: (r.observed, r.expected) for r in integrity_report(spark, ns).where("NOT passed").collect()}
+    assert broken == {
+        "current_account_months": (14, 12), "repeated_account_months": (1, 0), "facts_without_account": (1, 0),
+    }
+
+
+def test_a_message_is_stored_whole(spark, place, batch, monkeypatch):
+    ns, root = place
+    monkeypatch.setattr(plan._Run, "check", lambda *a: (_ for _ in ()).throw(RuntimeError("m" * 5000)))
+    with pytest.raises(RuntimeError):
+        publish(spark, batch, ns, SHA, root=root)
+    assert spark.table(f"{ns}.pipeline_runs").first().message == "m" * 5000

@@ -24,9 +24,18 @@ SEGMENTS = [
     ("2005-04-01", "100k_to_299k", 13433, 613530434, 1098, 0.08173900096776594),
     ("2005-04-01", "300k_plus", 5117, 322093863, 145, 0.028336916161813563),
     ("2005-04-01", "below_100k", 11450, 232643766, 1836, 0.16034934497816594),
+    ("2005-05-01", "100k_to_299k", 13433, 631041972, 1008, 0.07503908285565399),
+    ("2005-05-01", "300k_plus", 5117, 337481139, 139, 0.02716435411373852),
+    ("2005-05-01", "below_100k", 11450, 241889652, 1821, 0.15903930131004368),
+    ("2005-06-01", "100k_to_299k", 13433, 670187041, 1184, 0.08814114494156182),
+    ("2005-06-01", "300k_plus", 5117, 361471216, 178, 0.034786007426226305),
+    ("2005-06-01", "below_100k", 11450, 267331301, 2146, 0.1874235807860262),
     ("2005-07-01", "100k_to_299k", 13433, 723281834, 1430, 0.10645425444800119),
     ("2005-07-01", "300k_plus", 5117, 385453535, 249, 0.04866132499511432),
     ("2005-07-01", "below_100k", 11450, 302619696, 2530, 0.22096069868995633),
+    ("2005-08-01", "100k_to_299k", 13433, 759505140, 1498, 0.11151641479937467),
+    ("2005-08-01", "300k_plus", 5117, 395410397, 256, 0.050029314051201874),
+    ("2005-08-01", "below_100k", 11450, 321280004, 2656, 0.2319650655021834),
     ("2005-09-01", "100k_to_299k", 13433, 791193061, 1103, 0.08211121864066105),
     ("2005-09-01", "300k_plus", 5117, 414644291, 179, 0.03498143443423881),
     ("2005-09-01", "below_100k", 11450, 331543905, 1848, 0.16139737991266376),

@@ -11,8 +11,8 @@ TB = 1024 * 1024 * MB
     (0, 0, 128 * MB),
     (1, 1, 128 * MB),
     (TB, 4096, 128 * MB),
-    (10 * TB, 32_000, 128 * MB),
-    (100 * TB, 32_000, 549_755_814),
+    (10 * TB, 40_960, 512 * MB),
+    (100 * TB, 409_600, 512 * MB),
 ])
 def test_sizes_grow_with_the_source(size, partitions, scan):
     assert settings_for(size) == (partitions, scan)
@@ -24,8 +24,8 @@ def test_settings_hold_inside_and_are_restored(spark):
     with sized_for(spark, 1000):
         assert [spark.conf.get(n, None) for n in names] == before
     with pytest.raises(RuntimeError), sized_for(spark, 100 * TB):
-        assert spark.conf.get(SHUFFLE) == spark.conf.get(INITIAL) == "32000"
-        assert spark.conf.get(SCAN) == "549755814"
+        assert spark.conf.get(SHUFFLE) == spark.conf.get(INITIAL) == "409600"
+        assert spark.conf.get(SCAN) == str(512 * MB)
         raise RuntimeError
     assert [spark.conf.get(n, None) for n in names] == before
 

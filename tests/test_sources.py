@@ -3,9 +3,10 @@ import hashlib
 import pytest
 from conftest import card, rows_of
 
-from tallyframe import CARD, prepare, read_snapshot, require_digest, snapshot_digest
+from tallyframe import CARD, file_sha256, prepare, read_snapshot, require_digest
+from tallyframe.contract import MALFORMED
+from tallyframe.operators.quality import snapshot_digest, unique_rows
 from tallyframe.sources.export import write_csv, write_json
-from tallyframe.sources.snapshot import file_digests
 
 HEADER = ",".join(CARD.columns)
 
@@ -25,8 +26,8 @@ def test_all_columns_are_text_in_contract_order(spark, tmp_path):
     path = write(
         tmp_path / "a.csv", ",".join(fields[c] or "" for c in order), header=",".join(order)
     )
-    frame = read_snapshot(spark, path, keep_malformed=False)
-    assert frame.dtypes == [(c, "string") for c in CARD.columns]
+    frame = read_snapshot(spark, path)
+    assert frame.dtypes == [(c, "string") for c in (*CARD.columns, MALFORMED)]
     row = frame.first()
     assert (row.ID, row.AGE, row.LIMIT_BAL) == ("007", None, "100000")
 
@@ -56,7 +57,6 @@ def test_files_in_folders_below_belong_to_the_snapshot(spark, tmp_path):
     (tmp_path / "_SUCCESS").write_text("")
     frame = read_snapshot(spark, str(tmp_path))
     assert rows_of(frame, "ID") == [("1",), ("2",)]
-    assert file_digests(spark, str(tmp_path)).count() == 2
 
 
 def test_rows_with_surplus_or_missing_fields_are_rejected(spark, tmp_path):
@@ -73,60 +73,52 @@ def test_rows_with_surplus_or_missing_fields_are_rejected(spark, tmp_path):
     assert bronze.count() == 5
 
 
-def test_a_clean_row_has_the_same_hash_with_and_without_capture(spark, tmp_path):
+def test_a_clean_row_has_the_same_hash_from_a_file_and_from_memory(spark, cards, tmp_path):
     path = write(tmp_path / "a.csv", line(), line(ID="2") + ",surplus")
-    kept = prepare(read_snapshot(spark, path), "a" * 64)[0]
-    cut = prepare(read_snapshot(spark, path, keep_malformed=False), "a" * 64)[0]
-    hashes = [{r.ID: r.record_hash for r in f.collect()} for f in (kept, cut)]
-    assert hashes[0]["1"] == hashes[1]["1"] and hashes[0]["2"] != hashes[1]["2"]
+    read = {r.ID: r.record_hash for r in prepare(read_snapshot(spark, path), "a" * 64)[0].collect()}
+    made = {r.ID: r.record_hash for r in prepare(cards(card(), card(ID="2")), "a" * 64)[0].collect()}
+    assert read["1"] == made["1"] and read["2"] != made["2"]
 
 
-def test_one_file_has_its_own_sha256(spark, tmp_path):
+def test_a_pin_is_the_sha256_of_one_file(spark, tmp_path):
     path = tmp_path / "a.csv"
     write(path, line(), line(ID="2"))
-    digest = snapshot_digest(spark, str(path))
+    digest = file_sha256(spark, str(path))
     assert digest == hashlib.sha256(path.read_bytes()).hexdigest()
     assert require_digest(digest, digest) == digest
     with pytest.raises(ValueError, match="checksum"):
         require_digest(digest, "0" * 64)
 
 
-def test_many_files_have_one_digest_that_every_change_moves(spark, tmp_path):
-    one, two = tmp_path / "one", tmp_path / "two"
-    for folder in (one, two):
-        folder.mkdir()
-        for n in range(5):
-            write(folder / f"part-{n}.csv", line(ID=str(n)))
-    first = snapshot_digest(spark, str(one))
-    assert len(first) == 64 and first == snapshot_digest(spark, str(two))
-    write(two / "part-3.csv", line(ID="33"))
-    changed = snapshot_digest(spark, str(two))
-    write(two / "part-3.csv", line(ID="3"))
-    (two / "sub").mkdir()
-    write(two / "sub" / "part-3.csv", line(ID="3"))
-    assert len({first, changed, snapshot_digest(spark, str(two))}) == 3
-
-
-def test_large_files_are_hashed_by_row_whatever_their_order(spark, tmp_path):
-    lines = [line(ID=str(n)) for n in range(200)]
-    folders = [tmp_path / name for name in ("a", "b", "c")]
-    for folder, rows in zip(folders, (lines, lines[::-1], lines[:-1] + [lines[0]])):
-        folder.mkdir()
-        write(folder / "x.csv", *rows)
-        write(folder / "tiny.csv")
-    a, b, c = (
-        {r.path.rsplit("/", 1)[1]: r.digest
-         for r in file_digests(spark, str(f), whole_file_bytes=1000).collect()}
-        for f in folders
-    )
-    assert a == b and a["x.csv"] != c["x.csv"]
-    assert a["tiny.csv"] == hashlib.sha256((folders[0] / "tiny.csv").read_bytes()).hexdigest()
+def test_what_cannot_be_pinned_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="Only one file"):
+        file_sha256(spark, str(tmp_path))
+    write(tmp_path / "a.csv", line())
+    with pytest.raises(ValueError, match="can't be pinned; the limit is 10"):
+        file_sha256(spark, str(tmp_path), limit=10)
+    write(tmp_path / "b.csv", line())
+    with pytest.raises(ValueError, match="has 2"):
+        file_sha256(spark, str(tmp_path))
+
 
+def test_the_identity_ignores_files_rows_and_columns_in_another_order(spark, tmp_path):
+    rows = [line(ID=str(n)) for n in range(50)]
 
-def test_an_empty_folder_is_refused(spark, tmp_path):
-    (tmp_path / "none").mkdir()
-    with pytest.raises(ValueError, match="no files"):
-        snapshot_digest(spark, str(tmp_path / "none"))
+    def identity(*files, header=HEADER):
+        folder = tmp_path / str(len(list(tmp_path.iterdir())))
+        folder.mkdir()
+        for n, lines in enumerate(files):
+            (folder / f"part-{n}.csv").write_text("\n".join([header, *lines]))
+        return snapshot_digest(unique_rows(read_snapshot(spark, str(folder)))).first().digest
+
+    turned = [",".join(reversed(r.split(","))) for r in rows]
+    same = {
+        identity(rows), identity(rows[::-1]), identity(rows[:7], rows[7:]),
+        identity(turned, header=",".join(reversed(CARD.columns))),
+    }
+    assert len(same) == 1
+    others = {identity(rows[:-1]), identity([*rows, rows[0]]), identity([*rows[:-1], rows[0]]), identity([*rows[:-1], rows[-1] + ",x"])}
+    assert len(others) == 4 and not same & others
 
 
 def test_reports_can_be_written(spark, tmp_path):
