@@ -95,4 +95,4 @@ def test_the_derived_account_snapshot_has_the_expected_counts(spark):
         "nonpositive_limit|negative_pay_3": 1,
     }
     found = QUERIES["gold_alerts"](spark, SF).where("alert_status = 'REVIEW'").collect()
-    assert [str(r.month) for r in found] == ["1999-01-01"]
+    assert sorted(str(r.month) for r in found) == ["1999-01-01", "2000-01-01"]
