@@ -109,7 +109,7 @@ def _pooled(net: Net, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def logits(net: Net, texts: list[np.ndarray]) -> np.ndarray:
-    pooled = np.array([_pooled(net, ids)[0] for ids in texts], dtype=np.float32).reshape(len(texts), -1)
+    pooled = np.array([_pooled(net, ids)[0] for ids in texts], dtype=np.float32).reshape(len(texts), len(net.weights))
     return np.maximum(pooled, 0) @ net.weights + net.bias[0]
 
 
