@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-BLOCK = 20_000
+BLOCK = 2_000
 WEIGHTS = (5, 2, 1)
 CAP = 3
 _EPS = 1e-9
