@@ -3,16 +3,24 @@
 1. A map over the texts gives each document the size and a digest of its set of
    word shingles and its signature, the minima of many universal hash functions.
    Documents with equal sets form a class; only its smallest id goes on.
-2. Bands of the signature are bucket keys. In each bucket every member is
-   compared with the smallest id: signatures first, then the full shingle sets.
-3. Linked documents are joined to components. A bucket whose members still lie
-   in several components gets more pivots, eight times as many each round and
-   at last all of them, compared with members of other components only. So a
-   group of near copies costs one comparison per member, and yet every linked
-   pair that shares a bucket ends in one component.
-
-A pair at exactly the threshold misses all buckets with probability MISS; pairs
-above it do more rarely. Pairs that meet are decided on their full sets.
+2. Bands of the signature are bucket keys. In each bucket the members are
+   compared with one pivot, the member with the largest buckets, which in a
+   family of near copies is the text that the others vary: signatures first,
+   then the full shingle sets. Members that are far from the pivot form the
+   bucket again, without it, and get another pivot. Buckets of a few members,
+   eight times as many each round, are compared whole, so rounds are few.
+3. Two members that are not linked to their pivot, or one that is not and one
+   that is, can still be linked with each other. Then they share deviations from
+   the pivot: shingles that both have and it lacks, or the other way round. With
+   w = t |added| + |removed|, a pair at similarity t or more has at least
+   (w1 + w2 - (1 - t) |pivot|) / (1 + t) deviations in common, so one of the
+   rarest deviations of either is common (a prefix filter), and only pairs that
+   meet there are compared. A family of near copies whose edits differ costs
+   rows in proportion to its edits, not to its pairs.
+4. Linked documents are joined to components.
+
+Two linked texts miss each other in all buckets with probability MISS at most.
+Pairs that meet are decided on their full sets.
 """
 
 from __future__ import annotations
@@ -26,6 +34,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 from pyspark.sql.types import LongType
 
 from .components import components
@@ -110,27 +119,65 @@ def _equal_minima(one: pd.Series, other: pd.Series) -> pd.Series:
     return pd.Series((minima(one) == minima(other)).sum(axis=1) if len(one) else [], dtype="int64")
 
 
-def _verified(pairs: DataFrame, leaders: DataFrame, sets: DataFrame, percent: int, bands: int) -> DataFrame:
-    """Pairs (a, b) of classes that are linked: likely by their signatures, and then by their full sets."""
-    n = ROWS * bands
-    share = percent / 100
-    # six standard deviations below the threshold
-    least = math.floor(n * share - 6 * math.sqrt(n * share * (1 - share)))
-    sizes = leaders.select("id", "n_shingles", "signature")
+#: Estimated similarities from which on a member belongs to its pivot's family, and needs no other pivot. Two linked
+#: texts are about as similar to a pivot, so either both are of its family or both get another one; and a pivot that
+#: is far from them is in a few of the many buckets only that they share.
+FAMILY, SETTLED = 0.2, 0.5
+
+
+def _compared(pairs: DataFrame, leaders: DataFrame, sets: DataFrame, bands: int, least: float) -> DataFrame:
+    """(a, b, share, common, n_a, n_b): pairs of classes with their estimated similarity, and from least on the exact one.
+
+    common is the size of the intersection of the full sets, null below least.
+    """
+    signatures = leaders.select("id", "signature")
     likely = (
-        pairs.join(sizes.toDF("a", "n_a", "s_a"), "a")
-        .join(sizes.toDF("b", "n_b", "s_b"), "b")
-        .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-        .where(_equal_minima("s_a", "s_b") >= least)
-        .select("a", "b")
+        pairs.join(signatures.toDF("a", "s_a"), "a").join(signatures.toDF("b", "s_b"), "b")
+        .select("a", "b", "star", (_equal_minima("s_a", "s_b") / F.lit(ROWS * bands)).alias("share"))
     )
-    common = F.size(F.array_intersect("x_a", "x_b"))
-    return (
-        likely.join(sets.toDF("a", "x_a"), "a")
-        .join(sets.toDF("b", "x_b"), "b")
-        .where(common * 100 >= (F.size("x_a") + F.size("x_b") - common) * percent)
-        .select("a", "b")
+    near = F.col("share") >= least
+    # far pairs stay, without their sets
+    wanted = F.when(near, F.col("a"))
+    with_a = likely.withColumn("k", wanted).join(sets.toDF("k", "x_a"), "k", "left").drop("k")
+    with_b = with_a.withColumn("k", F.when(near, F.col("b"))).join(sets.toDF("k", "x_b"), "k", "left").drop("k")
+    common = F.when(near, F.size(F.array_intersect("x_a", "x_b")))
+    return with_b.select("a", "b", "star", "share", common.alias("common"), F.size("x_a").alias("n_a"), F.size("x_b").alias("n_b"))
+
+
+def _is_linked(percent: int):
+    return F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent
+
+
+def _deviating_pairs(family: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(a, b): members of one family in different components that share enough deviations to be linked.
+
+    family has (p, id, linked): a pivot, a member, and whether they are linked.
+    """
+    member = family.join(labels, "id", "left").select("p", "id", "linked", F.coalesce("component", "id").alias("component"))
+    open_ = member.groupBy("p").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")).where("least < most AND n > 1")
+    member = member.join(open_.select("p"), "p")
+    known = member.join(sets.toDF("id", "x"), "id").join(sets.toDF("p", "pivot"), "p")
+    sized = known.select("p", "id", "linked", "component", F.size("pivot").alias("n"), F.array_except("x", "pivot").alias("added"), F.array_except("pivot", "x").alias("removed"))
+    sized = scratch.keep(sized.withColumn("d", F.size("added") + F.size("removed")))
+    rows = sized.select("p", "id", F.explode(F.concat("added", "removed")).alias("token"))
+    # w and the room (1 - t) n in hundredths, so that all bounds are whole numbers
+    w, room = F.size("added") * percent + F.size("removed") * 100, F.col("n") * (100 - percent)
+    members = sized.select("p", "id", "linked", "component", "d", w.alias("w"), room.alias("room"))
+    frequency = rows.groupBy("p", "token").agg(F.count("*").alias("f"))
+    rank = F.row_number().over(Window.partitionBy("p", "id").orderBy("f", "token")) - 1
+    # a token of one member only has a rank, but meets nothing
+    ranked = rows.join(frequency, ["p", "token"]).withColumn("rank", rank).where("f > 1").join(members, ["p", "id"])
+    # at least so many deviations in common, whatever the other text is
+    unlinked = ranked.where("NOT linked").where(F.col("rank") <= F.col("d") - F.greatest(F.lit(1), F.ceil((F.col("w") - F.col("room")) / 100)))
+    every = ranked.where(F.col("rank") < F.col("d") - F.floor(F.col("w") / (100 + percent)))
+    met = unlinked.alias("x").join(
+        every.alias("y"),
+        F.expr(
+            "x.p = y.p AND x.token = y.token AND x.component <> y.component AND (y.linked OR x.id > y.id)"
+            f" AND greatest(x.rank - x.d, y.rank - y.d) <= -ceil((x.w + y.w - x.room) / {100 + percent})"
+        ),
     )
+    return met.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -161,41 +208,40 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
         sketches.join(classes, "digest").where("id = leader").dropDuplicates(["digest"]).select("id", "n_shingles", "signature")
     )
     every = _buckets(leaders, bands)
-    sizes = every.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1")
+    sizes = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = scratch.keep(every.join(sizes, "key"))
-    wanted = buckets.select("id").distinct()
-    sets = scratch.keep(_full_sets(docs, wanted, width).dropDuplicates(["id", "shingles"]))
-    pairs = buckets.where("id > pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    edges = scratch.keep(_verified(pairs, leaders, sets, percent, bands))
-    labels = scratch.keep(components(edges, scratch))
-    edge_tables, pivots = [edges], 8
+    fame = buckets.groupBy("id").agg(F.sum("n").alias("fame"))
+    rest = scratch.keep(buckets.select("key", "id").join(fame, "id"))
+    scratch.drop(buckets)
+    sets = scratch.keep(_full_sets(docs, rest.select("id").distinct(), width).dropDuplicates(["id", "shingles"]))
+    found, whole_up_to = [], 4
     while True:
-        labelled = buckets.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        mixed_keys = labelled.groupBy("key").agg(
-            F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most")
-        ).where("least < most AND n > 2")
-        if pivots > 8:  # buckets whose members were all pivots are done
-            mixed_keys = mixed_keys.where(F.col("n") > pivots // 8)
-        open_ = scratch.keep(labelled.join(mixed_keys.select("key", "n"), "key"))
-        if open_.isEmpty():
+        best = rest.groupBy("key").agg(F.max(F.struct("fame", (-F.col("id")).alias("id"))).alias("top"), F.count("*").alias("n"))
+        best = best.where("n > 1").select("key", (-F.col("top.id")).alias("p"), "n")
+        met = scratch.keep(rest.join(best, "key"))
+        # a few members are compared with each other, more with their pivot
+        few, many = met.where(F.col("n") <= whole_up_to), met.where((F.col("n") > whole_up_to) & (F.col("id") != F.col("p")))
+        direct = few.alias("x").join(few.alias("y"), F.expr("x.key = y.key AND x.id > y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(False).alias("star"))
+        star = many.select(F.col("id").alias("a"), F.col("p").alias("b"), F.lit(True).alias("star"))
+        pairs = direct.unionAll(star).groupBy("a", "b").agg(F.max("star").alias("star"))
+        compared = scratch.keep(_compared(pairs, leaders, sets, bands, FAMILY))
+        found.append(compared)
+        far = compared.where(F.col("star") & (F.col("share") < SETTLED)).select(F.col("a").alias("id"), F.col("b").alias("p"))
+        left = scratch.keep(many.join(far, ["id", "p"]).select("key", "id", "fame"))
+        scratch.drop(rest, met)
+        rest, whole_up_to = left, 8 * whole_up_to
+        if rest.isEmpty():
             break
-        # about so many pivots in a bucket, chosen by a hash of the id
-        open_ = open_.withColumn("pivot", (F.col("n") <= pivots) | (F.pmod(F.xxhash64("id", F.lit(pivots)), F.col("n")) < pivots))
-        one, other = open_.where("pivot").alias("p"), open_.alias("m")
-        met = one.join(other, F.expr("p.key = m.key AND p.component <> m.component AND (p.id > m.id OR NOT m.pivot)"))
-        pairs = met.select(F.greatest("p.id", "m.id").alias("a"), F.least("p.id", "m.id").alias("b")).distinct()
-        found = scratch.keep(_verified(pairs, leaders, sets, percent, bands))
-        if not found.isEmpty():
-            edge_tables.append(found)
-            # components are joined like nodes: labels of a found link are linked
-            joined = (
-                found.join(labels.toDF("a", "c_a"), "a", "left").join(labels.toDF("b", "c_b"), "b", "left")
-                .select(F.coalesce("c_a", "a").alias("x"), F.coalesce("c_b", "b").alias("y")).where("x <> y")
-                .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
-            )
-            stars = labels.where("id > component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-            labels = scratch.keep(components(stars.unionAll(joined), scratch))
-        pivots *= 8
+    compared = found[0]
+    for part in found[1:]:
+        compared = compared.unionAll(part)
+    edges = compared.where(_is_linked(percent)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    labels = scratch.keep(components(edges, scratch))
+    family = compared.where("star AND common IS NOT NULL").select(F.col("b").alias("p"), F.col("a").alias("id"), _is_linked(percent).alias("linked"))
+    more = scratch.keep(_deviating_pairs(family.groupBy("p", "id").agg(F.max("linked").alias("linked")), sets, labels, percent, scratch))
+    if not more.isEmpty():
+        late = _compared(more.withColumn("star", F.lit(False)), leaders, sets, bands, 0.0).where(_is_linked(percent)).select("a", "b")
+        labels = scratch.keep(components(edges.unionAll(late), scratch))
     scratch.drop(sets)
     whole = sketches.join(classes, "digest", "left").join(labels.withColumnRenamed("id", "leader"), "leader", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "leader")).otherwise(F.col("id"))
