@@ -15,6 +15,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ CHANCE = 2.5
 RATE = 0.003
 RATE_WORDS = 0.02
 #: The classifier is fitted on at most this many labelled rows, and calibrated on at most as many.
-SAMPLE = 6000
+SAMPLE = 5000
 #: Score from which on a document is toxic, unless its language's calibration says otherwise.
 THRESHOLD = 0.7
 #: Clean calibration rows of a language that its threshold may reject.
@@ -229,19 +230,24 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
         marked.where(fold == part).select("doc_id", "toxic", F.lit(part).alias("part"), order.alias("order")).orderBy("order", "doc_id").limit(sample) for part in (0, 2)
     ]
     chosen = F.broadcast(ids[0].unionAll(ids[1]))  # twice the sample at most, of ids and labels
-    rows = docs.select("doc_id", "text", "lang").join(chosen, "doc_id").orderBy("order", "doc_id", "text").toPandas()
-    parts = {}
-    for part in (0, 2):
-        own = rows[rows["part"] == part]
-        parts[part] = slots(pa.array(own["text"], pa.string())), own["toxic"].to_numpy(dtype=np.float64), own["lang"]
-    net = fit(parts[0][0], parts[0][1])
-    seen, truth, langs = parts[2]
-    values = logits(net, seen).astype(np.float64)
+    rows = docs.select("doc_id", "text", "lang").join(chosen, "doc_id").orderBy("order", "doc_id", "text").select("text", "lang", "toxic", "part").toArrow()
+
+    def part(fold: int) -> pa.Table:
+        return rows.filter(pc.equal(rows["part"], fold)).combine_chunks()
+
+    def texts_of(table: pa.Table) -> list[np.ndarray]:
+        return [ids for chunk in table["text"].chunks for ids in slots(chunk)]
+
+    own = part(0)
+    net = fit(texts_of(own), own["toxic"].to_numpy().astype(np.float64))
+    own = part(2)
+    truth, langs = own["toxic"].to_numpy().astype(np.float64), np.array(own["lang"].to_pylist(), dtype=object)
+    values = logits(net, texts_of(own)).astype(np.float64)
     slope, offset = _calibrate(values, truth)
     scores = 1 / (1 + np.exp(-np.clip(slope * values + offset, -30, 30)))
     thresholds = {}
     for lang in sorted({x for x in langs if isinstance(x, str)}):
-        clean = np.sort(scores[(langs == lang).to_numpy() & (truth == 0)])[::-1]
+        clean = np.sort(scores[(langs == lang) & (truth == 0)])[::-1]
         if len(clean):
             allowed = int(FALSE_SHARE * len(clean))
             thresholds[lang] = max(THRESHOLD, float(clean[min(allowed, len(clean) - 1)]) + 1e-6)

@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Spark's SQL pattern of the same bytes: space and \\t to \\r separate.
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
@@ -118,7 +119,7 @@ def split(texts: pa.Array, is_word: np.ndarray) -> Words:
 
 def slices(texts: pa.Array, limit: int = _BLOCK) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about limit bytes together; a longer text is alone."""
-    sizes = np.cumsum(pa.compute.binary_length(texts.cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False))
+    sizes = np.cumsum(pc.binary_length(texts.cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False))
     lo = 0
     while lo < len(texts):
         begun = sizes[lo - 1] if lo else 0
