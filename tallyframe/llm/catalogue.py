@@ -38,11 +38,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = imatch.fingerprints(spark, _table(spark, sf_dir, "documents"))
-    return found.select(
-        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("edited_sha256"),
-        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
-    )
+    return imatch.fingerprints(spark, _table(spark, sf_dir, "documents"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,9 +3,8 @@
 A term's document frequency is counted over all texts. Terms within a band of
 inverse document frequencies make the lexicon. It is drawn into random parts
 several times, each time from a smaller share of the lexicon, so that short and
-long texts find parts in which they have few terms. The distinct terms of a
-text in a part, in sorted order, are hashed; the hashes of all parts are the
-fingerprint. Two fingerprints are as alike as the share of parts, of those
+long texts find parts in which they have few terms. The set of distinct terms of a
+text in a part is hashed; the hashes of all parts are the fingerprint. Two fingerprints are as alike as the share of parts, of those
 where either text has a term, on which they agree.
 """
 
@@ -22,7 +21,7 @@ from .scratch import Scratch
 
 #: Shares of the documents that a lexicon term is found in.
 BAND = (0.0005, 0.2)
-PARTS = 64
+PARTS = 32
 #: Each draw takes the terms whose hash ends in so many zero bits.
 DRAWS = (0, 3)
 #: Ranges of ids in which documents get their follower, at least; more if they would hold more text than that.
@@ -117,16 +116,16 @@ def _in_draw() -> Column:
 
 
 def fingerprints(spark: SparkSession, docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """doc_id, text, next, edited, fingerprint, edited_fingerprint, near_edited, near_next of every row of docs.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row of docs.
 
-    next is the following text (with_followers), edited the text with its last
-    half replaced by the first as many characters of next. Null texts count as
+    The edited text is the text with its last half replaced by the first as
+    many characters of the following text (with_followers). Null texts count as
     empty; a text without lexicon terms has a fingerprint of zeros, and two
     such are alike. Equal texts have equal fingerprints, whatever their rows.
     No rows give no rows.
     """
-    n_docs = docs.count()
-    terms = Scratch(spark, "lexicon").keep(lexicon(docs, n_docs, band))
+    scratch = Scratch(spark, "lexicon")
+    terms = scratch.keep(lexicon(docs, docs.count(), band))
     rows = with_followers(spark, docs).withColumn("edited", F.when(~F.col("guest"), edited(F.col("text"), F.col("next"))))
     by = ["range", "place", "version"]
     versions = F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("text").alias("body")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("body"))))
@@ -134,9 +133,10 @@ def fingerprints(spark: SparkSession, docs: DataFrame, band: tuple[float, float]
     met = words.select(*by, F.explode(_terms(F.col("body"))).alias("term")).join(F.broadcast(terms), "term")
     draw = F.explode(F.array(*[F.lit(i) for i in range(len(DRAWS))])).alias("draw")
     drawn = met.select(*by, "term", draw).where(_in_draw())
-    part = F.pmod(F.xxhash64("term", "draw"), F.lit(PARTS)) + F.col("draw") * PARTS
-    # all groupings below keep to the range that the rows are dealt by: no shuffle
-    hashed = drawn.groupBy(*by, part.cast("int").alias("part")).agg(F.xxhash64(F.array_sort(F.collect_list("term"))).alias("hash"))
+    part = (F.pmod(F.xxhash64("term", "draw"), F.lit(PARTS)) + F.col("draw") * PARTS).cast("int")
+    # The groupings keep to the range that the rows are dealt by, so they need no shuffle. The terms of a text are
+    # distinct, and the hash of a part is the exclusive or of theirs: it needs no order to be the same for equal sets.
+    hashed = drawn.groupBy(*by, part.alias("part")).agg(F.bit_xor(F.xxhash64("term", "draw", F.lit("part"))).alias("hash"))
     digits = F.lpad(F.hex(F.pmod("hash", F.lit(16**_DIGITS - 1)) + 1), _DIGITS, "0")
     listed = hashed.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("part", digits.alias("digits")))).alias("parts"))
     every = F.sequence(F.lit(0), F.lit(PARTS * len(DRAWS) - 1))
@@ -145,13 +145,12 @@ def fingerprints(spark: SparkSession, docs: DataFrame, band: tuple[float, float]
         F.max(F.when(F.col("version") == 0, printed)).alias("own"), F.max(F.when(F.col("version") == 1, printed)).alias("other")
     )
     none = F.lit(_EMPTY * (PARTS * len(DRAWS)))
-    whole = rows.join(prints, ["range", "place"], "left").select(
-        "range", "place", "guest", "doc_id", "text", "next", "edited",
-        F.coalesce("own", none).alias("fingerprint"), F.coalesce("other", none).alias("edited_fingerprint"),
-    )
-    whole = whole.withColumn("next_fingerprint", F.lead("fingerprint").over(Window.partitionBy("range").orderBy("place"))).where("NOT guest")
-    return whole.select(
-        "doc_id", "text", "next", "edited", "fingerprint", "edited_fingerprint",
+    # what is joined and ordered from here on is narrow
+    narrow = rows.select("range", "place", "guest", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    whole = narrow.join(prints, ["range", "place"], "left").withColumn("fingerprint", F.coalesce("own", none)).withColumn("edited_fingerprint", F.coalesce("other", none))
+    following = F.lead("fingerprint").over(Window.partitionBy("range").orderBy("place"))
+    return whole.withColumn("next_fingerprint", following).where("NOT guest").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )
