@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from .words import BY_LETTER
 
@@ -140,7 +140,6 @@ class ItemAutomaton:
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-_FOUND = "n_words long, spans array<struct<start:long,stop:long>>, items array<string>"
 
 
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -154,7 +153,7 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _one_pass(found: DataFrame, row: str, automaton: ItemAutomaton, names: list[str]) -> DataFrame:
+def _one_pass(found: DataFrame, kind: StructType, automaton: ItemAutomaton, names: list[str]) -> DataFrame:
     """found with the hits of one block of items added."""
     shared = found.sparkSession.sparkContext.broadcast((automaton, names))
 
@@ -172,7 +171,7 @@ def _one_pass(found: DataFrame, row: str, automaton: ItemAutomaton, names: list[
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "spans", "items"])
 
-    return found.mapInArrow(scan, f"row {row}, {_FOUND}")
+    return found.mapInArrow(scan, kind)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -191,10 +190,10 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window
         F.struct("*").alias("row"), F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<struct<start:long,stop:long>>").alias("spans"), F.array().cast("array<string>").alias("items"),
     )
-    row = found.schema["row"].dataType.simpleString()
+    kind = found.schema
     for block in range(blocks):
         held = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()  # about BLOCK_BYTES of text
-        found = _one_pass(found, row, ItemAutomaton([normal_words(r.text) for r in held], window), [r.item for r in held])
+        found = _one_pass(found, kind, ItemAutomaton([normal_words(r.text) for r in held], window), [r.item for r in held])
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     return found.select("row", "n_words", n_hit.alias("n_hit"), "spans", "items")
 

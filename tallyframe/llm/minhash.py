@@ -57,18 +57,20 @@ def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 64, n, dtype=np.uint64) | np.uint64(1), rng.integers(0, 1 << 64, n, dtype=np.uint64)
 
 
-def _shingle_sets(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
-    """Of each row, the sorted hashes of its distinct shingles."""
-    for _, words in sliced(batch, "text", BY_SPACE):
+def _shingle_sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Slices of a batch, and of each of their rows the sorted hashes of its distinct shingles."""
+    for rows, words in sliced(batch, "text", BY_SPACE):
         hashes = words.hashes(fold=True)
         shingles = runs(hashes, width)
+        sets = []
         for lo, hi in zip(words.first[:-1], words.first[1:]):
             if hi - lo >= width:
-                yield np.unique(shingles[lo : hi - width + 1])
+                sets.append(np.unique(shingles[lo : hi - width + 1]))
             elif hi > lo:
-                yield mixed(runs(hashes[lo:hi], hi - lo) + np.uint64(hi - lo))
+                sets.append(mixed(runs(hashes[lo:hi], hi - lo) + np.uint64(hi - lo)))
             else:
-                yield np.empty(0, dtype=np.uint64)
+                sets.append(np.empty(0, dtype=np.uint64))
+        yield rows, sets
 
 
 def _signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -82,16 +84,16 @@ def _sketches(docs: DataFrame, width: int, bands: int) -> DataFrame:
     def sketch(batches):
         a, b = _functions(ROWS * bands)
         for batch in batches:
-            sets = list(_shingle_sets(batch, width))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                    pa.array([_signature(s, a, b).tobytes() for s in sets], pa.binary()),
-                ],
-                ["id", "n_shingles", "digest", "signature"],
-            )
+            for rows, sets in _shingle_sets(batch, width):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column(0),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                        pa.array([_signature(s, a, b).tobytes() for s in sets], pa.binary()),
+                    ],
+                    ["id", "n_shingles", "digest", "signature"],
+                )
 
     return docs.mapInArrow(sketch, "id long, n_shingles long, digest binary, signature binary")
 
@@ -183,8 +185,9 @@ def _deviating_pairs(family: DataFrame, sets: DataFrame, labels: DataFrame, perc
 def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     def sets(batches):
         for batch in batches:
-            rows = [s.view(np.int64) for s in _shingle_sets(batch, width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["id", "shingles"])
+            for rows, found in _shingle_sets(batch, width):
+                own = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([rows.column(0), own], ["id", "shingles"])
 
     return docs.join(ids, docs.doc_id == ids.id, "left_semi").mapInArrow(sets, "id long, shingles array<long>")
 

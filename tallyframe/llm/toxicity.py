@@ -13,13 +13,13 @@ import math
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .words import BY_LETTER, mixed, sliced
+from .words import BY_LETTER, mixed, sliced, slices
 
 SLOTS = 1 << 18
 DIMENSION = 8
@@ -213,8 +213,12 @@ class Model(NamedTuple):
     thresholds: dict[str, float]
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        value = self.slope * logits(self.net, slots(texts)).astype(np.float64) + self.offset
-        return 1 / (1 + np.exp(-np.clip(value, -30, 30)))
+        """The score of each text, slice by slice."""
+        out = [np.empty(0)]
+        for lo, hi in slices(texts):
+            value = self.slope * logits(self.net, slots(texts.slice(lo, hi - lo))).astype(np.float64) + self.offset
+            out.append(1 / (1 + np.exp(-np.clip(value, -30, 30))))
+        return np.concatenate(out)
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -264,11 +268,13 @@ def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
     listed = spark.createDataFrame([(k, float(v)) for k, v in model.thresholds.items()], "listed string, own double")
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.scores(pa.array(texts, pa.string())))
+    def scored(batches):
+        for batch in batches:
+            found = pa.array(shared.value.scores(batch.column(0).field("text")), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], ["row", "score"])
 
-    whole = docs.select(F.struct("*").alias("row"), scored("text").alias("score"))
+    packed = docs.select(F.struct("*").alias("row"))
+    whole = packed.mapInArrow(scored, StructType([packed.schema["row"], StructField("score", DoubleType())]))
     return (
         whole.join(F.broadcast(listed), F.col("row.lang") == F.col("listed"), "left")
         .select("row", F.col("row.doc_id").alias("doc_id"), "score", F.coalesce("own", F.lit(THRESHOLD)).alias("threshold"))
