@@ -3,8 +3,9 @@
 Words and their beginnings are hashed into a table of embeddings and summed. Filters of several widths slide
 over them; the largest value of each filter over the whole text goes through a
 logistic layer. Training is by Adam on a bounded sample of labelled rows. The
-logit is then calibrated on rows that were not trained on, and each language
-gets the threshold from which on its calibration rows are toxic.
+logit is then calibrated on all labelled rows of another third, which are scored
+in tasks and counted by bins of the logit; each language gets the threshold from
+which on its calibration rows are toxic.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .scratch import Scratch
 from .words import BY_LETTER, mixed, sliced, slices
 
 SLOTS = 1 << 18
@@ -33,8 +35,12 @@ BATCH = 16
 CHANCE = 2.5
 RATE = 0.003
 RATE_WORDS = 0.02
-#: The classifier is fitted on at most this many labelled rows, and calibrated on at most as many.
-SAMPLE = 5000
+#: The classifier is fitted on at most this many labelled rows. It is calibrated on all of the other third.
+SAMPLE = 6000
+#: Calibration ids are sent to all tasks up to this number, and joined by shuffle beyond.
+BROADCAST_IDS = 4_000_000
+_BINS = 1000  # of a logit
+_FAR = 100  # logits beyond count as this
 #: Score from which on a document is toxic, unless its language's calibration says otherwise.
 THRESHOLD = 0.7
 #: Clean calibration rows of a language that its threshold may reject.
@@ -114,6 +120,11 @@ def logits(net: Net, texts: list[np.ndarray]) -> np.ndarray:
     return np.maximum(pooled, 0) @ net.weights + net.bias[0]
 
 
+def _logits_of(net: Net, texts: pa.Array) -> np.ndarray:
+    """The logit of each text, slice by slice."""
+    return np.concatenate([np.empty(0), *(logits(net, slots(texts.slice(lo, hi - lo))).astype(np.float64) for lo, hi in slices(texts))])
+
+
 def _evidence(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Signed root of the likelihood ratio between a slot's share of positive and of negative rows.
 
@@ -192,16 +203,16 @@ def _gradients(net: Net, ids: np.ndarray, label: float, gain: float, grads: list
     return np.concatenate(touched), np.concatenate(values)
 
 
-def _calibrate(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic curve of the labels over the logits, by Newton steps."""
+def _calibrate(values: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the logistic curve of the labels over the logits, each met so many times, by Newton steps."""
     if not len(labels) or labels.min() == labels.max():
         return 1.0, 0.0
     x, w = np.column_stack((values, np.ones(len(values)))), np.array([0.5, 0.0])
-    n1, n0 = labels.sum(), (1 - labels).sum()
+    n1, n0 = (labels * counts).sum(), ((1 - labels) * counts).sum()
     goal = np.where(labels > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2), x.T @ (p - goal) + 1e-3 * (w - [0.5, 0.0]))
+        step = np.linalg.solve(x.T @ (x * (counts * p * (1 - p))[:, None]) + 1e-3 * np.eye(2), x.T @ (counts * (p - goal)) + 1e-3 * (w - [0.5, 0.0]))
         w = w - np.clip(step, -1, 1)
     return float(max(w[0], 1e-3)), float(w[1])
 
@@ -213,49 +224,59 @@ class Model(NamedTuple):
     thresholds: dict[str, float]
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        """The score of each text, slice by slice."""
-        out = [np.empty(0)]
-        for lo, hi in slices(texts):
-            value = self.slope * logits(self.net, slots(texts.slice(lo, hi - lo))).astype(np.float64) + self.offset
-            out.append(1 / (1 + np.exp(-np.clip(value, -30, 30))))
-        return np.concatenate(out)
+        """The score of each text."""
+        return self.calibrated(_logits_of(self.net, texts))
+
+    def calibrated(self, values: np.ndarray) -> np.ndarray:
+        """The scores of logits."""
+        return 1 / (1 + np.exp(-np.clip(self.slope * values + self.offset, -30, 30)))
+
+
+def _binned(spark: SparkSession, docs: DataFrame, marked: DataFrame, net: Net) -> DataFrame:
+    """lang, toxic, bin, n: how many rows of docs with a label of marked (doc_id, toxic) have a logit that rounds up to the bin."""
+    shared = spark.sparkContext.broadcast(net)
+
+    def binned(batches):
+        for batch in batches:
+            at = np.ceil(np.clip(_logits_of(shared.value, batch.column(0)), -_FAR, _FAR) * _BINS).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(at)], ["lang", "toxic", "bin"])
+
+    if marked.count() <= BROADCAST_IDS:
+        marked = F.broadcast(marked)
+    rows = docs.join(marked, "doc_id").select("text", "lang", F.col("toxic").cast("int").alias("toxic"))
+    return rows.mapInArrow(binned, "lang string, toxic int, bin long").groupBy("lang", "toxic", "bin").agg(F.count("*").alias("n"))
+
+
+def _limits(bins: DataFrame) -> dict[str, float]:
+    """The logit of each language that FALSE_SHARE of its clean rows exceed at most, rounded up to a bin."""
+    by_lang = Window.partitionBy("lang")
+    clean = bins.where("toxic = 0 AND lang IS NOT NULL")
+    ranked = clean.withColumn("from", F.sum("n").over(by_lang.orderBy(F.col("bin").desc()))).withColumn("all", F.sum("n").over(by_lang))
+    found = ranked.where(F.col("from") > F.floor(FALSE_SHARE * F.col("all"))).groupBy("lang").agg(F.max("bin").alias("bin"))
+    return {r.lang: r.bin / _BINS for r in found.orderBy("lang").collect()}
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of labels (doc_id, toxic) over docs (doc_id, text, lang), from rows whose crc32(doc_id) mod 3 is not 1.
 
-    Remainder 0 is fitted on and remainder 2 calibrated on, each on the sample
-    rows of smallest hash at most. Without labelled rows every score is 0.5.
+    Remainder 0 is fitted on, on the sample rows of smallest hash at most.
+    All rows of remainder 2 are scored and give the calibration and the
+    thresholds, through counts by bins of a thousandth of a logit. Without
+    labelled rows every score is 0.5.
     """
     fold = F.crc32(F.col("doc_id").cast("string")) % 3
     marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").where(fold != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit("toxicity"))
-    ids = [
-        marked.where(fold == part).select("doc_id", "toxic", F.lit(part).alias("part"), order.alias("order")).orderBy("order", "doc_id").limit(sample) for part in (0, 2)
-    ]
-    chosen = F.broadcast(ids[0].unionAll(ids[1]))  # twice the sample at most, of ids and labels
-    rows = docs.select("doc_id", "text", "lang").join(chosen, "doc_id").orderBy("order", "doc_id", "text").select("text", "lang", "toxic", "part").toArrow()
-
-    def part(fold: int) -> pa.Table:
-        return rows.filter(pc.equal(rows["part"], fold)).combine_chunks()
-
-    def texts_of(table: pa.Table) -> list[np.ndarray]:
-        return [ids for chunk in table["text"].chunks for ids in slots(chunk)]
-
-    own = part(0)
-    net = fit(texts_of(own), own["toxic"].to_numpy().astype(np.float64))
-    own = part(2)
-    truth, langs = own["toxic"].to_numpy().astype(np.float64), np.array(own["lang"].to_pylist(), dtype=object)
-    values = logits(net, texts_of(own)).astype(np.float64)
-    slope, offset = _calibrate(values, truth)
-    scores = 1 / (1 + np.exp(-np.clip(slope * values + offset, -30, 30)))
-    thresholds = {}
-    for lang in sorted({x for x in langs if isinstance(x, str)}):
-        clean = np.sort(scores[(langs == lang) & (truth == 0)])[::-1]
-        if len(clean):
-            allowed = int(FALSE_SHARE * len(clean))
-            thresholds[lang] = max(THRESHOLD, float(clean[min(allowed, len(clean) - 1)]) + 1e-6)
-    return Model(net, slope, offset, thresholds)
+    chosen = F.broadcast(marked.where(fold == 0).select("doc_id", "toxic", order.alias("order")).orderBy("order", "doc_id").limit(sample))
+    own = docs.select("doc_id", "text").join(chosen, "doc_id").orderBy("order", "doc_id", "text").select("text", "toxic").toArrow()
+    net = fit([ids for chunk in own["text"].chunks for ids in slots(chunk)], own["toxic"].to_numpy().astype(np.float64))
+    bins = Scratch(spark, "toxicity").keep(_binned(spark, docs.select("doc_id", "text", "lang"), marked.where(fold == 2), net))
+    counted = bins.groupBy("toxic", "bin").agg(F.sum("n").alias("n")).orderBy("toxic", "bin").toArrow()
+    truth, at, n = (counted[c].to_numpy().astype(np.float64) for c in ("toxic", "bin", "n"))
+    model = Model(net, *_calibrate((at - 0.5) / _BINS, truth, n), {})
+    for lang, limit in _limits(bins).items():
+        model.thresholds[lang] = max(THRESHOLD, float(np.nextafter(model.calibrated(np.float64(limit)), 2)))
+    return model
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:

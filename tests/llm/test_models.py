@@ -316,6 +316,21 @@ def test_toxicity_of_odd_rows(spark, odd, nothing):
     assert len(toxicity.score(spark, odd, empty).collect()) == odd.count()
 
 
+def test_thresholds_cover_rows_beyond_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "THRESHOLD", 0.0)
+    monkeypatch.setattr(toxicity, "FALSE_SHARE", 0.1)
+    docs = [(i, " ".join(f"w{i * j * j % 97}" for j in range(1, 9)), "en" if i % 4 else "es") for i in range(1500)]
+    labels = [(i, int(i % 5 == 0)) for i in range(1500)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = toxicity.train(spark, frame, spark.createDataFrame(labels, "doc_id long, toxic int"), sample=20)
+    for lang in ("en", "es"):
+        own = [t for (i, t, x), (_, toxic) in zip(docs, labels) if x == lang and not toxic and zlib.crc32(str(i).encode()) % 3 == 2]
+        scores = np.sort(model.scores(pa.array(own)))[::-1]
+        allowed = int(0.1 * len(own))
+        assert allowed >= 8 and (scores >= model.thresholds[lang]).sum() <= allowed
+        assert model.thresholds[lang] == pytest.approx(scores[allowed], abs=model.slope / 1000)
+
+
 # --- pipeline ------------------------------------------------------------------------
 
 
