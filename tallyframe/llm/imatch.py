@@ -21,9 +21,9 @@ from .scratch import Scratch
 
 #: Shares of the documents that a lexicon term is found in.
 BAND = (0.0005, 0.2)
-PARTS = 32
+PARTS = 64
 #: Each draw takes the terms whose hash ends in so many zero bits.
-DRAWS = (0, 3)
+DRAWS = (0, 3, 6)
 #: Ranges of ids in which documents get their follower, at least; more if they would hold more text than that.
 RANGES = 200
 RANGE_BYTES = 256 << 20
@@ -102,11 +102,11 @@ def edited(text: Column, following: Column) -> Column:
 
 def likeness(one: Column, other: Column) -> Column:
     """Share of parts on which two fingerprints agree, of those where either has a term; 1 if neither has any."""
-    places = F.sequence(F.lit(0), F.lit(PARTS * len(DRAWS) - 1))
-    digits = lambda f, p: F.substring(f, p * _DIGITS + 1, F.lit(_DIGITS))
-    used = F.filter(places, lambda p: (digits(one, p) != _EMPTY) | (digits(other, p) != _EMPTY))
-    same = F.filter(used, lambda p: digits(one, p) == digits(other, p))
-    return F.when(F.size(used) == 0, F.lit(1.0)).otherwise(F.size(same) / F.size(used))
+    digits = lambda f: F.regexp_extract_all(f, F.lit("." * _DIGITS), F.lit(0))
+    # null where neither has a term
+    agree = F.zip_with(digits(one), digits(other), lambda a, b: F.when((a != _EMPTY) | (b != _EMPTY), a == b))
+    used, same = F.size(F.array_compact(agree)), F.size(F.filter(agree, lambda x: x))
+    return F.when(used == 0, F.lit(1.0)).otherwise(same / used)
 
 
 def _in_draw() -> Column:

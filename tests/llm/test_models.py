@@ -92,6 +92,15 @@ def test_edits_stay_nearer_than_other_documents(spark, sf):
     assert np.mean([r.near_edited > r.near_next for r in rows]) > 0.9
 
 
+def test_small_edits_of_long_texts_leave_most_parts(spark):
+    long = [f"w{i}" for i in range(4000)]
+    texts = [long, [*long[:-10], *(f"v{i}" for i in range(10))]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = imatch.fingerprints(spark, docs, (0.0, 1.0)).collect()
+    # a draw of every 64th term leaves all but a few parts of it as they are
+    assert all(len(r.fingerprint) == 4 * 192 and r.near_next > 0.8 for r in rows)
+
+
 def test_fingerprints_of_nothing(spark, nothing):
     assert imatch.fingerprints(spark, nothing).count() == 0
 
