@@ -1,11 +1,12 @@
 """Document fingerprints after I-Match, in DataFrame operations only.
 
-A term's document frequency is counted over all texts. Terms within a band of
+A term's document frequency is counted over all distinct texts. Terms within a band of
 inverse document frequencies make the lexicon. It is drawn into random parts
 several times, each time from a smaller share of the lexicon, so that short and
 long texts find parts in which they have few terms. The set of distinct terms of a
 text in a part is hashed; the hashes of all parts are the fingerprint. Two fingerprints are as alike as the share of parts, of those
-where either text has a term, on which they agree.
+where either text has a term, on which they agree. A text with terms, but none of the lexicon, has
+hashes of its whole set of terms in all parts.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Window
 
 from .scratch import Scratch
 
-#: Shares of the documents that a lexicon term is found in.
+#: Shares of the distinct texts that a lexicon term is found in.
 BAND = (0.0005, 0.2)
 PARTS = 64
 #: Each draw takes the terms whose hash ends in so many zero bits.
@@ -27,6 +28,8 @@ DRAWS = (0, 3, 6)
 #: Ranges of ids in which documents get their follower, at least; more if they would hold more text than that.
 RANGES = 200
 RANGE_BYTES = 256 << 20
+#: Hashes of texts with copies are sent to all tasks up to this number, and joined by shuffle beyond.
+BROADCAST_TEXTS = 1_000_000
 _DIGITS = 4
 _EMPTY = "0" * _DIGITS
 
@@ -38,14 +41,39 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w)))
 
 
-def lexicon(docs: DataFrame, n_docs: int, band: tuple[float, float] = BAND) -> DataFrame:
-    """Hashes of the terms found in a share of the documents within the band.
+def _copied(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
+    """copied, copies: the hash and the number of rows of each text with several rows; and how many texts there are."""
+    texts = scratch.keep(docs.groupBy(_text_hash().alias("copied")).agg(F.count("*").alias("copies")))
+    return texts.where("copies > 1"), texts.count()
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def lexicon(docs: DataFrame, scratch: Scratch, band: tuple[float, float] = BAND) -> DataFrame:
+    """Hashes of the terms found in a share of the distinct texts within the band.
 
     Its size is bounded by the mean number of distinct terms of a text divided
-    by the lower share, however many documents there are.
+    by the lower share, however many documents there are. Texts are told apart
+    by 64-bit hashes. Each copy of a text counts as its share of one text, so
+    that no text is shuffled to find its copies.
     """
-    counted = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    low, high = max(1.0, band[0] * n_docs), max(1.0, band[1] * n_docs)
+    copied, n_texts = _copied(docs, scratch)
+    rows = docs.select("text", _text_hash().alias("hash"))
+    if copied.count() <= BROADCAST_TEXTS:
+        weighed = rows.join(F.broadcast(copied), F.col("hash") == F.col("copied"), "left")
+    else:
+        # texts with over a thousandth of the rows, fewer than 1,000, are sent to all tasks; their rows are spread
+        often = copied.where(F.col("copies") * 1000 > docs.count())
+        seldom = copied.join(F.broadcast(often.select("copied")), "copied", "left_anti").select(F.col("copied").alias("other"), F.col("copies").alias("own"))
+        weighed = rows.join(F.broadcast(often), F.col("hash") == F.col("copied"), "left")
+        key = F.when(F.col("copied").isNull(), F.col("hash")).otherwise(F.xxhash64("hash", F.monotonically_increasing_id()))
+        weighed = weighed.withColumn("key", key).join(seldom, F.col("key") == F.col("other"), "left").withColumn("copies", F.coalesce("copies", "own"))
+    found = weighed.select("copies", F.explode(_terms(F.col("text"))).alias("term")).groupBy("term")
+    # the shares of a text add up to one but for rounding
+    counted = found.agg((F.count_if(F.col("copies").isNull()) + F.round(F.coalesce(F.sum(1 / F.col("copies")), F.lit(0.0)))).alias("n"))
+    low, high = max(1.0, band[0] * n_texts), max(1.0, band[1] * n_texts)
     return counted.where(F.col("n").between(low, high)).select("term")
 
 
@@ -120,27 +148,44 @@ def fingerprints(spark: SparkSession, docs: DataFrame, band: tuple[float, float]
 
     The edited text is the text with its last half replaced by the first as
     many characters of the following text (with_followers). Null texts count as
-    empty; a text without lexicon terms has a fingerprint of zeros, and two
-    such are alike. Equal texts have equal fingerprints, whatever their rows.
+    empty; a text without terms has a fingerprint of zeros, and two such are
+    alike. Texts without lexicon terms are alike if their sets of terms are
+    equal. Equal texts have equal fingerprints, whatever their rows.
     No rows give no rows.
     """
     scratch = Scratch(spark, "lexicon")
-    terms = scratch.keep(lexicon(docs, docs.count(), band))
+    terms = scratch.keep(lexicon(docs, scratch, band))
     rows = with_followers(spark, docs).withColumn("edited", F.when(~F.col("guest"), edited(F.col("text"), F.col("next"))))
     by = ["range", "place", "version"]
     versions = F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("text").alias("body")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("body"))))
     words = rows.select("range", "place", versions.alias("v")).select("range", "place", "v.*").where("body IS NOT NULL")
-    met = words.select(*by, F.explode(_terms(F.col("body"))).alias("term")).join(F.broadcast(terms), "term")
+    listed_terms = words.select(*by, _terms(F.col("body")).alias("terms")).where(F.size("terms") > 0)
+    # beside its terms, each text has a row with the hash of them all
+    whole = F.xxhash64(F.sort_array("terms"))
+    no = F.lit(None).cast("long")
+    each = F.concat(F.transform("terms", lambda t: F.struct(t.alias("term"), no.alias("whole"))), F.array(F.struct(no.alias("term"), whole.alias("whole"))))
+    exploded = listed_terms.select(*by, F.inline(each))
+    met = exploded.join(F.broadcast(terms.withColumnRenamed("term", "known")), F.col("term") == F.col("known"), "left").where("known IS NOT NULL OR whole IS NOT NULL")
     draw = F.explode(F.array(*[F.lit(i) for i in range(len(DRAWS))])).alias("draw")
-    drawn = met.select(*by, "term", draw).where(_in_draw())
+    drawn = met.select(*by, "term", "whole", draw).where(F.when(F.col("whole").isNull(), _in_draw()).otherwise(F.col("draw") == 0))
     part = (F.pmod(F.xxhash64("term", "draw"), F.lit(PARTS)) + F.col("draw") * PARTS).cast("int")
+    part = F.when(F.col("whole").isNull(), part).otherwise(-1)
     # The groupings keep to the range that the rows are dealt by, so they need no shuffle. The terms of a text are
     # distinct, and the hash of a part is the exclusive or of theirs: it needs no order to be the same for equal sets.
-    hashed = drawn.groupBy(*by, part.alias("part")).agg(F.bit_xor(F.xxhash64("term", "draw", F.lit("part"))).alias("hash"))
-    digits = F.lpad(F.hex(F.pmod("hash", F.lit(16**_DIGITS - 1)) + 1), _DIGITS, "0")
-    listed = hashed.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("part", digits.alias("digits")))).alias("parts"))
+    hashed = drawn.groupBy(*by, part.alias("part")).agg(
+        F.bit_xor(F.coalesce("whole", F.xxhash64("term", "draw", F.lit("part")))).alias("hash")
+    )
+    digits = lambda h: F.lpad(F.hex(F.pmod(h, F.lit(16**_DIGITS - 1)) + 1), _DIGITS, "0")
+    listed = hashed.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("part") >= 0, F.struct("part", digits(F.col("hash")).alias("digits"))))).alias("parts"),
+        F.max(F.when(F.col("part") < 0, F.col("hash"))).alias("whole"),
+        F.max("part").alias("last"),
+    )
     every = F.sequence(F.lit(0), F.lit(PARTS * len(DRAWS) - 1))
-    printed = F.array_join(F.transform(every, lambda p: F.coalesce(F.try_element_at("parts", p), F.lit(_EMPTY))), "")
+    # a part is a hash of its terms, or of all terms if none is in the lexicon
+    told = F.transform(every, lambda p: F.coalesce(F.try_element_at("parts", p), F.lit(_EMPTY)))
+    alone = F.transform(every, lambda p: digits(F.xxhash64("whole", p)))
+    printed = F.array_join(F.when(F.col("last") >= 0, told).otherwise(alone), "")
     prints = listed.groupBy("range", "place").agg(
         F.max(F.when(F.col("version") == 0, printed)).alias("own"), F.max(F.when(F.col("version") == 1, printed)).alias("other")
     )

@@ -92,6 +92,22 @@ def test_edits_stay_nearer_than_other_documents(spark, sf):
     assert np.mean([r.near_edited > r.near_next for r in rows]) > 0.9
 
 
+def test_copies_and_rare_words_keep_their_fingerprints(spark, monkeypatch):
+    copied = " ".join(f"c{i}" for i in range(40))
+    texts = [copied] * 20 + [f"own{i} word{i} text{i % 7}" for i in range(30)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for limit in (imatch.BROADCAST_TEXTS, 0):
+        monkeypatch.setattr(imatch, "BROADCAST_TEXTS", limit)
+        terms = {r.term for r in imatch.lexicon(docs, Scratch(spark, "test"), (0.0, 0.05)).collect()}
+        wanted = [f"c{i}" for i in range(40)]
+        assert terms >= {r.t for r in spark.createDataFrame([(w,) for w in wanted], "w string").select(F.xxhash64("w").alias("t")).collect()}
+    # none of these terms is in the lexicon: equal sets of terms alone are alike
+    alone = spark.createDataFrame([(5, "a b c"), (4, "c B a a"), (3, "d e f"), (2, ""), (1, None)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in imatch.fingerprints(spark, alone, (0.9, 1.0)).collect()}
+    assert rows[5].near_next == 1 and rows[4].near_next < 0.1 and rows[3].near_next == 0 and rows[2].near_next == 1
+    assert not rows[2].fingerprint.strip("0") and rows[3].fingerprint.strip("0")
+
+
 def test_small_edits_of_long_texts_leave_most_parts(spark):
     long = [f"w{i}" for i in range(4000)]
     texts = [long, [*long[:-10], *(f"v{i}" for i in range(10))]]
