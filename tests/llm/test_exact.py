@@ -1,6 +1,7 @@
 """Operators with one right answer, against plain Python."""
 
 import random
+import re
 
 import brute
 import duckdb
@@ -242,6 +243,30 @@ def test_templates_take_mandatory_wording_only(text, labels, score):
     assert found == labels and 0 <= value <= 1 and (score is None or value == score)
 
 
+def test_whole_licences_are_told_from_altered_ones():
+    built = [[licenses.compile_template(m, x) for m, x in table] for table in (licenses.PHRASES, licenses.TEMPLATES)]
+
+    def scanned(text):
+        _, _, _, labels, score = licenses.scan_text(text, *built)
+        return labels, score
+
+    assert scanned("Licensed under CC BY-SA 4.0") == ({"cc-by-sa-4.0"}, 1.0)
+    for markup, label, extra in ((licenses._MIT, "mit-text", set()), (licenses._BSD, "bsd", set()), (licenses._GPL_NOTICE, "gpl-notice", {"gpl"}), (licenses._APACHE_NOTICE, "apache-2.0-notice", {"apache", "apache-2.0"})):
+        whole = re.sub(r"<<any \d+>>", "x", re.sub(r"<<(optional|end)>>", " ", markup))
+        assert scanned(whole) == ({label} | extra, 1.0)
+        assert label in scanned(re.sub(r"<<optional>>.*?<<end>>", " ", markup.replace("<<any 1>>", ""), flags=re.S).replace("<<any", "").replace(">>", ""))[0]
+        assert label not in scanned(" ".join(whole.split()[:-1]))[0]
+        assert label not in scanned(whole.replace("without any warranty", "with any warranty").replace("in no event shall", "in any event shall").replace("as is basis", "basis"))[0]
+    # what is cut has the share of the mandatory words that it holds, whatever word is missing
+    words = re.sub(r"<<optional>>.*?<<end>>", " ", licenses._MIT.split("<<any 12>>")[0]).split()
+    _, score = scanned(" ".join(words))
+    mandatory = len(re.sub(r"<<optional>>.*?<<end>>|<<any \d+>>", " ", licenses._MIT).split())
+    assert score == pytest.approx(len(words) / mandatory) and 0.5 < score < 1
+    short = [[], [licenses.compile_template("a b c d uncommonly", "x")]]
+    assert licenses.scan_text("a b c d", *short)[4] == pytest.approx(0.8)
+    assert licenses.scan_text("a b", *short)[4] == 0
+
+
 def test_template_regions():
     built = licenses.compile_template("a <<optional>>b <<optional>>c<<end>><<end>> <<any 2>> d", "x")
     yes = ("a d", "a b d", "a b c d", "a q d", "a q q d", "a b c q q d", "a b q d")
