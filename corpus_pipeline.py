@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import decontaminate, linededup, minhash, mixing, toxicity
 from tallyframe.llm.scratch import Scratch
+from tallyframe.llm.words import SPACE_CLASS
+
+#: Digests of repeated texts are sent to all tasks up to this number; beyond, all rows are grouped by theirs.
+BROADCAST_TEXTS = 1_000_000
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +33,28 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return found.select(row.alias("row")).select("row.*")
 
 
+def _one_of_each_text(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """A row for each text, that of the smallest id, with ids or without; rows without words stay.
+
+    Copies collapse in each task before they are shuffled.
+    """
+    digest = F.when(F.col("text").rlike(SPACE_CLASS.replace("[", "[^", 1)), F.sha2("text", 256))
+    rows = docs.select(F.struct("*").alias("row"), digest.alias("digest"), F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("*")).alias("place"))
+    some = rows.where("digest IS NOT NULL")
+    copied = Scratch(spark, "copies").keep(some.groupBy(F.col("digest").alias("copied")).agg(F.count("*").alias("n")).where("n > 1").select("copied"))
+    alone = rows.where("digest IS NULL")
+    if copied.count() <= BROADCAST_TEXTS:
+        met = rows.join(F.broadcast(copied), F.col("digest") == F.col("copied"), "left")
+        some, alone = met.where("copied IS NOT NULL"), met.where("copied IS NULL")
+    return some.groupBy("digest").agg(F.min_by("row", "place").alias("row")).select("row.*").unionAll(alone.select("row.*"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies (five words, similarity 0.8 or more)."""
+    """The document of the smallest id of each group of near copies (five words, similarity 0.8 or more).
+
+    Of rows with equal texts one stays, also of those without an id or of one id.
+    """
+    docs = _one_of_each_text(spark, docs)
     found = minhash.near_duplicates(spark, docs)
     gone = found.where("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

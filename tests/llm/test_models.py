@@ -401,6 +401,18 @@ def test_stages_equal_brute_force(spark, sf, stages):
     assert set(after) <= set(before) and all(r.copies >= 1 for r in after.values())
 
 
+def test_one_of_the_rows_of_an_id_or_of_none_stays(spark, monkeypatch):
+    words = [" ".join(f"{c}{i}" for i in range(12)) for c in "abc"]
+    rows = [(1, words[0]), (1, words[0]), (2, words[0]), (None, words[0]), (None, words[1]), (None, words[1]), (3, words[2]), (4, ""), (None, None), (None, " ")]
+    docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    expected = sorted([(1, words[0]), (None, words[1]), (3, words[2]), (4, ""), (None, None), (None, " ")], key=str)
+    for limit in (corpus_pipeline.BROADCAST_TEXTS, 0):
+        monkeypatch.setattr(corpus_pipeline, "BROADCAST_TEXTS", limit)
+        after = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+        assert after.columns == docs.columns
+        assert sorted(((r.doc_id, r.text) for r in after.collect()), key=str) == expected
+
+
 def test_pipeline_equals_its_stages(spark, sf, stages):
     whole = corpus_pipeline.run(spark, sf)
     assert sorted((r.doc_id, r.text, r.copies) for r in whole.collect()) == sorted((r.doc_id, r.text, r.copies) for r in stages["mixture"][1].collect())
