@@ -1,5 +1,5 @@
 import pytest
-from conftest import card, rows_of
+from card_rows import card, rows_of
 
 from tallyframe import (
     CARD,

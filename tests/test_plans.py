@@ -4,7 +4,7 @@ import re
 import uuid
 
 import pytest
-from conftest import card
+from card_rows import card
 from pyspark.sql import functions as F
 
 from catalogue.queries import QUERIES

@@ -2,7 +2,7 @@
 
 from collections import Counter
 
-from conftest import card
+from card_rows import card
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

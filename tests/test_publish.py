@@ -5,7 +5,7 @@ import uuid
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import card
+from card_rows import card
 from pyspark.sql import functions as F
 
 from tallyframe import CARD, file_sha256, integrity_report, publish, publish_file, read_snapshot

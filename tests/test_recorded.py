@@ -1,6 +1,6 @@
 """Results recorded for a real snapshot of 30,000 accounts, rebuilt from its counts and sums."""
 
-from conftest import rows_of
+from card_rows import rows_of
 from pyspark.sql import functions as F
 
 from catalogue.queries import QUERIES

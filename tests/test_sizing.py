@@ -1,5 +1,5 @@
 import pytest
-from conftest import card
+from card_rows import card
 
 from tallyframe import CARD
 from tallyframe.plans.sizing import INITIAL, MB, SCAN, SHUFFLE, settings_for, sized_for, source_bytes

@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from conftest import card, rows_of
+from card_rows import card, rows_of
 
 from tallyframe import CARD, file_sha256, prepare, read_snapshot, require_digest
 from tallyframe.contract import MALFORMED

@@ -1,7 +1,7 @@
 import json
 import uuid
 
-from conftest import card
+from card_rows import card
 
 from tallyframe import CARD
 from tallyframe.__main__ import main
