@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, imatch, kneser_ney, langid, licenses, linededup, minhash, mixing, rlz, toxicity
+from . import decontaminate, imatch, kneser_ney, langid, licenses, linededup, minhash, mixing, pieces, rlz, toxicity
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -72,10 +72,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "threshold", "rejected")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    found = pieces.encode(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), pieces.ids_sha256("ids").alias("ids_sha256"),
+        F.sha2(pieces.decode(spark, F.col("ids"), model), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_decontamination, op3_license_scan, op4_fingerprints, op5_line_dedup,
         op6_language, op7_quality, op8_mixture, op9_substring_dedup, op10_toxicity,
+        op11_sentencepiece,
     )
 }
