@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, imatch, kneser_ney, langid, licenses, linededup, minhash, mixing, pieces, rlz, toxicity
+from . import decontaminate, imatch, kneser_ney, langid, licenses, linededup, minhash, mixing, pieces, rlz, toxicity, whitening
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -83,11 +83,19 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(spark, _table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    of_each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    return found.select("row.vec_id", "n", "deviation", "identity_error", of_each).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_decontamination, op3_license_scan, op4_fingerprints, op5_line_dedup,
         op6_language, op7_quality, op8_mixture, op9_substring_dedup, op10_toxicity,
-        op11_sentencepiece,
+        op11_sentencepiece, op12_whitening,
     )
 }
