@@ -39,7 +39,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)  # kinds of pieces in
 _NONE = np.int32(2**31 - 1)  # rank of a pair that is no piece
 #: Fragments of more characters are merged with a heap instead of in rounds.
 LONG_FRAGMENT = 64
-SLICE_BYTES = 2 << 20
+#: Text bytes, and ids, that are worked on at once.
+SLICE_BYTES, SLICE_IDS = 1 << 19, 1 << 17
 
 
 # --- the model file ----------------------------------------------------------
@@ -549,7 +550,7 @@ def encode(spark: SparkSession, docs: DataFrame, model: bytes, begin: bool = Tru
     that has no piece, stand for nothing. docs needs text; columns of any other
     name are carried in row. A null text is read as empty, and an empty one has
     the begin and end id only. Equal texts have equal rows, and no rows give none.
-    Work memory follows a slice of two megabytes of text, or the one text that is
+    Work memory follows a slice of half a megabyte of text, or the one text that is
     longer.
     """
     sent = spark.sparkContext.broadcast(model)
@@ -592,7 +593,7 @@ def decode(spark: SparkSession, ids: Column, model: bytes) -> Column:
         for one in lists:
             held.append(np.empty(0, dtype=np.int64) if one is None else np.asarray(one))
             size += len(held[-1])
-            if size > SLICE_BYTES:
+            if size > SLICE_IDS:
                 out += decode_many(pieces, held)
                 held, size = [], 0
         out += decode_many(pieces, held)
