@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, imatch, kneser_ney, langid, licenses, linededup, minhash, mixing, pieces, rlz, toxicity, whitening
+from . import conversations, decontaminate, imatch, kneser_ney, langid, licenses, linededup, minhash, mixing, pieces, rlz, toxicity, whitening
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -91,11 +91,16 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(_table(spark, sf_dir, "conversations"))
+    return conversations.report(conversations.repair(spark, rows, copies="copies"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_decontamination, op3_license_scan, op4_fingerprints, op5_line_dedup,
         op6_language, op7_quality, op8_mixture, op9_substring_dedup, op10_toxicity,
-        op11_sentencepiece, op12_whitening,
+        op11_sentencepiece, op12_whitening, op13_conversations,
     )
 }
