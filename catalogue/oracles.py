@@ -269,6 +269,21 @@ broken_checked AS (
   ])}) AS rejection_reason
   FROM broken_typed LEFT JOIN broken_conflicts ON k = t_id)"""
 
+# Lines of the accounts as files: a file for each segment and last digit of the id.
+_LINES = f"""{_ACCT},
+lines AS (SELECT segment, right(id, 1) AS digit, concat_ws(',', {', '.join(f"coalesce({c}, '')" for c in _ACCT_COLUMNS)}) AS line FROM acct_raw)"""
+
+# Facts of the published accounts, and of every integer row of the source.
+_FACT_COLUMNS = (
+    "account_id, month, repayment_status, bill_cents, payment_cents, positive_bill_cents, delayed_2plus, status_not_documented"
+)
+_FACT_SIDES = f"""{_ACCT},
+source_fact AS ({" UNION ALL ".join(
+    f"SELECT t_id AS account_id, DATE '{2001 - n}-01-01' AS month, t_status_{n} AS repayment_status, "
+    f"t_bill_{n} AS bill_cents, t_pay_{n} AS payment_cents, greatest(t_bill_{n}, 0) AS positive_bill_cents, "
+    f"t_status_{n} >= 2 AS delayed_2plus, t_status_{n} IN (-2, 0) AS status_not_documented FROM acct_typed "
+    f"WHERE {' AND '.join(f't_{c} IS NOT NULL' for c in _ACCT_INTEGERS)}" for n in _SLOTS)})"""
+
 _LINE_KEYS = """
 WITH keys AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
   WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL)"""
@@ -427,6 +442,22 @@ ORACLES: dict[str, str] = {
     "text_digests": f"""SELECT lang, {_digest("sha256(text)", "1", "FROM documents GROUP BY lang")}""",
     "pinned_snapshot": """
         SELECT * FROM (VALUES ('same', 'accepted'), ('other_order', 'accepted'), ('one_repeated', 'refused')) t(tried, outcome)""",
+    "file_hashes": f"""{_LINES}
+        SELECT segment, digit, CAST(sum(octet_length(encode(line)) + 1) AS BIGINT) AS length,
+          sha256(string_agg(line, chr(10) ORDER BY line) || chr(10)) AS sha256 FROM lines GROUP BY ALL""",
+    "pinned_bytes": f"""{_LINES}, least AS (SELECT segment, digit, line FROM lines ORDER BY ALL LIMIT 1),
+        cut AS (SELECT * FROM lines WHERE (segment, digit, line) NOT IN (SELECT (segment, digit, line) FROM least))
+        SELECT 'same' AS tried, 'accepted' AS outcome, (SELECT count(*) FROM (SELECT DISTINCT segment, digit FROM lines)) AS files,
+          CAST(sum(octet_length(encode(line)) + 1) AS BIGINT) AS bytes FROM lines
+        UNION ALL SELECT 'line_missing', 'refused', (SELECT count(*) FROM (SELECT DISTINCT segment, digit FROM cut)),
+          CAST(sum(octet_length(encode(line)) + 1) AS BIGINT) FROM cut""",
+    "reconcile_accounts": f"""{_FACT_SIDES}
+        SELECT {_FACT_COLUMNS}, only_in, count(*) AS copies FROM (
+          SELECT *, 'published' AS only_in FROM (SELECT {_FACT_COLUMNS} FROM acct_fact EXCEPT ALL SELECT {_FACT_COLUMNS} FROM source_fact)
+          UNION ALL SELECT *, 'recomputed' FROM (SELECT {_FACT_COLUMNS} FROM source_fact EXCEPT ALL SELECT {_FACT_COLUMNS} FROM acct_fact))
+        GROUP BY ALL""",
+    "reconcile_accounts_clean": f"""{_FACT_SIDES}
+        SELECT {_FACT_COLUMNS}, 'published' AS only_in, CAST(1 AS BIGINT) AS copies FROM acct_fact WHERE false""",
     "card_rejection_reasons": f"""{_CARD} SELECT rejection_reason, count(*) AS rows_found
         FROM card_checked GROUP BY 1""",
     "card_quarantine_rows": f"""{_CARD} SELECT {', '.join(_CARD_COLUMNS)}, rejection_reason

@@ -21,7 +21,7 @@ from tallyframe.contract import CARD, MISSING, Contract, Rule
 from tallyframe.functions.expressions import broken_rules, digest_of, guarded_ratio
 from tallyframe.operators import checks, gate, keyed, metrics, quality, reports, reshape
 from tallyframe.plans.publish import integrity_report, publish
-from tallyframe.sources import tables
+from tallyframe.sources import pins, tables
 from tallyframe.sources.export import write_csv, write_json
 from tallyframe.sources.snapshot import read_snapshot, require_digest
 
@@ -152,7 +152,7 @@ def bronze_replay(spark, sf_dir):
         batch = quality.bronze_rows(
             _unique(spark, sf_dir), source, F.current_timestamp(), ACCOUNT
         )
-        tables.append_new(batch, stored, [quality.HASH], spark.table(stored))
+        tables.store_bronze(spark, ns, source, batch)
         seen.append(F.struct(
             F.lit(n).alias("replays"),
             F.lit(spark.table(stored).count()).cast("long").alias("bronze_rows"),
@@ -257,6 +257,57 @@ def pinned_snapshot(spark, sf_dir):
     return spark.createDataFrame(out, "tried string, outcome string")
 
 
+def _account_lines(spark, sf_dir):
+    """The accounts as CSV lines, in a folder for each segment and last digit of the id."""
+    text = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in ACCOUNT.columns])
+    return acct_raw(spark, sf_dir).select("segment", F.substring("id", -1, 1).alias("digit"), text.alias("value"))
+
+
+def _written(spark, lines, purpose: str) -> str:
+    """Text files of sorted lines, one in each folder."""
+    folder = scratch_folder(spark, purpose)
+    lines.repartition("segment", "digit").sortWithinPartitions("segment", "digit", "value").write.partitionBy("segment", "digit").text(folder)
+    return folder
+
+
+def file_hashes(spark, sf_dir):
+    """SHA-256 of the bytes of each file of the accounts, hashed side by side."""
+    found = pins.file_hashes(spark, _written(spark, _account_lines(spark, sf_dir), "hashed"))
+    place = "segment=([^/]*)/digit=([^/]*)/"
+    return found.select(F.regexp_extract("path", place, 1).alias("segment"), F.regexp_extract("path", place, 2).alias("digit"), "length", "sha256")
+
+
+def pinned_bytes(spark, sf_dir):
+    """What pins of bytes accept: the same files, and files of which the first line of one is missing."""
+    lines = _account_lines(spark, sf_dir)
+    least = lines.agg(F.min(F.struct("segment", "digit", "value")).alias("m")).select("m.*").first()
+    cut = lines.where(~((F.col("segment") == least.segment) & (F.col("digit") == least.digit) & (F.col("value") == least.value)))
+    folder = _written(spark, lines, "pinned")
+    pin = pins.source_pin(spark, folder)
+    out = []
+    for tried, place in (("same", folder), ("line_missing", _written(spark, cut, "cut"))):
+        found = pins.manifest(pins.file_hashes(spark, place)).first()
+        try:
+            outcome = "accepted" if require_digest(pins.source_pin(spark, place), pin) else ""
+        except ValueError:
+            outcome = "refused"
+        out.append((tried, outcome, found.files, found.bytes))
+    return spark.createDataFrame(out, "tried string, outcome string, files long, bytes long")
+
+
+def reconcile_accounts(spark, sf_dir):
+    """Accounts and months in which the published facts differ from a source that nobody checked."""
+    typed = quality.type_rows(_unique(spark, sf_dir), ACCOUNT).dropna(subset=list(ACCOUNT.integers))
+    published = spark.table(f"{_publication(spark, sf_dir)}.silver_repayments").drop("run_id")
+    return checks.reconcile_rows(published, reshape.repayments(typed, RUN, ACCOUNT).drop("run_id"), ["account_id"])
+
+
+def reconcile_accounts_clean(spark, sf_dir):
+    """The same against the checked source: nothing differs, and no row is moved."""
+    published = spark.table(f"{_publication(spark, sf_dir)}.silver_repayments").drop("run_id")
+    return checks.reconcile_rows(published, _facts(spark, sf_dir).drop("run_id"), ["account_id"])
+
+
 # --- rules, ratios and trends over the tables themselves --------------------
 
 CUSTOMER_RULES = (
@@ -450,6 +501,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_digests": snapshot_digests,
     "text_digests": text_digests,
     "pinned_snapshot": pinned_snapshot,
+    "file_hashes": file_hashes,
+    "pinned_bytes": pinned_bytes,
+    "reconcile_accounts": reconcile_accounts,
+    "reconcile_accounts_clean": reconcile_accounts_clean,
     "card_rejection_reasons": lambda s, d: _card(s, d)
     .groupBy(quality.REASON)
     .agg(F.count(F.lit(1)).alias("rows_found")),

@@ -23,7 +23,8 @@ from tallyframe.contract import CARD, MALFORMED, Contract
 from tallyframe.operators import gate, quality, reshape
 from tallyframe.plans.sizing import sized_for, source_bytes
 from tallyframe.sources import tables
-from tallyframe.sources.snapshot import file_sha256, read_snapshot, require_digest
+from tallyframe.sources.pins import source_pin
+from tallyframe.sources.snapshot import read_snapshot, require_digest
 from tallyframe.sources.stages import Stage, drop_dead
 
 # What an audit row counts.
@@ -80,16 +81,8 @@ class _Run:
 
     def store_raw(self, unique: DataFrame) -> None:
         """Append the distinct rows that bronze lacks of this source; a new source lacks all."""
-        target = self.table(tables.BRONZE)
         rows = quality.bronze_rows(unique, self.source, self.started, self.contract)
-        # A writer that died while its files were being moved into place may have left a part
-        # of this source behind that the catalog does not know of yet.
-        self.spark.catalog.recoverPartitions(target)
-        stored = self.spark.table(target).where(F.col("source_sha256") == self.source)
-        if stored.isEmpty():
-            tables.append(rows, target)
-        else:
-            tables.append_new(rows, target, [quality.HASH], stored)
+        tables.store_bronze(self.spark, self.namespace, self.source, rows)
 
     def check(self, unique: DataFrame) -> DataFrame:
         """Run the rules once and stage what the later steps need, at the size of their files."""
@@ -164,11 +157,11 @@ def publish_file(
 ) -> dict:
     """Publish a CSV snapshot under its own identity.
 
-    ``expected_sha256`` pins the bytes of a single file: other bytes are
-    refused before anything is read, and so is what can't be pinned.
+    ``expected_sha256`` pins the bytes of a file, or of all files of a folder (see
+    ``source_pin``): other bytes are refused before anything is read.
     """
     if expected_sha256 is not None:
-        require_digest(file_sha256(spark, path), expected_sha256)
+        require_digest(source_pin(spark, path), expected_sha256)
     raw = read_snapshot(spark, path, contract)
     return publish(spark, raw, namespace, contract=contract, size=source_bytes(spark, path), **options)
 

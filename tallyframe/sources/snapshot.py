@@ -1,15 +1,11 @@
-"""Reading a raw CSV snapshot as text, and pinning a file."""
+"""Reading a raw CSV snapshot as text, and refusing one that is not the pinned one."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyframe.contract import CARD, MALFORMED, Contract
 
-# A pin hashes the bytes of one file as one value; a larger file can't be pinned.
-PINNED_BYTES = 256 * 1024 * 1024
-
 
 def read_snapshot(spark: SparkSession, path: str, contract: Contract = CARD) -> DataFrame:
     """Every column as text, in contract order; nothing is inferred.
@@ -31,17 +27,6 @@ def read_snapshot(spark: SparkSession, path: str, contract: Contract = CARD) ->
     return bound.schema(schema).csv(path).select(*contract.columns, MALFORMED)
 
 
-def file_sha256(spark: SparkSession, path: str, limit: int = PINNED_BYTES) -> str:
-    """SHA-256 of the bytes of one file; anything else, and a larger file, raises ValueError."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    found = files.agg(F.count("path").alias("n"), F.max("length").alias("size")).first()
-    if found.n != 1:
-        raise ValueError(f"Only one file can be pinned, and {path} has {found.n}")
-    if found.size > limit:
-        raise ValueError(f"A file of {found.size} bytes can't be pinned; the limit is {limit}")
-    return files.select(F.sha2("content", 256)).first()[0]
-
-
 def require_digest(actual: str, expected: str) -> str:
     """Refuse a snapshot whose bytes are not the pinned ones."""
     if actual != expected:

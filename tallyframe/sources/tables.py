@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyframe.contract import CARD, MALFORMED, Contract
-from tallyframe.operators import metrics
+from tallyframe.operators import digests, metrics
+from tallyframe.operators.quality import HASH
 from tallyframe.operators.reports import NEWEST_SUCCESS
 
 BRONZE = "bronze_records"
@@ -22,6 +23,7 @@ QUARANTINE = "quarantine_records"
 ACCOUNTS = "account_versions"
 REPAYMENTS = "repayment_versions"
 RUNS = "pipeline_runs"
+DIGESTS = "bronze_digests"
 
 
 def _layout(contract: Contract) -> dict[str, tuple[str, tuple[str, ...]]]:
@@ -49,6 +51,11 @@ def _layout(contract: Contract) -> dict[str, tuple[str, tuple[str, ...]]]:
             "status_not_documented BOOLEAN, run_id STRING, limit_band STRING",
             ("run_id", "month"),
         ),
+        # What bronze holds of each source by leaf bucket; rows of one bucket add up.
+        DIGESTS: (
+            f"{digests.BUCKET} STRING, n BIGINT, {', '.join(f'{w} DECIMAL(38,0)' for w in digests.SUMS)}, source_sha256 STRING",
+            ("source_sha256",),
+        ),
         # The columns of the audit table, but for the threshold.
         RUNS: (
             "run_id STRING, completed_at TIMESTAMP, status STRING, source_sha256 STRING, "
@@ -136,14 +143,48 @@ def append(rows: DataFrame, table: str) -> None:
     rows.select(*spark.table(table).columns).write.mode("append").insertInto(table)
 
 
-def append_new(rows: DataFrame, table: str, keys: list[str], present: DataFrame) -> None:
-    """Append the rows whose keys are not in ``present``; a replay appends nothing.
+def store_bronze(spark: SparkSession, namespace: str, source: str, rows: DataFrame) -> None:
+    """Append the distinct rows of a source that bronze lacks; a new source lacks all."""
+    target = f"{namespace}.{BRONZE}"
+    # A writer that died while its files were being moved into place may have left a part
+    # of this source behind that the catalog does not know of yet.
+    spark.catalog.recoverPartitions(target)
+    if spark.table(target).where(F.col("source_sha256") == source).isEmpty():
+        append(rows, target)
+        append_digests(spark, namespace, source, rows)
+    else:
+        append_missing(spark, namespace, source, rows)
+
+
+def append_digests(spark: SparkSession, namespace: str, source: str, rows: DataFrame) -> None:
+    """Add the bucket digests of rows that bronze has got of a source."""
+    sums = digests.bucket_sums(rows, digests.LEAF, HASH)
+    append(sums.withColumn("source_sha256", F.lit(source)), f"{namespace}.{DIGESTS}")
+
+
+def append_missing(spark: SparkSession, namespace: str, source: str, rows: DataFrame) -> None:
+    """Append the rows of a source that bronze lacks; a replay appends nothing, and moves no row and no key.
 
-    The keys are compared first. Whole rows move only when some are new.
+    Digests of buckets are compared first, with those stored when bronze was
+    written. Rows are looked up in bronze for the leaves that differ only, by their
+    hash. What bronze then holds of those leaves is counted anew, so that digests
+    which a dead writer left behind too low are put right.
     """
-    present = present.select(*keys)
-    if not rows.select(*keys).join(present, keys, "left_anti").isEmpty():
-        append(rows.join(present, keys, "left_anti"), table)
+    bronze = f"{namespace}.{BRONZE}"
+
+    def of_source(table: str) -> DataFrame:
+        return spark.table(f"{namespace}.{table}").where(F.col("source_sha256") == source)
+
+    tops = digests.buckets(digests.differences(digests.bucket_sums(rows, digests.TOP, HASH), digests.rolled_up(of_source(DIGESTS), digests.TOP)))
+    if not tops:
+        return
+    known = digests.rolled_up(digests.rows_in(of_source(DIGESTS), tops, digests.BUCKET), digests.LEAF)
+    leaves = digests.buckets(digests.differences(digests.bucket_sums(digests.rows_in(rows, tops, HASH), digests.LEAF, HASH), known))
+    there = digests.rows_in(of_source(BRONZE), leaves, HASH).select(HASH)
+    append(digests.rows_in(rows, leaves, HASH).join(there, HASH, "left_anti"), bronze)
+    now = digests.bucket_sums(digests.rows_in(of_source(BRONZE), leaves, HASH), digests.LEAF, HASH)
+    stored = digests.rolled_up(digests.rows_in(of_source(DIGESTS), leaves, digests.BUCKET), digests.LEAF)
+    append(digests.differences(now, stored).withColumn("source_sha256", F.lit(source)), f"{namespace}.{DIGESTS}")
 
 
 def record_run(

@@ -8,7 +8,7 @@ import pytest
 from card_rows import card
 from pyspark.sql import functions as F
 
-from tallyframe import CARD, file_sha256, integrity_report, publish, publish_file, read_snapshot
+from tallyframe import CARD, integrity_report, publish, publish_file, read_snapshot, source_pin
 from tallyframe.plans import publish as plan
 from tallyframe.sources import tables
 from tallyframe.sources.stages import drop_dead
@@ -218,7 +218,7 @@ def test_publish_from_a_pinned_file(spark, place, tmp_path):
     ns, root = place
     path = tmp_path / "snapshot.csv"
     path.write_text("\n".join([",".join(CARD.columns), ",".join(card()), ",".join(card(ID="2"))]))
-    pin = file_sha256(spark, str(path))
+    pin = source_pin(spark, str(path))
     with pytest.raises(ValueError, match="checksum"):
         publish_file(spark, str(path), ns, "0" * 64, root=root)
     assert not spark.catalog.databaseExists(ns)

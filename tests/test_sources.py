@@ -1,9 +1,11 @@
+import gzip
 import hashlib
+from urllib.parse import unquote
 
 import pytest
 from card_rows import card, rows_of
 
-from tallyframe import CARD, file_sha256, prepare, read_snapshot, require_digest
+from tallyframe import CARD, file_hashes, manifest, prepare, read_snapshot, require_digest, source_pin
 from tallyframe.contract import MALFORMED
 from tallyframe.operators.quality import snapshot_digest, unique_rows
 from tallyframe.sources.export import write_csv, write_json
@@ -80,25 +82,83 @@ def test_a_clean_row_has_the_same_hash_from_a_file_and_from_memory(spark, cards,
     assert read["1"] == made["1"] and read["2"] != made["2"]
 
 
+def sha256(path):
+    digest = hashlib.sha256()
+    with open(path, "rb") as file:
+        while block := file.read(1 << 20):
+            digest.update(block)
+    return digest.hexdigest()
+
+
+def hashes(spark, folder):
+    return {unquote(r.path.rpartition("/")[2]): (r.length, r.sha256) for r in file_hashes(spark, str(folder)).collect()}
+
+
 def test_a_pin_is_the_sha256_of_one_file(spark, tmp_path):
     path = tmp_path / "a.csv"
     write(path, line(), line(ID="2"))
-    digest = file_sha256(spark, str(path))
-    assert digest == hashlib.sha256(path.read_bytes()).hexdigest()
+    digest = source_pin(spark, str(path))
+    assert digest == source_pin(spark, str(tmp_path)) == sha256(path)
     assert require_digest(digest, digest) == digest
     with pytest.raises(ValueError, match="checksum"):
         require_digest(digest, "0" * 64)
 
 
-def test_what_cannot_be_pinned_is_refused(spark, tmp_path):
-    with pytest.raises(ValueError, match="Only one file"):
-        file_sha256(spark, str(tmp_path))
-    write(tmp_path / "a.csv", line())
-    with pytest.raises(ValueError, match="can't be pinned; the limit is 10"):
-        file_sha256(spark, str(tmp_path), limit=10)
-    write(tmp_path / "b.csv", line())
-    with pytest.raises(ValueError, match="has 2"):
-        file_sha256(spark, str(tmp_path))
+def test_bytes_of_any_kind_are_hashed_as_they_are(spark, tmp_path):
+    """Line ends of all kinds, byte order marks, bytes that are no text, packed files, odd names."""
+    (tmp_path / "sub dir").mkdir()
+    bodies = {
+        "plain": b"a\nb\n", "open end": b"a\nb", "crlf": b"a\r\nb\r\n\r\n", "cr": b"\ra\rb\r", "blank": b"\n", "blanks": b"\n\n\n", "one": b"x",
+        "mark": b"\xef\xbb\xbf", "mark line": b"\xef\xbb\xbf\n", "mark text": b"\xef\xbb\xbfa\n\xef\xbb\xbfb", "two marks": b"\xef\xbb\xbf\xef\xbb\xbf\n",
+        "no text": bytes(range(256)) * 3, "zeros": b"\0" * 5000, "a+b%20=\u00e9.csv": b"odd,name\n", "packed.gz": gzip.compress(b"a\nb\n"),
+        "long": b"y" * 3_000_000 + b"\n" + b"z" * 5_000_000, "many": b"1,2\n" * 30_000,
+    }
+    for n, (name, body) in enumerate(bodies.items()):
+        (tmp_path / ("sub dir" if n % 2 else ".") / name).write_bytes(body)
+    (tmp_path / "empty").write_bytes(b"")
+    assert hashes(spark, tmp_path) == {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in bodies.items()}
+
+
+def test_a_file_beyond_256_mib_is_pinned_in_one_task(spark, tmp_path):
+    path, block = tmp_path / "big.csv", b"7,100000,AUTOMOBILE,0,0,0,0,0,0,1234567,0\r\n" * 25_000
+    with open(path, "wb") as file:
+        for n in range(280):
+            file.write(str(n).encode() + block)
+    assert path.stat().st_size > 256 << 20
+    found = file_hashes(spark, str(path))
+    assert found.first().sha256 == sha256(path) == source_pin(spark, str(path))
+
+
+def test_a_file_read_in_parts_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"1,2\n" * 50_000)
+    found = file_hashes(spark, str(tmp_path))
+    found.sparkSession.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    with pytest.raises(Exception, match="not read in one piece"):
+        found.collect()
+
+
+def test_a_folder_is_pinned_by_a_manifest(spark, tmp_path):
+    """Place and listing do not matter; a name, a byte, a file more or less does."""
+    def folder(name, **files):
+        for inner, body in files.items():
+            place = tmp_path / name / inner.replace("_", "/")
+            place.parent.mkdir(parents=True, exist_ok=True)
+            place.write_text(body)
+        return str(tmp_path / name)
+
+    pin = source_pin(spark, folder("x", a="1", d_b="2", d_c="3"))
+    assert source_pin(spark, folder("y y", d_c="3", d_b="2", a="1")) == pin
+    others = [folder("p", a="1", d_b="2"), folder("q", a="1", d_b="2", d_c="4"), folder("r", a="1", d_b="2", e_c="3"), folder("s", a="1", d_b="3", d_c="2"), folder("t", a="1", d_b="2", d_c="3", f="")]
+    assert [source_pin(spark, o) == pin for o in others] == [False, False, False, False, True]
+    row = manifest(file_hashes(spark, str(tmp_path / "x"))).first()
+    assert (row.files, row.bytes, row.digest, row.sha256) == (3, 3, pin, None)
+    words = [sum(int(hashlib.sha256(f"{n}\n{hashlib.sha256(b.encode()).hexdigest()}".encode()).hexdigest()[8 * k : 8 * k + 8], 16) for n, b in (("a", "1"), ("d/b", "2"), ("d/c", "3"))) for k in range(8)]
+    assert pin == hashlib.sha256("|".join(map(str, [3, *words])).encode()).hexdigest()
+
+
+def test_what_has_no_file_cannot_be_pinned(spark, tmp_path):
+    with pytest.raises(ValueError, match="no file to pin"):
+        source_pin(spark, str(tmp_path))
 
 
 def test_the_identity_ignores_files_rows_and_columns_in_another_order(spark, tmp_path):
