@@ -344,6 +344,37 @@ ORACLES: dict[str, str] = {
           FROM lineitem GROUP BY 1)
         SELECT *, lag(price_cents) OVER (ORDER BY month) AS previous_cents,
           price_cents - lag(price_cents) OVER (ORDER BY month) AS change_cents FROM months""",
+    "user_event_gaps": """
+        WITH days AS (SELECT user_id, CAST(date_trunc('day', ts) AS DATE) AS day, count(*) AS events FROM events GROUP BY ALL)
+        SELECT *, lag(day) OVER (PARTITION BY user_id ORDER BY day) AS previous_day,
+          lag(events) OVER (PARTITION BY user_id ORDER BY day) AS previous_events FROM days""",
+    "run_record": f"""{_ACCT}, {_COUNTS}
+        SELECT CAST(unnest([1, 2]) AS INTEGER) AS run, CAST(1 AS BIGINT) AS audit_rows, 'SUCCESS' AS status, raw_rows, exact_duplicates,
+          rejected_rows, accepted_accounts, monthly_rows FROM counts""",
+    "refused_headers": f"""{_ACCT}
+        SELECT tried, outcome, CASE WHEN outcome = 'accepted' THEN (SELECT count(*) FROM acct_raw) ELSE 0 END AS rows_read
+        FROM (VALUES ('same', 'accepted'), ('other_order', 'accepted'), ('column_missing', 'refused'), ('column_more', 'refused'),
+          ('other_case', 'refused'), ('other_name', 'refused')) t(tried, outcome)""",
+    "guard_outcomes": """
+        WITH plans AS (
+          SELECT c_custkey, lower(c_mktsegment) AS name, sha256(c_name) AS hash,
+            CASE WHEN c_custkey % 5 = 0 THEN c_name WHEN c_custkey % 5 = 1 THEN name || '.' || name
+              WHEN c_custkey % 35 = 2 THEN CAST(c_custkey AS VARCHAR) || name ELSE name END AS namespace,
+            CASE WHEN c_custkey % 3 = 0 THEN hash WHEN c_custkey % 21 = 1 THEN upper(hash) WHEN c_custkey % 33 = 2 THEN left(hash, 63) END AS source,
+            CAST(c_acctbal AS DOUBLE) / 100 AS threshold, CASE WHEN c_custkey % 2 = 0 THEN CAST(c_acctbal AS DOUBLE) / 5000 ELSE 0.01 END AS rate
+          FROM customer)
+        SELECT c_custkey, CASE
+            WHEN NOT regexp_full_match(namespace, '[A-Za-z_][A-Za-z0-9_]*([.][A-Za-z_][A-Za-z0-9_]*)?')
+              THEN 'The namespace must be a simple schema or catalog.schema name'
+            WHEN source IS NOT NULL AND NOT regexp_full_match(source, '[0-9a-f]{64}') THEN 'The source identity must be 64 lower-case hex digits'
+            WHEN threshold < 0 THEN 'The alert threshold must be finite and nonnegative'
+            WHEN rate < 0 OR rate > 1 THEN 'max_reject_rate must lie between 0 and 1' ELSE 'PASS' END AS outcome
+        FROM plans""",
+    "rejected_sample": f"""{_ACCT}, hashed AS (
+          SELECT id, rejection_reason, sha256('{{' || {_JSON} || '}}') AS record_hash FROM acct_checked WHERE rejection_reason <> ''),
+        ranked AS (SELECT rejection_reason, CAST(row_number() OVER (PARTITION BY rejection_reason ORDER BY record_hash) AS INTEGER) AS rank, id, record_hash FROM hashed)
+        SELECT * FROM ranked WHERE rank <= 3""",
+    "published_segments_joined": f"{_ACCT_GOLD} SELECT * FROM segments",
     "ratio_null_guard": """
         SELECT o_orderstatus,
           CAST(sum(owed) AS BIGINT) AS owed_cents, CAST(sum(urgent) AS BIGINT) AS urgent_cents,

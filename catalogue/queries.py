@@ -19,8 +19,8 @@ from catalogue.inputs import (
 )
 from tallyframe.contract import CARD, MISSING, Contract, Rule
 from tallyframe.functions.expressions import broken_rules, digest_of, guarded_ratio
-from tallyframe.operators import checks, gate, keyed, metrics, quality, reports, reshape
-from tallyframe.plans.publish import integrity_report, publish
+from tallyframe.operators import checks, gate, keyed, metrics, ordered, quality, reports, reshape
+from tallyframe.plans.publish import COUNTED, integrity_report, publish
 from tallyframe.sources import pins, tables
 from tallyframe.sources.export import write_csv, write_json
 from tallyframe.sources.snapshot import read_snapshot, require_digest
@@ -171,6 +171,54 @@ def run_status(spark, sf_dir):
     )
 
 
+def run_record(spark, sf_dir):
+    """What publish() returns to its caller, for a run and its replay."""
+    root = scratch_folder(spark, "record")
+    ns = root.rsplit("/", 1)[1]
+    found = []
+    for n in (1, 2):
+        run = publish(spark, acct_raw(spark, sf_dir), ns, None, REJECT_RATE, 1.0, ACCOUNT, root)
+        stored = spark.table(f"{ns}.pipeline_runs").where(F.col("run_id") == run["run_id"]).count()
+        found.append((n, stored, run["status"], *[run[c] for c in COUNTED]))
+    return spark.createDataFrame(found, "run int, audit_rows long, status string, " + ", ".join(f"{c} long" for c in COUNTED))
+
+
+def refused_headers(spark, sf_dir):
+    """Which headers a snapshot may have, and how many rows are then read."""
+    raw = acct_raw(spark, sf_dir)
+    first, second = ACCOUNT.columns[:2]
+    tries = {
+        "same": raw,
+        "other_order": raw.select(*reversed(ACCOUNT.columns)),
+        "column_missing": raw.drop(second),
+        "column_more": raw.withColumn("surplus", F.lit("1")),
+        "other_case": raw.withColumnRenamed(first, first.upper()),
+        "other_name": raw.withColumnRenamed(second, "balance"),
+    }
+    out = []
+    for tried, rows in tries.items():
+        folder = scratch_folder(spark, "header")
+        rows.write.option("header", True).csv(folder)
+        try:
+            out.append((tried, "accepted", read_snapshot(spark, folder, ACCOUNT).count()))
+        except ValueError:
+            out.append((tried, "refused", 0))
+    return spark.createDataFrame(out, "tried string, outcome string, rows_read long")
+
+
+def guard_outcomes(spark, sf_dir):
+    """A planned publication for each customer, and whether its parameters would be accepted."""
+    key, name = F.col("c_custkey"), F.lower("c_mktsegment")
+    plans = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(key % 5 == 0, F.col("c_name")).when(key % 5 == 1, F.concat(name, F.lit("."), name)).when(key % 35 == 2, F.concat(key, name)).otherwise(name).alias("namespace"),
+        F.when(key % 3 == 0, F.sha2("c_name", 256)).when(key % 21 == 1, F.upper(F.sha2("c_name", 256))).when(key % 33 == 2, F.left(F.sha2("c_name", 256), F.lit(63))).alias("source_sha256"),
+        (F.col("c_acctbal") / 100).alias("threshold_pp"),
+        F.when(key % 2 == 0, F.col("c_acctbal") / 5000).otherwise(F.lit(0.01)).alias("max_reject_rate"),
+    )
+    return gate.parameter_outcomes(plans).select("c_custkey", "outcome")
+
+
 def integrity_damaged(spark, sf_dir):
     """The integrity report of a namespace with a fact of each month stored twice and a lost account file."""
     ns = _publish(spark, sf_dir, ACCOUNT)
@@ -348,12 +396,17 @@ def monthly_ship_trend(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("line_items"),
              F.sum(cents("l_extendedprice")).alias("price_cents"))
     )
-    return spark.sql(
-        """SELECT *, price_cents - previous_cents AS change_cents
-           FROM (SELECT *, lag(price_cents) OVER (ORDER BY month) AS previous_cents
-                 FROM {months})""",
-        months=months,
-    )
+    # three looks at the months: their quantiles, the last of each range, all of them
+    kept = scratch_folder(spark, "months")
+    months.write.parquet(kept)
+    trend = ordered.previous(spark.read.schema(months.schema).parquet(kept), "month", ["price_cents"], ranges=8)
+    return trend.withColumnRenamed("previous_price_cents", "previous_cents").withColumn("change_cents", F.col("price_cents") - F.col("previous_cents"))
+
+
+def user_event_gaps(spark, sf_dir):
+    """Each user's events of a day with those of the user's day before that had some."""
+    days = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("events"))
+    return ordered.previous(days, "day", ["day", "events"], ("user_id",), 16)
 
 
 def ratio_null_guard(spark, sf_dir):
@@ -415,6 +468,19 @@ def segments_latest_month(spark, sf_dir):
     )
 
 
+def rejected_sample(spark, sf_dir):
+    """Three rejected accounts of each reason of the published run, the same ones every time."""
+    ns = _publication(spark, sf_dir)
+    run = reports.latest_success(spark.table(f"{ns}.pipeline_runs")).first().run_id
+    return reports.rejected_sample(spark.table(f"{ns}.quarantine_records"), run, ACCOUNT, 3)
+
+
+def published_segments_joined(spark, sf_dir):
+    """Segments of the published facts by the accounts' own bands; the tables' buckets spare the join a shuffle."""
+    ns = _publication(spark, sf_dir)
+    return metrics.segments(spark.table(f"{ns}.silver_repayments"), spark.table(f"{ns}.silver_accounts"), ACCOUNT, ("account_id",))
+
+
 def _run_counts(spark, sf_dir):
     return gate.batch_counts(_checked(spark, sf_dir), ACCOUNT)
 
@@ -459,6 +525,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_alerts": lambda s, d: metrics.alerts(_monthly(s, d), 1.0),
     "segment_alerts": segment_alerts,
     "monthly_ship_trend": monthly_ship_trend,
+    "user_event_gaps": user_event_gaps,
+    "run_record": run_record,
+    "refused_headers": refused_headers,
+    "guard_outcomes": guard_outcomes,
+    "rejected_sample": rejected_sample,
+    "published_segments_joined": published_segments_joined,
     "ratio_null_guard": ratio_null_guard,
     "bronze_replay": bronze_replay,
     "latest_success": lambda s, d: reports.latest_success(run_log(s, d)).select(

@@ -47,3 +47,28 @@ def gate_outcomes(counts: DataFrame, max_reject_rates: list[float]) -> DataFrame
         .otherwise(PASS)
     )
     return counts.select("*", limits.alias("max_reject_rate")).withColumn("outcome", outcome)
+
+
+#: What a publication asks of its parameters, with the SQL of what breaks it. The messages.
+PARAMETER_RULES = (
+    ("The namespace must be a simple schema or catalog.schema name",
+     r"namespace IS NULL OR NOT namespace RLIKE '^[A-Za-z_][A-Za-z0-9_]*([.][A-Za-z_][A-Za-z0-9_]*)?\\z'"),
+    ("The source identity must be 64 lower-case hex digits",
+     r"source_sha256 IS NOT NULL AND NOT source_sha256 RLIKE '^[0-9a-f]{64}\\z'"),
+    ("The alert threshold must be finite and nonnegative",
+     "threshold_pp IS NULL OR isnan(threshold_pp) OR threshold_pp < 0 OR threshold_pp = double('infinity')"),
+    ("max_reject_rate must lie between 0 and 1",
+     "max_reject_rate IS NULL OR isnan(max_reject_rate) OR max_reject_rate NOT BETWEEN 0 AND 1"),
+)
+
+
+def parameter_outcomes(parameters: DataFrame) -> DataFrame:
+    """Rows of namespace, source_sha256, threshold_pp and max_reject_rate with the outcome: PASS, or the first refusal.
+
+    The same answers as a publication gives before it touches anything, for any
+    number of planned publications at once.
+    """
+    outcome = F.lit(PASS)
+    for message, broken in reversed(PARAMETER_RULES):
+        outcome = F.when(F.expr(broken), F.lit(message)).otherwise(outcome)
+    return parameters.withColumn("outcome", outcome)

@@ -80,17 +80,17 @@ def monthly(facts: DataFrame, contract: Contract = CARD) -> DataFrame:
 
 
 def segments(
-    facts: DataFrame, dimension: DataFrame | None = None, contract: Contract = CARD
+    facts: DataFrame, dimension: DataFrame | None = None, contract: Contract = CARD, keys: tuple[str, ...] = ("account_id", "run_id")
 ) -> DataFrame:
     """Accounts, bills and delay rate per month and limit band.
 
     Facts built ``with_band`` need no dimension and no join. Others get the band
     by their account: an account has one fact per month (the grain check), so
-    no key of that join is hot.
+    no key of that join is hot. Views of one publication need the account alone as
+    ``keys``; their tables are bucketed by it, and the join moves no row.
     """
     if dimension is not None:
-        bands = dimension.select("account_id", "run_id", "limit_band")
-        facts = facts.join(bands, ["account_id", "run_id"])
+        facts = facts.join(dimension.select(*keys, "limit_band"), list(keys))
     return facts.sparkSession.sql(segment_text("{facts}", contract), facts=facts)
 
 

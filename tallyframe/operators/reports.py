@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe.contract import CARD, Contract
@@ -64,8 +65,13 @@ def rejection_triage(quarantine: DataFrame) -> DataFrame:
     )
 
 
-def rejected_sample(quarantine: DataFrame, run_id: str, contract: Contract = CARD, rows: int = 20):
-    """Some rejected rows of a run, for a first look."""
-    return quarantine.where(F.col("run_id") == run_id).select(
-        contract.id, "rejection_reason"
-    ).limit(rows)
+def rejected_sample(quarantine: DataFrame, run_id: str, contract: Contract = CARD, rows: int = 20) -> DataFrame:
+    """For a first look, of each reason the rejected rows of a run with the least row hashes.
+
+    A hash is as good as a draw, but the same rows come back however the table is
+    stored or read, and samples of parts merge into that of the whole: each task
+    keeps the least hashes of a reason before anything is shuffled.
+    """
+    found = quarantine.where(F.col("run_id") == run_id).select(contract.id, "rejection_reason", "record_hash")
+    rank = F.row_number().over(Window.partitionBy("rejection_reason").orderBy("record_hash"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= rows).select("rejection_reason", "rank", contract.id, "record_hash")

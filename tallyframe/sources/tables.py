@@ -93,8 +93,40 @@ def _views(namespace: str, contract: Contract) -> dict[str, str]:
     }
 
 
+#: Tables whose files are split by account, into the same buckets, so that joins and
+#: groups by account read them without a shuffle.
+BUCKETED = (ACCOUNTS, REPAYMENTS)
+#: Spark refuses tables of more.
+MOST_BUCKETS = 100_000
+
+
+def bucket_count(spark: SparkSession, namespace: str, root: str | None = None, wanted: int | None = None) -> int:
+    """Buckets of the version tables, fixed when they are created; 0 for tables that were created without.
+
+    A root remembers the number for sessions to come. ``wanted`` (default: the
+    session's shuffle partitions) counts for new tables only.
+    """
+    name = f"{namespace}.{ACCOUNTS}"
+    if spark.catalog.tableExists(name):
+        found = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'").select("data_type").first()
+        return int(found[0]) if found else 0
+    wanted = min(wanted or int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
+    if not root:
+        return wanted
+    layout = f"{root}/layout"
+
+    def exists(folder: str) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+    if not exists(f"{layout}/_SUCCESS"):
+        before = 0 if exists(f"{root}/{ACCOUNTS}") else wanted
+        spark.range(0, 1, 1, 1).select(F.lit(before).alias("buckets")).write.mode("overwrite").parquet(layout)
+    return spark.read.parquet(layout).first().buckets
+
+
 def install(
-    spark: SparkSession, namespace: str, contract: Contract = CARD, root: str | None = None
+    spark: SparkSession, namespace: str, contract: Contract = CARD, root: str | None = None, buckets: int | None = None
 ) -> None:
     """Create the schema and the empty tables where absent, and define the reader views anew.
 
@@ -107,6 +139,7 @@ def install(
         raise ValueError("Off a local session the tables need a root that all executors share")
     place = f" LOCATION '{root}/schema'" if root else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}{place}")
+    parts = bucket_count(spark, namespace, root, buckets)
     for table, (columns, partitions) in _layout(contract).items():
         name = f"{namespace}.{table}"
         if spark.catalog.tableExists(name):
@@ -115,7 +148,8 @@ def install(
         where = f" LOCATION '{root}/{table}'" if root else ""
         if root:
             _make_folder(spark, columns, partitions, f"{root}/{table}")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{split}{where}")
+        spread = f" CLUSTERED BY (account_id) INTO {parts} BUCKETS" if parts and table in BUCKETED else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{split}{spread}{where}")
         if root and partitions:
             spark.catalog.recoverPartitions(name)
     for view, text in _views(namespace, contract).items():
