@@ -378,6 +378,28 @@ def _long_pieces(spark: SparkSession, rows: DataFrame, blocks_wanted: int, scrat
     return in_order(given, ["conv_id", "block", "first", "last", "final", *totals]).mapInArrow(_rejoined, PIECES)
 
 
+def _pieces(spark: SparkSession, conversations: DataFrame, copies: str | None, long_rows: int, long_bytes: int) -> tuple[DataFrame, DataFrame | None]:
+    """Pieces of conversations that are whole in a task, and those of long ones if there are any."""
+    scratch = Scratch(spark, "conversations")
+    rows = conversations.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"),
+        (F.lit(1) if copies is None else F.col(copies)).cast("long").alias("copies"),
+    )
+    rows = rows.select("conv_id", "turn", *[F.when(F.col("copies") > 0, F.col(c)).alias(c) for c in ("role", "text")], "copies")
+    sizes = rows.groupBy(F.col("conv_id").alias("c")).agg(F.sum("copies").alias("n"), F.sum(F.octet_length("text") * F.col("copies")).alias("bytes"))
+    long = scratch.keep(sizes.where((F.col("n") > long_rows) | (F.col("bytes") > long_bytes)))
+    n_long, wanted = long.agg(F.count("*"), F.coalesce(F.ceil(F.sum("n") / long_rows + F.sum("bytes") / long_bytes), F.lit(0))).first()
+
+    def solved(short: DataFrame) -> DataFrame:
+        return short.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(_whole, PIECES)
+
+    if not n_long:
+        return solved(rows), None
+    long = long.select("c")
+    known, same = F.broadcast(long) if n_long <= BROADCAST_IDS else long, F.expr("conv_id <=> c")
+    return solved(rows.join(known, same, "left_anti")), _long_pieces(spark, rows.join(known, same, "left_semi"), max(1, int(wanted)), scratch)
+
+
 def repair(spark: SparkSession, conversations: DataFrame, copies: str | None = None, long_rows: int = LONG_ROWS, long_bytes: int = LONG_BYTES) -> DataFrame:
     """conv_id, block, gaps, blank, duplicate, truncated, illegal, cost, audit, turns: the repaired conversations.
 
@@ -393,24 +415,8 @@ def repair(spark: SparkSession, conversations: DataFrame, copies: str | None = N
     conversation. Of a row's faults the first counts: blank, duplicate, truncated. An
     empty conversation (all copies 0) has zeros and no audit. No rows give none.
     """
-    scratch = Scratch(spark, "conversations")
-    rows = conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"),
-        (F.lit(1) if copies is None else F.col(copies)).cast("long").alias("copies"),
-    )
-    rows = rows.select("conv_id", "turn", *[F.when(F.col("copies") > 0, F.col(c)).alias(c) for c in ("role", "text")], "copies")
-    sizes = rows.groupBy(F.col("conv_id").alias("c")).agg(F.sum("copies").alias("n"), F.sum(F.octet_length("text") * F.col("copies")).alias("bytes"))
-    long = scratch.keep(sizes.where((F.col("n") > long_rows) | (F.col("bytes") > long_bytes)))
-    n_long, wanted = long.agg(F.count("*"), F.coalesce(F.ceil(F.sum("n") / long_rows + F.sum("bytes") / long_bytes), F.lit(0))).first()
-    long = long.select("c")
-    short = rows
-    if n_long:
-        known = F.broadcast(long) if n_long <= BROADCAST_IDS else long
-        short = rows.join(known, F.expr("conv_id <=> c"), "left_anti")
-    whole = short.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(_whole, PIECES)
-    if n_long:
-        whole = whole.unionAll(_long_pieces(spark, rows.join(known, F.expr("conv_id <=> c"), "left_semi"), max(1, int(wanted)), scratch))
-    return whole
+    whole, several = _pieces(spark, conversations, copies, long_rows, long_bytes)
+    return whole if several is None else whole.unionAll(several)
 
 
 def _line(turn):
@@ -440,15 +446,18 @@ def _streamed(batches):
         yield ended()
 
 
-def report(pieces: DataFrame) -> DataFrame:
-    """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of what repair() returns, a row for each conversation.
+def report(spark: SparkSession, conversations: DataFrame, copies: str | None = None, long_rows: int = LONG_ROWS, long_bytes: int = LONG_BYTES) -> DataFrame:
+    """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256: repair(), a row for each conversation.
 
     The hash is of the repaired ``role:text`` lines. A conversation in several blocks
     is read by one task, a block at a time.
     """
     body = F.array_join(F.transform("turns", _line), "\n")
     counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
-    one = pieces.where("block = 0").select("conv_id", *counts, "audit", F.sha2(body, 256).alias("repaired_sha256"))
-    several = pieces.where("block <> 0").select("conv_id", "block", *counts, "audit", body.alias("body"), F.size("turns").alias("n"))
+    whole, several = _pieces(spark, conversations, copies, long_rows, long_bytes)
+    one = whole.select("conv_id", *counts, "audit", F.sha2(body, 256).alias("repaired_sha256"))
+    if several is None:
+        return one
+    several = several.select("conv_id", "block", *counts, "audit", body.alias("body"), F.size("turns").alias("n"))
     schema = "conv_id long, " + ", ".join(f"{c} long" for c in counts) + ", audit string, repaired_sha256 string"
     return one.unionAll(several.repartition("conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(_streamed, schema))

@@ -177,10 +177,10 @@ def test_repair_of_any_table(spark, long_rows):
     table += [(100, 5, "user", "Same.")] * 30 + [(101, k, "user", "Same.") for k in range(30)] + [(102, -(2**62), "user", "A."), (102, 2**62, "assistant", "B.")]
     frame = spark.createDataFrame(table, SCHEMA).repartition(3)
     clashing = frame.withColumn("copies", F.lit("x")).withColumn("block", F.lit(1)).withColumn("audit", F.lit(None).cast("string"))
-    assert as_dict(conversations.report(conversations.repair(spark, clashing, long_rows=long_rows))) == expected(table, damage=False)
+    assert as_dict(conversations.report(spark, clashing, long_rows=long_rows)) == expected(table, damage=False)
     rows = conversations.damaged(clashing)
     found = conversations.repair(spark, rows, copies="copies", long_rows=long_rows)
-    assert as_dict(conversations.report(found)) == expected(table)
+    assert as_dict(conversations.report(spark, rows, copies="copies", long_rows=long_rows)) == expected(table)
     if long_rows == 4:
         assert found.where("block > 1").count() > 0
     # the turns themselves follow the pattern
@@ -193,17 +193,17 @@ def test_long_bytes_make_a_conversation_long(spark):
     frame = spark.createDataFrame(table, SCHEMA)
     found = conversations.repair(spark, frame, long_bytes=100_000)
     assert {(r.conv_id, r.block > 0) for r in found.collect()} == {(1, True), (2, False)}
-    assert as_dict(conversations.report(found)) == expected(table, damage=False)
+    assert as_dict(conversations.report(spark, frame, long_bytes=100_000)) == expected(table, damage=False)
 
 
 def test_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
-    assert conversations.report(conversations.repair(spark, empty)).collect() == []
-    assert conversations.report(conversations.repair(spark, conversations.damaged(empty), copies="copies")).collect() == []
+    assert conversations.report(spark, empty).collect() == []
+    assert conversations.report(spark, conversations.damaged(empty), copies="copies").collect() == []
     # all rows dropped: zeros, no audit, the hash of nothing
     gone = next(k for k in range(1000) if zlib.crc32(f"{k}:0".encode()) % 20 == 0)
     rows = conversations.damaged(spark.createDataFrame([(gone, 0, "user", "Hi.")], SCHEMA))
-    assert as_dict(conversations.report(conversations.repair(spark, rows, copies="copies"))) == {gone: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())}
+    assert as_dict(conversations.report(spark, rows, copies="copies")) == {gone: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())}
 
 
 def test_query(spark, sf):
