@@ -186,13 +186,15 @@ def fingerprints(spark: SparkSession, docs: DataFrame, band: tuple[float, float]
     told = F.transform(every, lambda p: F.coalesce(F.try_element_at("parts", p), F.lit(_EMPTY)))
     alone = F.transform(every, lambda p: digits(F.xxhash64("whole", p)))
     printed = F.array_join(F.when(F.col("last") >= 0, told).otherwise(alone), "")
-    prints = listed.groupBy("range", "place").agg(
+    prints = listed.groupBy(F.col("range").alias("of_range"), F.col("place").alias("of_place")).agg(
         F.max(F.when(F.col("version") == 0, printed)).alias("own"), F.max(F.when(F.col("version") == 1, printed)).alias("other")
     )
     none = F.lit(_EMPTY * (PARTS * len(DRAWS)))
     # what is joined and ordered from here on is narrow
     narrow = rows.select("range", "place", "guest", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    whole = narrow.join(prints, ["range", "place"], "left").withColumn("fingerprint", F.coalesce("own", none)).withColumn("edited_fingerprint", F.coalesce("other", none))
+    # a plain equality would put a filter for nulls below the texts' shuffle on one side, and the texts would be shuffled twice
+    same = F.col("range").eqNullSafe(F.col("of_range")) & F.col("place").eqNullSafe(F.col("of_place"))
+    whole = narrow.join(prints, same, "left").withColumn("fingerprint", F.coalesce("own", none)).withColumn("edited_fingerprint", F.coalesce("other", none))
     following = F.lead("fingerprint").over(Window.partitionBy("range").orderBy("place"))
     return whole.withColumn("next_fingerprint", following).where("NOT guest").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
