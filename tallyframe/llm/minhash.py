@@ -11,9 +11,10 @@
    eight times as many each round, are compared whole, so rounds are few.
 3. Two members that are not linked to their pivot, or one that is not and one
    that is, can still be linked with each other. Then they share deviations from
-   the pivot: shingles that both have and it lacks, or the other way round. With
-   w = t |added| + |removed|, a pair at similarity t or more has at least
-   (w1 + w2 - (1 - t) |pivot|) / (1 + t) deviations in common, so one of the
+   the shingles that most of the family hold: shingles that both have and the
+   majority lacks, or the other way round. With w = t |added| + |removed|, a pair
+   at similarity t or more has at least
+   (w1 + w2 - (1 - t) |majority|) / (1 + t) deviations in common, so one of the
    rarest deviations of either is common (a prefix filter), and only pairs that
    meet there are compared. A family of near copies whose edits differ costs
    rows in proportion to its edits, not to its pairs.
@@ -43,6 +44,8 @@ from .words import BY_SPACE, mixed, runs, sliced
 
 ROWS = 4  # minima in a band
 MISS = 1e-6  # chance that a pair at the threshold shares no band
+#: Ids of texts that share a bucket are sent to all tasks up to this number.
+BROADCAST_IDS = 1_000_000
 _SEED = 7919
 
 
@@ -150,6 +153,25 @@ def _is_linked(percent: int):
     return F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent
 
 
+def _against_majority(sized: DataFrame) -> DataFrame:
+    """The same deviations, taken against the shingles that most of a family hold instead of those of its pivot.
+
+    sized has (p, id, ..., n, added, removed), n being the size of the set that they
+    deviate from. What the pivot alone has or lacks is a deviation of all others,
+    which all of them would share; against the majority it is nobody's but the
+    pivot's, and no deviation is shared by more than half of a family.
+    """
+    signed = sized.select("p", F.inline(F.concat(*[F.transform(c, lambda t, s=s: F.struct(t.alias("token"), F.lit(s).alias("sign"))) for c, s in (("added", 1), ("removed", -1))])))
+    size = sized.groupBy("p").agg(F.count("*").alias("members"))
+    common = signed.groupBy("p", "token", "sign").agg(F.count("*").alias("f")).join(size, "p").where("2 * f > members")
+    none = F.array().cast("array<long>")
+    turned = common.groupBy("p").agg(*[F.collect_list(F.when(F.col("sign") == s, F.col("token"))).alias(c) for c, s in (("more", 1), ("less", -1))])
+    met = sized.join(turned, "p", "left").withColumns({c: F.coalesce(c, none) for c in ("more", "less")})
+    added = F.concat(F.array_except("added", "more"), F.array_except("less", "removed"))
+    removed = F.concat(F.array_except("removed", "less"), F.array_except("more", "added"))
+    return met.select("p", "id", "linked", "component", (F.col("n") + F.size("more") - F.size("less")).alias("n"), added.alias("added"), removed.alias("removed"))
+
+
 def _deviating_pairs(family: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(a, b): members of one family in different components that share enough deviations to be linked.
 
@@ -160,6 +182,7 @@ def _deviating_pairs(family: DataFrame, sets: DataFrame, labels: DataFrame, perc
     member = member.join(open_.select("p"), "p")
     known = member.join(sets.toDF("id", "x"), "id").join(sets.toDF("p", "pivot"), "p")
     sized = known.select("p", "id", "linked", "component", F.size("pivot").alias("n"), F.array_except("x", "pivot").alias("added"), F.array_except("pivot", "x").alias("removed"))
+    sized = _against_majority(scratch.keep(sized))
     sized = scratch.keep(sized.withColumn("d", F.size("added") + F.size("removed")))
     rows = sized.select("p", "id", F.explode(F.concat("added", "removed")).alias("token"))
     # w and the room (1 - t) n in hundredths, so that all bounds are whole numbers
@@ -189,7 +212,9 @@ def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                 own = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([rows.column(0), own], ["id", "shingles"])
 
-    return docs.join(ids, docs.doc_id == ids.id, "left_semi").mapInArrow(sets, "id long, shingles array<long>")
+    # ids travel to the texts while there are few; the texts are shuffled beyond
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(wanted, docs.doc_id == ids.id, "left_semi").mapInArrow(sets, "id long, shingles array<long>")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -160,6 +160,23 @@ def test_decontaminated_documents(spark):
     assert dict(pairs(decontaminate.decontaminate(spark, docs, items, longest=13)))[1] == "keep " * 400 + "!"
 
 
+@pytest.mark.parametrize("edits", [3, 9])
+def test_near_duplicates_in_families_of_edited_copies(spark, edits):
+    """Families whose members are edited by themselves, so that links run past the pivot."""
+    rng, docs = random.Random(edits), []
+    for family in range(4):
+        base = [f"f{family}w{k}" for k in range(90)]
+        for member in range(45):
+            words = list(base)
+            for _ in range(rng.randrange(edits)):
+                words[rng.randrange(90)] = f"e{rng.randrange(6)}" if rng.random() < 0.5 else f"m{member}"
+            docs.append((len(docs), " ".join(words)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for width, percent in ((3, 85), (5, 80)):
+        found = minhash.near_duplicates(spark, frame, width, percent)
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found.collect()} == brute.near_duplicates(docs, width, percent)
+
+
 def test_line_dedup_of_odd_rows(spark, odd, nothing):
     found = linededup.dedup_lines(spark, odd)
     rows = [(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in found.collect()]
