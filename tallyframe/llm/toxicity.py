@@ -10,6 +10,7 @@ which on its calibration rows are toxic.
 
 from __future__ import annotations
 
+import io
 import math
 from typing import NamedTuple
 
@@ -256,10 +257,38 @@ def _limits(bins: DataFrame) -> dict[str, float]:
     return {r.lang: r.bin / _BINS for r in found.orderBy("lang").collect()}
 
 
+def _slotted(batches):
+    """The rows with the slots of their words in place of the text."""
+    for batch in batches:
+        for lo, hi in slices(batch.column(2)):
+            part = batch.slice(lo, hi - lo)
+            ids = pa.array([x.astype(np.int32).tobytes() for x in slots(part.column(2))], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids, part.column(3).cast(pa.int32())], ["order", "doc_id", "ids", "toxic"])
+
+
+def _fitted(batches):
+    """The net of all rows, which are a bounded sample, as one value; no rows give an untrained net."""
+    texts, labels = [], []
+    for batch in batches:
+        texts += [np.frombuffer(x, dtype=np.int32).reshape(-1, 1 + len(STEMS)) for x in batch.column(2).to_pylist()]
+        labels += batch.column(3).to_pylist()
+    file = io.BytesIO()
+    np.savez(file, *fit(texts, np.array(labels, dtype=np.float64)).parameters())
+    yield pa.RecordBatch.from_arrays([pa.array([file.getvalue()], pa.binary())], ["net"])
+
+
+def _unpacked(row) -> Net:
+    with np.load(io.BytesIO(row.net)) as file:
+        found = [file[name] for name in file.files]
+    n = len(WIDTHS)
+    return Net(found[0], found[1 : 1 + n], found[1 + n : 1 + 2 * n], *found[1 + 2 * n :])
+
+
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of labels (doc_id, toxic) over docs (doc_id, text, lang), from rows whose crc32(doc_id) mod 3 is not 1.
 
-    Remainder 0 is fitted on, on the sample rows of smallest hash at most.
+    Remainder 0 is fitted on, on the sample ids of smallest hash at most, with one
+    row each (that of the text with the smallest hash), in one task.
     All rows of remainder 2 are scored and give the calibration and the
     thresholds, through counts by bins of a thousandth of a logit. Without
     labelled rows every score is 0.5.
@@ -268,8 +297,11 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
     marked = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").where(fold != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit("toxicity"))
     chosen = F.broadcast(marked.where(fold == 0).select("doc_id", "toxic", order.alias("order")).orderBy("order", "doc_id").limit(sample))
-    own = docs.select("doc_id", "text").join(chosen, "doc_id").orderBy("order", "doc_id", "text").select("text", "toxic").toArrow()
-    net = fit([ids for chunk in own["text"].chunks for ids in slots(chunk)], own["toxic"].to_numpy().astype(np.float64))
+    # a row for each id, of the text with the least hash, so that the sample bounds the rows; the fit is a task of its own
+    own = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("order", "doc_id").agg(F.min_by(F.struct("text", "toxic"), F.xxhash64("text")).alias("row"))
+    sent = own.select("order", "doc_id", "row.text", "row.toxic").mapInArrow(_slotted, "order long, doc_id long, ids binary, toxic int")
+    fitted = sent.orderBy("order", "doc_id").coalesce(1).mapInArrow(_fitted, "net binary").first()
+    net = _unpacked(fitted) if fitted else fit([], np.empty(0))
     bins = Scratch(spark, "toxicity").keep(_binned(spark, docs.select("doc_id", "text", "lang"), marked.where(fold == 2), net))
     counted = bins.groupBy("toxic", "bin").agg(F.sum("n").alias("n")).orderBy("toxic", "bin").toArrow()
     truth, at, n = (counted[c].to_numpy().astype(np.float64) for c in ("toxic", "bin", "n"))
