@@ -147,9 +147,9 @@ counts AS (
     6 * count(*) FILTER (WHERE rejection_reason = '') AS monthly_rows
   FROM acct_checked)"""
 
-# All rows of the spoiled batch carry limit -1; copies by everything but the limit collapse.
+# All rows of the spoiled batch have one status of the first slot; copies by everything else collapse.
 _SPOILED = f"""
-spoiled AS (SELECT DISTINCT * EXCLUDE (limit_bal) FROM acct_raw),
+spoiled AS (SELECT DISTINCT * EXCLUDE (status_1) FROM acct_raw),
 failed AS (SELECT (SELECT count(*) FROM acct_raw) AS raw_rows, (SELECT count(*) FROM spoiled) AS unique_rows)"""
 
 # --- the card snapshot ----------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,8 @@ from tallyframe.sources.export import write_csv, write_json
 from tallyframe.sources.snapshot import read_snapshot, require_digest
 
 RUN = "run-1"
-FAILED_SOURCE = "f" * 64
+# The lineage of rows that no publication has named; no query returns it.
+UNNAMED = hashlib.sha256(b"unnamed").hexdigest()
 # The derived snapshots are damaged on purpose, about a fifth of their rows.
 REJECT_RATE = 0.5
 
@@ -71,7 +73,7 @@ def _publish(
     """Publish the derived snapshot into a namespace of its own in the shared folder."""
     raw = (card_raw if contract is CARD else acct_raw)(spark, sf_dir)
     if spoil:
-        raw = raw.withColumn(contract.limit, F.lit("-1"))
+        raw = raw.withColumn(contract.slots[0].status, F.lit("99"))
     root = None
     if namespace is None:
         root = scratch_folder(spark, contract.name)
@@ -503,7 +505,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     .groupBy(quality.REASON)
     .agg(F.count(F.lit(1)).alias("rows_found")),
     "quarantine_rows": lambda s, d: quality.quarantined_rows(
-        _checked(s, d), FAILED_SOURCE, F.current_timestamp()
+        _checked(s, d), UNNAMED, F.current_timestamp()
     ).select(*ACCOUNT.columns, quality.REASON),
     "accepted_typed": lambda s, d: _accepted(s, d).select(*ACCOUNT.columns),
     "run_counts": _run_counts,
@@ -581,7 +583,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     .groupBy(quality.REASON)
     .agg(F.count(F.lit(1)).alias("rows_found")),
     "card_quarantine_rows": lambda s, d: quality.quarantined_rows(
-        _card(s, d), FAILED_SOURCE, F.current_timestamp()
+        _card(s, d), UNNAMED, F.current_timestamp()
     ).select(*CARD.columns, quality.REASON),
     "card_accounts": lambda s, d: _card_silver(s, d)[0],
     "card_repayments": lambda s, d: _card_silver(s, d)[1],

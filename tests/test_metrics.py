@@ -1,5 +1,6 @@
 import pytest
 from card_rows import card, rows_of
+from pyspark.sql import functions as F
 
 from tallyframe import (
     CARD,
@@ -34,17 +35,29 @@ def rates(spark, values):
     )
 
 
+# Statuses of three accounts from the latest slot back, and their bills and payments of the third slot.
+STATUS = {"1": (0, 2, 2, 1, -1, 0), "2": (3, 3, 0, 0, 2, 0), "3": (-2, 2, 1, 0, 2, 0)}
+BILL, PAID = {"1": 30, "2": 90, "3": -5}, {"1": 3, "2": 0, "3": 9}
+MONTHS = [s.month for s in CARD.slots]
+
+
 @pytest.fixture
 def silver(cards):
-    raw = cards(
-        card(PAY_0="2", PAY_2="1", BILL_AMT1="100", PAY_AMT1="7"),
-        card(ID="2", LIMIT_BAL="50000", BILL_AMT1="300", PAY_0="-1"),
-        card(ID="3", LIMIT_BAL="50000", BILL_AMT1="-40", PAY_0="3"),
-    )
-    _, accepted, _ = prepare(raw, "d" * 64)
+    def fields(account):
+        third = CARD.slots[2]
+        given = {s.status: str(v) for s, v in zip(CARD.slots, STATUS[account])}
+        limit = {} if account == "1" else {CARD.limit: "50000"}
+        return given | limit | {CARD.id: account, third.bill: str(BILL[account]), third.payment: str(PAID[account])}
+
+    _, accepted, _ = prepare(cards(*[card(**fields(a)) for a in STATUS]), "d" * 64)
     return accepted, *build_silver(accepted, "r")
 
 
+def share_delayed(slot):
+    late = [statuses[slot] >= 2 for statuses in STATUS.values()]
+    return sum(late) / len(late)
+
+
 def test_recorded_alerts_to_the_last_digit(spark):
     found = alerts(rates(spark, [(m, r) for m, r, _, _ in RECORDED]), 1.0).orderBy("month").collect()
     assert [(str(r.month), r.delayed_account_rate, r.change_percentage_points, r.alert_status)
@@ -52,12 +65,14 @@ def test_recorded_alerts_to_the_last_digit(spark):
     assert {r.threshold_percentage_points for r in found} == {1.0}
 
 
-def test_alert_units_and_baseline(silver):
+def test_changes_are_in_percentage_points_of_the_row_before(silver):
     _, _, facts = silver
     found = {str(r.month): r for r in alerts(monthly(facts), 1.0).collect()}
-    assert found["2005-09-01"].alert_status == "REVIEW"
-    assert found["2005-09-01"].change_percentage_points == 100.0 * (2 / 3)
-    assert found["2005-04-01"].alert_status == "BASELINE"
+    assert found.pop(MONTHS[-1]).alert_status == "BASELINE"
+    for slot, month in enumerate(MONTHS[:-1]):
+        change = 100.0 * (share_delayed(slot) - share_delayed(slot + 1))
+        assert (found[month].change_percentage_points, found[month].alert_status == "REVIEW") == (change, change >= 1)
+    assert [found[m].alert_status for m in MONTHS[:-1]].count("REVIEW") == 3
 
 
 def test_the_threshold_comparison_is_exact(spark):
@@ -81,10 +96,10 @@ def test_monthly_columns_and_values(silver):
         ("delayed_bill_ntd", "bigint"), ("delayed_bill_share", "double"),
         ("payments_ntd", "bigint"), ("undocumented_status_accounts", "bigint"),
     ]
-    september = frame.where("month = '2005-09-01'").first()
-    assert tuple(september)[1:] == (3, 2, 2 / 3, 400, 100, 0.25, 7, 0)
-    april = frame.where("month = '2005-04-01'").first()
-    assert april.delayed_bill_share is None and april.undocumented_status_accounts == 3
+    third = frame.where(F.col("month") == MONTHS[2]).first()
+    assert tuple(third)[1:] == (3, 1, 1 / 3, 120, 30, 0.25, 12, 1)
+    first = frame.where(F.col("month") == MONTHS[-1]).first()
+    assert first.delayed_bill_share is None and first.undocumented_status_accounts == 3
 
 
 def test_segments_add_up_to_the_month(silver):
@@ -135,10 +150,10 @@ def test_reports(spark, silver):
     assert [str(r.month) for r in trend] == [m for m, *_ in RECORDED]
     worst = reports.latest_month_concentration(bands, months).collect()
     assert [(r.limit_band, r.delayed_account_rate) for r in worst] == [
-        ("100k_to_299k", 1.0), ("below_100k", 0.5),
+        ("below_100k", 0.5), ("100k_to_299k", 0.0),
     ]
     review = reports.review_alerts(alerts(months, 1.0)).collect()
-    assert [str(r.month) for r in review] == ["2005-09-01"]
+    assert [str(r.month) for r in review] == [MONTHS[4], MONTHS[2], MONTHS[1]]
 
 
 def test_latest_success_breaks_ties_by_run_id(spark):
@@ -153,13 +168,16 @@ def test_latest_success_breaks_ties_by_run_id(spark):
 
 
 def test_triage_counts_and_sample(cards):
-    from pyspark.sql import functions as F
-
     _, _, rejected = prepare(cards(card(AGE="1"), card(ID="2", AGE="1"), card(ID="3", SEX="9")),
                              "a" * 64)
     quarantine = rejected.withColumn("run_id", F.lit("r"))
     assert rows_of(reports.rejection_triage(quarantine), "rejection_reason", "rejected_rows") == [
         ("age_out_of_range", 2), ("invalid_sex_code", 1),
     ]
-    assert reports.rejected_sample(quarantine, "r", CARD, 2).count() == 2
+    assert reports.rejected_sample(quarantine, "r", CARD, 2).count() == 3
+    one = reports.rejected_sample(quarantine, "r", CARD, 1)
+    assert rows_of(one, "rejection_reason", "rank") == [("age_out_of_range", 1), ("invalid_sex_code", 1)]
+    least = {r.rejection_reason: r.record_hash for r in quarantine.orderBy(F.desc("record_hash")).collect()}
+    assert {r.rejection_reason: r.record_hash for r in one.collect()} == least
+    assert rows_of(reports.rejected_sample(quarantine.repartition(7), "r", CARD, 1), "*") == rows_of(one, "*")
     assert reports.rejected_sample(quarantine, "other").count() == 0

@@ -9,6 +9,8 @@ from card_rows import card
 from pyspark.sql import functions as F
 
 from tallyframe import CARD, integrity_report, publish, publish_file, read_snapshot, source_pin
+from tallyframe.operators import gate
+from tallyframe.operators.quality import snapshot_digest, unique_rows
 from tallyframe.plans import publish as plan
 from tallyframe.sources import tables
 from tallyframe.sources.stages import drop_dead
@@ -81,17 +83,22 @@ def test_changed_rows_under_a_known_source_are_appended_and_judged_alone(spark,
     assert sorted(r.account_id for r in accounts) == [1, 3]
 
 
-def test_a_failed_batch_leaves_the_published_one(spark, place, batch):
+def test_readers_keep_what_a_refused_batch_would_have_replaced(spark, place, batch):
     ns, root = place
-    good = publish(spark, batch, ns, SHA, max_reject_rate=0.9, root=root)
-    with pytest.raises(ValueError, match="No usable input"):
-        publish(spark, batch.withColumn("LIMIT_BAL", F.lit("-1")), ns, "f" * 64)
-    assert spark.table(f"{ns}.silver_accounts").first().run_id == good["run_id"]
-    failed = spark.table(f"{ns}.pipeline_runs").where("status = 'FAILED'").collect()
-    assert len(failed) == 1
-    assert (failed[0].raw_rows, failed[0].rejected_rows, failed[0].accepted_accounts) == (6, 5, 0)
-    # Raw rows and rejects of the refused batch are there for triage, versions are not.
-    assert counts(spark, ns) == (10, 8, 2, 12, 2, 12)
+    shown = publish(spark, batch, ns, SHA, max_reject_rate=0.9, root=root)["run_id"]
+    before = counts(spark, ns)
+    # every row of the new batch breaks one rule, and the batch goes by its own digest
+    too_young = batch.withColumn("AGE", F.lit("17"))
+    with pytest.raises(ValueError, match=gate.NO_ROWS):
+        publish(spark, too_young, ns)
+    log = {r.status: r for r in spark.table(f"{ns}.pipeline_runs").collect()}
+    assert set(log) == {"SUCCESS", "FAILED"} and log["SUCCESS"].run_id == shown
+    assert log["FAILED"].source_sha256 == snapshot_digest(unique_rows(too_young)).first().digest
+    assert (log["FAILED"].raw_rows, log["FAILED"].rejected_rows, log["FAILED"].accepted_accounts) == (6, 5, 0)
+    runs = {r.run_id for v in ("silver_accounts", "silver_repayments") for r in spark.table(f"{ns}.{v}").select("run_id").distinct().collect()}
+    assert runs == {shown}
+    # raw rows and rejects of the refused batch are there for triage, versions are not
+    assert counts(spark, ns) == (before[0] + 5, before[1] + 5, *before[2:])
 
 
 def test_the_reject_rate_gate(spark, place, batch):
@@ -178,7 +185,7 @@ def test_each_run_is_judged_by_its_own_threshold(spark, place, cards):
     alerts = spark.table(f"{ns}.gold_alerts").where("month = '2005-09-01'")
     assert alerts.first().alert_status == "REVIEW"
     with pytest.raises(ValueError):
-        publish(spark, cards(card(AGE="1")), ns, "f" * 64, threshold_pp=50.0)
+        publish(spark, cards(card(AGE="1")), ns, "e" * 64, threshold_pp=50.0)
     assert alerts.first().threshold_percentage_points == 1.0
     publish(spark, cards(*rows), ns, SHA, threshold_pp=2.5)
     latest = spark.table(f"{ns}.gold_alerts").where("month = '2005-09-01'").first()
