@@ -26,7 +26,7 @@ def ordered(rows):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_registered_queries_equal_sql(spark, sf, name):
     other = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         other.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     frame = entry.queries()[name](spark, sf)
     answer = other.execute(entry.oracle_sql()[name])
