@@ -351,6 +351,9 @@ ORACLES: dict[str, str] = {
     "run_record": f"""{_ACCT}, {_COUNTS}
         SELECT CAST(unnest([1, 2]) AS INTEGER) AS run, CAST(1 AS BIGINT) AS audit_rows, 'SUCCESS' AS status, raw_rows, exact_duplicates,
           rejected_rows, accepted_accounts, monthly_rows FROM counts""",
+    "publish_resumed": f"""{_ACCT}, {_COUNTS}
+        SELECT 'lost:unique' AS lost_runs, CAST(0 AS INTEGER) AS left_over, 'SUCCESS' AS status, raw_rows, exact_duplicates, rejected_rows,
+          accepted_accounts, monthly_rows FROM counts""",
     "refused_headers": f"""{_ACCT}
         SELECT tried, outcome, CASE WHEN outcome = 'accepted' THEN (SELECT count(*) FROM acct_raw) ELSE 0 END AS rows_read
         FROM (VALUES ('same', 'accepted'), ('other_order', 'accepted'), ('column_missing', 'refused'), ('column_more', 'refused'),

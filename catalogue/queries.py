@@ -21,10 +21,11 @@ from catalogue.inputs import (
 from tallyframe.contract import CARD, MISSING, Contract, Rule
 from tallyframe.functions.expressions import broken_rules, digest_of, guarded_ratio
 from tallyframe.operators import checks, gate, keyed, metrics, ordered, quality, reports, reshape
-from tallyframe.plans.publish import COUNTED, integrity_report, publish
+from tallyframe.plans.publish import COUNTED, integrity_report, publication_work, publish, resumable
 from tallyframe.sources import pins, tables
 from tallyframe.sources.export import write_csv, write_json
 from tallyframe.sources.snapshot import read_snapshot, require_digest
+from tallyframe.sources.stages import Stage
 
 RUN = "run-1"
 # The lineage of rows that no publication has named; no query returns it.
@@ -185,6 +186,22 @@ def run_record(spark, sf_dir):
     return spark.createDataFrame(found, "run int, audit_rows long, status string, " + ", ".join(f"{c} long" for c in COUNTED))
 
 
+def publish_resumed(spark, sf_dir):
+    """A publication that goes on from what a lost one had staged, and without a look at the source."""
+    root = scratch_folder(spark, "resumed")
+    ns = root.rsplit("/", 1)[1]
+    raw = acct_raw(spark, sf_dir)
+    tables.install(spark, ns, ACCOUNT, root)
+    # what a driver leaves behind that is lost after its first step
+    lost = Stage(spark, f"{root}/stages", "lost", publication_work(spark, ns, ACCOUNT))
+    lost.begin()
+    lost.keep(quality.unique_rows(raw, ACCOUNT), "unique")
+    found = ",".join(f"{run}:{'+'.join(steps)}" for run, steps in resumable(spark, ns, root).items())
+    run = publish(spark, raw.limit(0), ns, None, REJECT_RATE, 1.0, ACCOUNT, root, resume="lost")
+    left = len(resumable(spark, ns, root))
+    return spark.createDataFrame([(found, left, run["status"], *[run[c] for c in COUNTED])], "lost_runs string, left_over int, status string, " + ", ".join(f"{c} long" for c in COUNTED))
+
+
 def refused_headers(spark, sf_dir):
     """Which headers a snapshot may have, and how many rows are then read."""
     raw = acct_raw(spark, sf_dir)
@@ -529,6 +546,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_ship_trend": monthly_ship_trend,
     "user_event_gaps": user_event_gaps,
     "run_record": run_record,
+    "publish_resumed": publish_resumed,
     "refused_headers": refused_headers,
     "guard_outcomes": guard_outcomes,
     "rejected_sample": rejected_sample,

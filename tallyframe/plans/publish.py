@@ -5,7 +5,8 @@ steps read columnar data. The rules run once, on the staged rows, and what the
 later steps need of them is staged at the size of their files, so that all
 that follows is map-only. Lost executors cost a rerun of their tasks; a lost
 driver leaves only partitions that no view shows, because the SUCCESS audit
-row comes last. One writer at a time.
+row comes last, and its stages, from which another run can go on. One writer at
+a time.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from tallyframe.plans.sizing import SHUFFLE, settings_for, sized_for, source_byt
 from tallyframe.sources import tables
 from tallyframe.sources.pins import source_pin
 from tallyframe.sources.snapshot import read_snapshot, require_digest
-from tallyframe.sources.stages import Stage, drop_dead
+from tallyframe.sources.stages import Stage, drop_dead, lost_runs
 
 # What an audit row counts.
 COUNTED = ("raw_rows", "exact_duplicates", "rejected_rows", "accepted_accounts", "monthly_rows")
@@ -45,6 +46,11 @@ def require_parameters(
     gate.require_rate(max_reject_rate)
 
 
+def publication_work(spark: SparkSession, namespace: str, contract: Contract, source_sha256: str | None = None) -> str:
+    """What a lost run's stages must be about to be of use: the contract, the source's name, and the buckets."""
+    return "|".join([contract.name, *contract.columns, source_sha256 or "-", str(tables.bucket_count(spark, namespace))])
+
+
 @dataclass
 class _Run:
     """One publication: where it writes, what it has counted, and its audit row at the end."""
@@ -55,13 +61,16 @@ class _Run:
     threshold_pp: float
     place: str
     source: str | None
+    resumed: str | None = None
     id: str = field(default_factory=lambda: uuid.uuid4().hex)
     started: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
     counts: dict[str, int] = field(default_factory=lambda: dict.fromkeys(COUNTED, 0))
 
     def __enter__(self):
-        drop_dead(self.spark, self.place, self.spark.table(self.table(tables.RUNS)))
-        self.stage = Stage(self.spark, self.place, self.id)
+        drop_dead(self.spark, self.place, self.spark.table(self.table(tables.RUNS)), but=self.resumed)
+        work = publication_work(self.spark, self.namespace, self.contract, self.source)
+        self.stage = Stage(self.spark, self.place, self.id, work, self.resumed)
+        self.stage.begin()
         return self
 
     def __exit__(self, kind, problem, _):
@@ -120,6 +129,22 @@ class _Run:
         self.counts["monthly_rows"] = stored
 
 
+#: Steps whose results a run stages, in order.
+STEPS = ("unique", "checked")
+
+
+def _place(spark: SparkSession, namespace: str, root: str | None) -> str:
+    return f"{root or spark.conf.get('spark.sql.warehouse.dir') + '/' + namespace}/stages"
+
+
+def resumable(spark: SparkSession, namespace: str, root: str | None = None) -> dict[str, list[str]]:
+    """Lost runs, none of which has an audit row, with the steps that ``publish(..., resume=run)`` would not repeat.
+
+    A run that another driver is still working on is listed as well.
+    """
+    return lost_runs(spark, _place(spark, namespace, root), spark.table(f"{namespace}.{tables.RUNS}"), STEPS)
+
+
 def publish(
     spark: SparkSession,
     raw: DataFrame,
@@ -130,9 +155,13 @@ def publish(
     contract: Contract = CARD,
     root: str | None = None,
     size: int = 0,
+    resume: str | None = None,
 ) -> dict:
     """Check, store and publish one snapshot; returns the run record.
 
+    ``resume`` names a run whose driver was lost (``resumable`` lists them): what
+    it has staged is taken over, and the source is not read, nor a rule run, again.
+
     ``source_sha256`` names the source; without it the snapshot's own digest
     does. ``size`` is what is known of the source's bytes. Raw rows and rejects
     are stored before the gate, so that a refused batch can be looked into;
@@ -141,8 +170,8 @@ def publish(
     require_parameters(namespace, source_sha256, max_reject_rate, threshold_pp)
     partitions = max(settings_for(size)[0], int(spark.conf.get(SHUFFLE)))
     tables.install(spark, namespace, contract, root, partitions)
-    place = f"{root or spark.conf.get('spark.sql.warehouse.dir') + '/' + namespace}/stages"
-    with sized_for(spark, size), _Run(spark, namespace, contract, threshold_pp, place, source_sha256) as run:
+    place = _place(spark, namespace, root)
+    with sized_for(spark, size), _Run(spark, namespace, contract, threshold_pp, place, source_sha256, resume) as run:
         unique = run.stage.keep(quality.unique_rows(raw, contract), "unique")
         run.source = run.source or quality.snapshot_digest(unique).first().digest
         run.store_raw(unique)

@@ -13,7 +13,7 @@ from tallyframe.operators import gate
 from tallyframe.operators.quality import snapshot_digest, unique_rows
 from tallyframe.plans import publish as plan
 from tallyframe.sources import tables
-from tallyframe.sources.stages import drop_dead
+from tallyframe.sources.stages import Stage, drop_dead
 
 SHA = "a" * 64
 
@@ -302,3 +302,65 @@ def test_a_message_is_stored_whole(spark, place, batch, monkeypatch):
     with pytest.raises(RuntimeError):
         publish(spark, batch, ns, SHA, root=root)
     assert spark.table(f"{ns}.pipeline_runs").first().message == "m" * 5000
+
+
+class Killed(BaseException):
+    """The driver is gone: nothing is tidied up."""
+
+
+@pytest.mark.parametrize("step", ["nothing", "unique", tables.BRONZE, "checked", tables.QUARANTINE, tables.ACCOUNTS, tables.REPAYMENTS])
+def test_a_run_goes_on_where_a_lost_one_was(spark, place, batch, monkeypatch, step):
+    ns, root = place
+    tables.install(spark, ns, root=root)
+    keep, append, drop = Stage.keep, tables.append, Stage.drop
+
+    def keeping(self, rows, name, *more):
+        if step == "nothing":
+            raise Killed
+        kept = keep(self, rows, name, *more)
+        if name == step:
+            raise Killed
+        return kept
+
+    def appending(rows, table):
+        append(rows, table)
+        if table.endswith(step):
+            raise Killed
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Stage, "keep", keeping)
+        patch.setattr(tables, "append", appending)
+        patch.setattr(Stage, "drop", lambda self: None)
+        with pytest.raises(Killed):
+            publish(spark, batch, ns, SHA, max_reject_rate=0.9, root=root)
+    done = {"nothing": [], "unique": ["unique"], tables.BRONZE: ["unique"]}.get(step, ["unique", "checked"])
+    found = plan.resumable(spark, ns, root)
+    assert list(found.values()) == [done]
+    assert drop is Stage.drop and counts(spark, ns)[4:] == (0, 0)
+
+    def counting(self, rows, name, *more):
+        written.append(name) if name not in done else None
+        return keep(self, rows, name, *more)
+
+    written = []
+    monkeypatch.setattr(Stage, "keep", counting)
+    # another source under the name is not looked at where the rows are staged
+    raw = batch if "unique" not in done else batch.limit(0)
+    run = publish(spark, raw, ns, SHA, max_reject_rate=0.9, root=root, resume=next(iter(found)))
+    assert written == [s for s in plan.STEPS if s not in done]
+    assert {k: v for k, v in run.items() if k != "run_id"} == {
+        "status": "SUCCESS", "raw_rows": 6, "exact_duplicates": 1, "rejected_rows": 3, "accepted_accounts": 2, "monthly_rows": 12,
+    }
+    assert spark.table(f"{ns}.bronze_records").count() == 5 and counts(spark, ns)[4:] == (2, 12)
+    assert staged(root) == [] and plan.resumable(spark, ns, root) == {}
+
+
+def test_only_the_same_work_is_taken_over(spark, place, batch):
+    ns, root = place
+    tables.install(spark, ns, root=root)
+    lost = Stage(spark, f"{root}/stages", "lost", plan.publication_work(spark, ns, CARD, "b" * 64))
+    lost.begin()
+    for run in ("lost", "never"):
+        with pytest.raises(ValueError, match="another source"):
+            publish(spark, batch, ns, SHA, max_reject_rate=0.9, root=root, resume=run)
+    assert list(plan.resumable(spark, ns, root)) == ["lost"]
