@@ -78,7 +78,8 @@ def _meet(rows: Iterator[tuple[int, int, float]], seed: str) -> tuple[dict[int,
 
 
 def _round(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["order", "id", "size", "rows"], ignore_index=True, na_position="last")
+    # the largest meet first: what is left at the end, and may miss the target, is then a small one
+    pdf = pdf.sort_values(["size", "order", "id", "rows"], ascending=[False, True, True, True], ignore_index=True, na_position="last")
     seed = f"{pdf['source'].iloc[0]!r} {pdf['level'].iloc[0]} {pdf['block'].iloc[0]}"
     done, left = _meet(zip(range(len(pdf)), pdf["size"].tolist(), pdf["p"].tolist()), seed)
     rounded = pd.Series([done.get(i, 0) for i in range(len(pdf))], index=pdf.index)
