@@ -1,19 +1,19 @@
 """Substring dedup by relative Lempel-Ziv parsing: words of passages that stand anywhere else go.
 
-A document is read as the sequence of the fingerprints of its windows of WINDOW
-words, so that a factor of one symbol or more is a passage long enough. Windows
-with the same smallest run of SEED words (their anchor) in a row are a piece.
-Equal windows have equal anchors at equal offsets; so only pieces whose anchor
-stands somewhere else go on, and all windows that can be equal meet in the
-reference block of their anchor. A block indexes its distinct pieces. Each is
-parsed greedily: the factor at a symbol is the longest match with another place
-of the block, a symbol without one is a literal. The symbol after a factor
-begins the next one, so windows across the boundary of two factors are looked
-up like all others.
+A run of WINDOW words in a row with the same smallest run of SEED words (their
+anchor) makes a piece of a document: the words of these windows. Equal windows have
+equal anchors at equal offsets; so only pieces whose anchor stands somewhere else go
+on, and all windows that can be equal meet in the reference block of their anchor.
+A block joins its distinct pieces to one reference of words, indexed by a suffix
+array. Each piece is factored greedily against it: a factor is the longest match of
+the words from its first word on with any other place of the reference, a word
+without a match is a literal. Factors of WINDOW words or more are duplicate spans.
+Windows across the boundary of two factors are in neither, so each is looked up in
+the index by itself, and is a span if all of it stands elsewhere.
 
 Documents are dealt into groups and packed; groups ask for anchors, send their
-distinct pieces and get back factors, and the text is shuffled once. A passage
-of a third of all documents costs one row for each group.
+distinct pieces and get back spans, and the text is shuffled once. A passage of a
+third of all documents costs one row for each group.
 """
 
 from __future__ import annotations
@@ -37,30 +37,35 @@ SEED = 6
 
 
 class Pieces(NamedTuple):
-    """Of some texts: the fingerprint of every window, and of each piece the anchor, its first window and its number of windows."""
+    """Of some texts: the hash of every word, and of each piece the anchor, its first window and its number of windows."""
 
-    symbols: np.ndarray
+    words: np.ndarray
     anchors: np.ndarray
     starts: np.ndarray
     sizes: np.ndarray
 
+    def of(self, i: int, window: int) -> bytes:
+        """The word hashes of a piece; its last window ends with its last word."""
+        lo = self.starts[i]
+        return self.words[lo : lo + self.sizes[i] + window - 1].tobytes()
+
 
 def pieces_of(words: Words, window: int) -> Pieces:
     """The pieces of all texts; a text of fewer than window words has none. Windows are numbered by their first word."""
     hashes = words.hashes(fold=False)
     seed = min(SEED, window)
-    seeds, symbols = runs(hashes, seed), runs(hashes, window)
+    seeds = runs(hashes, seed)
     counts = words.counts()
     within = np.arange(len(hashes)) - np.repeat(words.first[:-1], counts)
     at = np.flatnonzero(within + window <= np.repeat(counts, counts))
     if not len(at):
         empty = np.empty(0, dtype=np.int64)
-        return Pieces(symbols, empty.astype(np.uint64), empty, empty)
+        return Pieces(hashes, empty.astype(np.uint64), empty, empty)
     width = window - seed + 1
     views = np.lib.stride_tricks.sliding_window_view(seeds, width)
     place = np.concatenate([views[at[lo : lo + 65536]].argmin(axis=1) for lo in range(0, len(at), 65536)]) + at
     new = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1))))
-    return Pieces(symbols, seeds[place[new]], at[new], np.diff(np.append(new, len(at))))
+    return Pieces(hashes, seeds[place[new]], at[new], np.diff(np.append(new, len(at))))
 
 
 def _read(blobs: pd.Series, window: int) -> Iterator[tuple[pa.RecordBatch, Words, Pieces]]:
@@ -76,8 +81,8 @@ def _ask(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
     return pd.DataFrame({"group": pdf["group"].iloc[0], "anchor": anchors.view(np.int64), "n": n})
 
 
-def _print(symbols: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(symbols, digest_size=8).digest(), "big", signed=True)
+def _print(piece: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "big", signed=True)
 
 
 def _shared(pieces: Pieces, anchors: np.ndarray) -> np.ndarray:
@@ -91,83 +96,112 @@ def _send(pdf: pd.DataFrame, told: pd.DataFrame, window: int, blocks: int) -> pd
     if len(known):
         for _, _, pieces in _read(pdf["docs"], window):
             for i in _shared(pieces, known):
-                lo = pieces.starts[i]
-                key = int(pieces.anchors[i]), pieces.symbols[lo : lo + pieces.sizes[i]].tobytes()
+                key = int(pieces.anchors[i]), pieces.of(i, window)
                 found[key] = found.get(key, 0) + 1
     anchors = np.array([a for a, _ in found], dtype=np.uint64)
     return pd.DataFrame({
         "block": (anchors % np.uint64(blocks)).astype(np.int64),
         "group": pdf["group"].iloc[0] if len(pdf) else 0,
         "n": list(found.values()),
-        "symbols": [s for _, s in found],
+        "piece": [s for _, s in found],
     })
 
 
-def factors(reference: np.ndarray, elsewhere: np.ndarray, lo: int, hi: int) -> list[tuple[int, int]]:
-    """Greedy factors of reference[lo:hi], as offsets (start, stop).
+def longest_matches(words: np.ndarray) -> np.ndarray:
+    """For each place of the reference, how many words from there on also stand at some other place.
 
-    elsewhere is another place of each symbol of the reference, or -1.
+    By a suffix array: ranks of runs of 1, 2, 4, ... words, until no two places are
+    equal; neighbours in the final order are compared run by run, longest first.
     """
-    out, at = [], lo
-    while at < hi:
-        match = int(elsewhere[at])
-        if match < 0:
-            at += 1
-            continue
-        n = 1
-        while at + n < hi and match + n < len(reference) and reference[match + n] == reference[at + n]:
-            n += 1
-        if out and out[-1][1] == at - lo:
-            out[-1] = (out[-1][0], at - lo + n)
-        else:
-            out.append((at - lo, at - lo + n))
-        at += n
+    n = len(words)
+    rank = np.unique(words, return_inverse=True)[1]
+    levels = [rank]
+    while n and rank.max() < n - 1:
+        step = 1 << (len(levels) - 1)
+        follows = np.append(rank[step:], np.full(min(step, n), -1))[:n]
+        rank = np.unique(rank * (n + 1) + follows + 1, return_inverse=True)[1]
+        levels.append(rank)
+    order = np.empty(n, dtype=np.int64)
+    order[rank] = np.arange(n)
+    one, other = order[:-1].copy(), order[1:].copy()
+    common = np.zeros(max(n - 1, 0), dtype=np.int64)
+    for level in range(len(levels) - 2, -1, -1):
+        inside = (one < n) & (other < n)
+        same = inside & (levels[level][np.minimum(one, n - 1)] == levels[level][np.minimum(other, n - 1)])
+        for part in (one, other, common):
+            part += same.astype(np.int64) << level
+    longest = np.zeros(n, dtype=np.int64)
+    longest[order[:-1]] = common
+    longest[order[1:]] = np.maximum(longest[order[1:]], common)
+    return longest
+
+
+def factors(longest: np.ndarray) -> list[tuple[int, int]]:
+    """Greedy factors (start, length) of a piece, from the longest match at each of its places; words without one are literals."""
+    out, at, n = [], 0, len(longest)
+    longest = longest.tolist()
+    while at < n:
+        length = longest[at]
+        if length:
+            out.append((at, length))
+        at += length or 1
     return out
 
 
-def parse_block(rows: list[bytes], copies: np.ndarray) -> list[list[tuple[int, int]]]:
-    """The factors of each distinct piece of a block; a piece that stands more than once is a factor of itself."""
+def duplicate_windows(longest: np.ndarray, window: int, boundaries: bool = True) -> list[tuple[int, int]]:
+    """Runs (first, beyond the last) of a piece's windows that stand elsewhere: those within factors, and across their boundaries.
+
+    Without boundaries, windows that no factor contains are not looked up.
+    """
+    found = np.zeros(len(longest) + 1, dtype=bool)
+    for start, length in factors(longest):
+        inner = max(start, start + length - window + 1)
+        found[start:inner] = True
+        if boundaries:
+            found[inner : start + length] = longest[inner : start + length] >= window
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], found[:-1], [False])).astype(np.int8)))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
+def parse_block(rows: list[bytes], copies: np.ndarray, window: int) -> list[list[tuple[int, int]]]:
+    """Duplicate windows of each distinct piece of a block; all of a piece that stands more than once."""
     sizes = np.array([len(r) // 8 for r in rows], dtype=np.int64)
-    reference = np.frombuffer(b"".join(rows), dtype=np.uint64)
-    ends = np.cumsum(sizes)
-    # the first and the last place of each symbol; a symbol is not matched with itself
-    _, first, at = np.unique(reference, return_index=True, return_inverse=True)
-    last = np.empty(len(first), dtype=np.int64)
-    last[at] = np.arange(len(reference))
-    here = np.arange(len(reference))
-    elsewhere = np.where(first[at] != here, first[at], np.where(last[at] != here, last[at], -1))
-    matched = np.add.reduceat(elsewhere >= 0, ends - sizes) > 0 if len(rows) else np.empty(0, dtype=bool)
-    out = []
-    for i, (end, size) in enumerate(zip(ends.tolist(), sizes.tolist())):
-        if copies[i] > 1:
-            out.append([(0, size)])
+    known, ids = np.unique(np.frombuffer(b"".join(rows), dtype=np.uint64), return_inverse=True)
+    # a word of its own after each piece, which no match crosses
+    reference = np.insert(ids, np.cumsum(sizes), len(known) + np.arange(len(rows)))
+    longest, out, lo = longest_matches(reference), [], 0
+    for size, n in zip(sizes.tolist(), copies.tolist()):
+        own = longest[lo : lo + size]
+        if n > 1:
+            out.append([(0, size - window + 1)])
         else:
-            out.append(factors(reference, elsewhere, end - size, end) if matched[i] else [])
+            out.append(duplicate_windows(own, window) if own.max(initial=0) >= window else [])
+        lo += size + 1
     return out
 
 
-def _parse(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(group, print, spans) of the pieces of a block that have factors."""
-    distinct = pdf.groupby("symbols", sort=True)["n"].sum()
-    spans = dict(zip(distinct.index, parse_block(list(distinct.index), distinct.to_numpy())))
+def _parse(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
+    """(group, print, spans) of the pieces of a block that have duplicate windows."""
+    distinct = pdf.groupby("piece", sort=True)["n"].sum()
+    spans = dict(zip(distinct.index, parse_block(list(distinct.index), distinct.to_numpy(), window)))
     prints = {s: _print(s) for s, found in spans.items() if found}
-    own = pdf[pdf["symbols"].map(prints.__contains__)]
+    own = pdf[pdf["piece"].map(prints.__contains__)]
     return pd.DataFrame({
         "group": own["group"],
-        "print": own["symbols"].map(prints),
-        "spans": pd.Series([[x for span in spans[s] for x in span] for s in own["symbols"]], index=own.index, dtype=object),
+        "print": own["piece"].map(prints),
+        "spans": pd.Series([[x for span in spans[s] for x in span] for s in own["piece"]], index=own.index, dtype=object),
     })
 
 
 def _remove(pdf: pd.DataFrame, told: pd.DataFrame, window: int) -> pd.DataFrame:
-    """The texts of a group without the words of factors."""
+    """The texts of a group without the words of duplicate windows."""
     known = dict(zip(told["print"], told["spans"])) if len(told) else {}
     ids, texts, n_words, n_removed = [], [], [], []
     for rows, words, pieces in _read(pdf["docs"], window):
         change = np.zeros(len(words.starts) + 1, dtype=np.int64)
         if known:
-            for lo, size in zip(pieces.starts.tolist(), pieces.sizes.tolist()):
-                spans = known.get(_print(pieces.symbols[lo : lo + size].tobytes()))
+            for i, lo in enumerate(pieces.starts.tolist()):
+                spans = known.get(_print(pieces.of(i, window)))
                 if spans is not None:
                     for a, b in zip(spans[::2], spans[1::2]):
                         change[lo + a] += 1
@@ -189,8 +223,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -
     A word is removed if it lies in a run of window words that starts at any
     other place, in the same row or another one; all copies go. Words are cut
     at ASCII white space and compared as they are. Null and empty texts have no
-    words. Repeated rows are each other's copies, whatever their ids. Runs are
-    compared by 64-bit fingerprints. No rows give no rows.
+    words. Repeated rows are each other's copies, whatever their ids. Words are
+    compared by 64-bit hashes. No rows give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     groups = number_of_groups(docs)
@@ -200,9 +234,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -
     total = F.sum("n").over(Window.partitionBy("anchor"))
     answers = asked.withColumn("total", total).where("total > 1").select("group", "anchor")
     sent = dealt.groupBy("group").cogroup(answers.groupBy("group")).applyInPandas(
-        lambda pdf, told: _send(pdf, told, window, groups), "block long, group long, n long, symbols binary"
+        lambda pdf, told: _send(pdf, told, window, groups), "block long, group long, n long, piece binary"
     )
-    found = sent.groupBy("block").applyInPandas(_parse, "group long, print long, spans array<long>")
+    found = sent.groupBy("block").applyInPandas(lambda pdf: _parse(pdf, window), "group long, print long, spans array<long>")
     return dealt.groupBy("group").cogroup(found.groupBy("group")).applyInPandas(
         lambda pdf, told: _remove(pdf, told, window), "doc_id long, text string, n_words long, n_removed long"
     )

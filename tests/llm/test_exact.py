@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import brute
 import duckdb
@@ -226,11 +227,46 @@ def test_substring_dedup_of_random_passages(spark, monkeypatch, groups):
     assert ordered((r.doc_id, r.n_words, r.n_removed, r.text) for r in found.collect()) == ordered(brute.substring_dedup(docs, 8))
 
 
+def test_longest_matches_equal_a_plain_search():
+    rng = random.Random(8)
+    for n in [0, 1, 2, 5, 30, 90] * 8:
+        words = [rng.randrange(rng.choice([2, 4, 40])) for _ in range(n)]
+
+        def common(a, b):
+            return next((k for k in range(n) if max(a, b) + k >= n or words[a + k] != words[b + k]), n)
+
+        wanted = [max((common(a, b) for b in range(n) if b != a), default=0) for a in range(n)]
+        assert rlz.longest_matches(np.array(words, dtype=np.int64)).tolist() == wanted
+
+
 def test_factors_are_greedy_and_skip_literals():
-    reference = np.array([1, 2, 3, 9, 1, 2, 3, 4, 7], dtype=np.uint64)
-    elsewhere = np.array([4, 5, 6, -1, 0, 1, 2, -1, -1])
-    assert rlz.factors(reference, elsewhere, 4, 9) == [(0, 3)]
-    assert rlz.factors(reference, elsewhere, 0, 4) == [(0, 3)]
+    # the reference holds abc and cde; abcde is parsed as abc, de, and a word that stands nowhere else is a literal
+    reference = np.array([1, 2, 3, 90, 3, 4, 5, 91, 1, 2, 3, 4, 5, 7, 92])
+    longest = rlz.longest_matches(reference)[8:14]
+    assert longest.tolist() == [3, 2, 3, 2, 1, 0]
+    assert rlz.factors(longest) == [(0, 3), (3, 2)]
+
+
+def test_windows_across_boundaries_are_looked_up():
+    """Two overlapping passages of the reference: the greedy factor hides the second one's begin."""
+    first, second = list(range(10)), list(range(6, 16))
+    document = list(range(16))
+    reference = np.array([*first, 90, *second, 91, *document, 92])
+    longest = rlz.longest_matches(reference)[-17:-1]
+    assert rlz.factors(longest) == [(0, 10), (10, 6)]
+    assert rlz.duplicate_windows(longest, 8) == [(0, 3), (6, 9)]
+    assert rlz.duplicate_windows(longest, 8, boundaries=False) == [(0, 3)]
+
+
+def test_parsed_blocks_equal_a_plain_count():
+    rng = random.Random(5)
+    for _ in range(40):
+        rows = list({np.array([rng.randrange(4) for _ in range(rng.randrange(6, 40))], dtype=np.uint64).tobytes() for _ in range(5)})
+        copies = np.array([rng.choice([1, 1, 1, 2]) for _ in rows])
+        split = [np.frombuffer(r, dtype=np.uint64).tolist() for r in rows]
+        seen = Counter(tuple(w[i : i + 6]) for w, n in zip(split, copies) for _ in range(n) for i in range(len(w) - 5))
+        for words, spans in zip(split, rlz.parse_block(rows, copies, 6)):
+            assert {i for a, b in spans for i in range(a, b)} == {i for i in range(len(words) - 5) if seen[tuple(words[i : i + 6])] > 1}
 
 
 def test_license_places_equal_brute_force(spark, odd, nothing, sf):
