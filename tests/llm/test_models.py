@@ -207,11 +207,18 @@ def test_bits_equal_a_plain_model(spark, monkeypatch):
     assert sum(p("the", c) for c in alphabet) + p("the", "一") == pytest.approx(1)
 
 
-def test_quality_keeps_trusted_text_and_finds_junk(spark):
-    rows = entry.queries()["op7_quality"](spark, "/root/testdata/sf0.01")
-    marked = rows.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").collect()
+def test_quality_keeps_trusted_text_and_finds_junk_of_each_kind(spark):
+    def kind(text):
+        words = text.split()
+        return "repeated" if len(words) > 5 and len(set(words)) < 0.35 * len(words) else "other"
+
+    rows = entry.queries()["op7_quality"](spark, "/root/testdata/sf0.1")
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    marked = rows.join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
     assert np.mean([r.kept for r in marked if r.quality == 1]) > 0.97
-    assert np.mean([not r.kept for r in marked if r.quality == 0]) > 0.8
+    for one, least in (("repeated", 0.9), ("other", 0.97)):
+        found = [not r.kept for r in marked if r.quality == 0 and kind(r.text) == one]
+        assert len(found) > 200 and np.mean(found) >= least
 
 
 def test_quality_of_odd_rows(spark, odd, nothing):
