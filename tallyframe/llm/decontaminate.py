@@ -19,10 +19,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from .scratch import Scratch
 from .words import BY_LETTER
 
 WINDOW = 13
@@ -153,8 +155,8 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _one_pass(found: DataFrame, kind: StructType, automaton: ItemAutomaton, names: list[str]) -> DataFrame:
-    """found with the hits of one block of items added."""
+def _one_pass(found: DataFrame, kind: StructType, automaton: ItemAutomaton, names: list[str]) -> tuple[DataFrame, Broadcast]:
+    """found with the hits of one block of items added, and what it sent to the tasks."""
     shared = found.sparkSession.sparkContext.broadcast((automaton, names))
 
     def scan(batches):
@@ -171,14 +173,16 @@ def _one_pass(found: DataFrame, kind: StructType, automaton: ItemAutomaton, name
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", "spans", "items"])
 
-    return found.mapInArrow(scan, kind)
+    return found.mapInArrow(scan, kind), shared
 
 
 def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """row (all columns of docs as a struct), n_words, n_hit, spans, items of every row of docs.
 
     spans are the hit words as (start, stop), disjoint and in order; items the
-    ids, as sorted strings, of the items with a window in the text. Null and
+    ids, as sorted strings, of the items with a window in the text. Items beyond
+    BLOCK_BYTES of text are looked for in several passes, whose results are written
+    to the shared folder in between. Null and
     empty texts have no words; items without words have no windows; rows of one
     item_id are one item, and an item without id has an empty name. No items
     hit nothing. No rows give no rows.
@@ -190,10 +194,17 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window
         F.struct("*").alias("row"), F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<struct<start:long,stop:long>>").alias("spans"), F.array().cast("array<string>").alias("items"),
     )
-    kind = found.schema
+    kind, scratch, before = found.schema, Scratch(spark, "contamination"), None
     for block in range(blocks):
         held = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()  # about BLOCK_BYTES of text
-        found = _one_pass(found, kind, ItemAutomaton([normal_words(r.text) for r in held], window), [r.item for r in held])
+        found, sent = _one_pass(found, kind, ItemAutomaton([normal_words(r.text) for r in held], window), [r.item for r in held])
+        if block + 1 < blocks:
+            # one automaton is alive at a time, on the driver and in the workers
+            found = scratch.keep(found)
+            sent.destroy()
+            if before is not None:
+                scratch.drop(before)
+            before = found
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     return found.select("row", "n_words", n_hit.alias("n_hit"), "spans", "items")
 

@@ -137,6 +137,8 @@ def test_contamination(spark, monkeypatch, block):
     found = decontaminate.contamination(spark, docs, items)
     rows = [(r.row.doc_id, r.n_words, r.n_hit, r["items"]) for r in found.collect()]
     assert ordered(rows) == ordered(brute.contamination(TEXTS, [("" if i is None else i, t) for i, t in ITEMS]))
+    # one pass, and so one worker with one automaton, is alive at a time
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     assert decontaminate.contamination(spark, docs.limit(0), items).count() == 0
     assert {r.n_hit for r in decontaminate.contamination(spark, docs, items.limit(0)).collect()} == {0}
 
