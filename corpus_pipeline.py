@@ -2,7 +2,9 @@
 
 Each stage is a function of (spark, docs, sf_dir) and works on all rows that
 the stage before kept. All but the last return the columns of documents; the
-last adds ``copies``, how often the mixture takes a document (never 0).
+last adds ``copies``, how often the mixture takes a document (never 0). Columns of
+any other name are carried along, also such as the operators use themselves; an
+input column ``copies`` is replaced by the last stage. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -19,13 +21,22 @@ BROADCAST_TEXTS = 1_000_000
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject; it learns from the rows of docs that are labelled."""
+    """Documents that the classifier does not reject; it learns from the rows of docs that are labelled.
+
+    Null and empty texts have the score of a text without words, which is not
+    rejected unless the labels say so of such texts; repeated rows share their
+    fate. Without labelled rows every score is 0.5, and all rows stay.
+    """
     model = toxicity.train(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(spark, docs, model).where("NOT rejected").select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines that a document of smaller id holds too; n_chars follows the text."""
+    """Every document, without the lines that a document of smaller id holds too; n_chars follows the text.
+
+    Null and empty texts stay as they are. Rows of one id are one holder of a line,
+    so that repeated rows keep theirs.
+    """
     found = linededup.dedup_lines(spark, docs)
     row = F.when(F.col("n_dropped") == 0, F.col("row")).otherwise(
         F.col("row").withField("text", F.col("text")).withField("n_chars", F.char_length("text").cast("long"))
@@ -53,6 +64,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The document of the smallest id of each group of near copies (five words, similarity 0.8 or more).
 
     Of rows with equal texts one stays, also of those without an id or of one id.
+    Texts without words (null, empty or blank) are like nothing and all stay.
     """
     docs = _one_of_each_text(spark, docs)
     found = minhash.near_duplicates(spark, docs)
@@ -61,12 +73,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of whose words less than a twentieth are benchmark windows."""
+    """Documents of whose words less than a twentieth are benchmark windows.
+
+    Null and empty texts have no words and stay; every row is judged by itself, so
+    repeated rows share their fate. Without benchmark items all stay.
+    """
     return decontaminate.decontaminate(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mixture takes, with how often."""
+    """The documents that the mixture takes, with how often, as the column copies (one of docs is replaced).
+
+    Documents without words (null and empty texts) are never taken. Rows that
+    agree in id, source and size are taken equally often; a null source is one.
+    """
     return mixing.mix(spark, docs.drop("copies")).where("copies > 0").select("row.*", "copies")
 
 
