@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -43,7 +44,14 @@ class Scratch:
         return kept
 
     def drop(self, *tables: DataFrame) -> None:
-        """Delete tables that keep() returned."""
+        """Delete tables that keep() returned, and let Spark clean up behind them.
+
+        It forgets the shuffles and broadcasts of finished steps, and deletes their
+        files, when the driver's garbage is collected. Rounds of small steps leave
+        much of that and little other garbage, so it is collected here.
+        """
         for table in tables:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(table._scratch_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        self.spark._jvm.System.gc()
