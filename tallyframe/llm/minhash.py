@@ -7,8 +7,11 @@
    compared with one pivot, the member with the largest buckets, which in a
    family of near copies is the text that the others vary: signatures first,
    then the full shingle sets. Members that are far from the pivot form the
-   bucket again, without it, and get another pivot. Buckets of a few members,
-   eight times as many each round, are compared whole, so rounds are few.
+   bucket again, without it, and get another pivot. Buckets of a few members are
+   compared whole. What has no pivot after some rounds is dealt into narrower
+   buckets, by the shingles of each text that are rarest among such texts: a pair
+   at similarity t shares one of its n - ceil(t n) + 1 rarest ones (a prefix
+   filter). So no large bucket is ever compared whole, and no pair is lost.
 3. Two members that are not linked to their pivot, or one that is not and one
    that is, can still be linked with each other. Then they share deviations from
    the shingles that most of the family hold: shingles that both have and the
@@ -26,6 +29,7 @@ Pairs that meet are decided on their full sets.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -44,6 +48,8 @@ from .words import BY_SPACE, mixed, runs, sliced
 
 ROWS = 4  # minima in a band
 MISS = 1e-6  # chance that a pair at the threshold shares no band
+FEW = 8  # members of a bucket that are compared with each other
+PIVOTS = 2  # pivots of a bucket before what is far from all of them is dealt into narrower ones
 #: Ids of texts that share a bucket are sent to all tasks up to this number.
 BROADCAST_IDS = 1_000_000
 _SEED = 7919
@@ -149,6 +155,19 @@ def _compared(pairs: DataFrame, leaders: DataFrame, sets: DataFrame, bands: int,
     return with_b.select("a", "b", "star", "share", common.alias("common"), F.size("x_a").alias("n_a"), F.size("x_b").alias("n_b"))
 
 
+def _narrowed(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, id, fame) again, a bucket being the members of one of rest that share one of their rarest shingles."""
+    wanted = sets.join(rest.select("id").distinct(), "id", "left_semi")
+    # rows of one id with different texts have a set each
+    each = wanted.select("id", F.xxhash64("shingles").alias("set"), F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    frequency = each.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
+    # shingles of one text only are the rarest, and meet nothing
+    known = each.join(frequency, "token", "left")
+    rank = F.row_number().over(Window.partitionBy("id", "set").orderBy(F.coalesce("f", F.lit(1)), "token"))
+    rare = known.withColumn("rank", rank).where(f"f > 1 AND rank <= n * {100 - percent} div 100 + 1").select("id", "token").distinct()
+    return rest.join(rare, "id").select(F.xxhash64("key", "token").alias("key"), "id", "fame")
+
+
 def _is_linked(percent: int):
     return F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent
 
@@ -217,6 +236,21 @@ def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return docs.join(wanted, docs.doc_id == ids.id, "left_semi").mapInArrow(sets, "id long, shingles array<long>")
 
 
+def _labelled(sketches: DataFrame, classes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The result for every row of sketches; without labels every class is a component."""
+    whole = sketches.join(classes, "digest", "left")
+    if labels is None:
+        whole = whole.withColumn("component", F.col("leader"))
+    else:
+        whole = whole.join(labels.withColumnRenamed("id", "leader"), "leader", "left")
+    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "leader")).otherwise(F.col("id"))
+    return whole.select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        F.when(F.col("id").isNotNull(), component).alias("component_id"),
+    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents linked at a Jaccard similarity of percent / 100 or more.
 
@@ -231,10 +265,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     bands = bands_for(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = scratch.keep(_sketches(docs, width, bands))
-    classes = sketches.where("n_shingles > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("leader"))
+    # equal sets have equal signatures, so copies collapse in each task
     leaders = scratch.keep(
-        sketches.join(classes, "digest").where("id = leader").dropDuplicates(["digest"]).select("id", "n_shingles", "signature")
+        sketches.where("n_shingles > 0 AND id IS NOT NULL").groupBy("digest")
+        .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     )
+    classes = leaders.select("digest", F.col("id").alias("leader"))
     every = _buckets(leaders, bands)
     sizes = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = scratch.keep(every.join(sizes, "key"))
@@ -242,13 +278,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     rest = scratch.keep(buckets.select("key", "id").join(fame, "id"))
     scratch.drop(buckets)
     sets = scratch.keep(_full_sets(docs, rest.select("id").distinct(), width).dropDuplicates(["id", "shingles"]))
-    found, whole_up_to = [], 4
-    while True:
+    found = []
+    while not rest.isEmpty():
         best = rest.groupBy("key").agg(F.max(F.struct("fame", (-F.col("id")).alias("id"))).alias("top"), F.count("*").alias("n"))
         best = best.where("n > 1").select("key", (-F.col("top.id")).alias("p"), "n")
         met = scratch.keep(rest.join(best, "key"))
         # a few members are compared with each other, more with their pivot
-        few, many = met.where(F.col("n") <= whole_up_to), met.where((F.col("n") > whole_up_to) & (F.col("id") != F.col("p")))
+        few, many = met.where(F.col("n") <= FEW), met.where((F.col("n") > FEW) & (F.col("id") != F.col("p")))
         direct = few.alias("x").join(few.alias("y"), F.expr("x.key = y.key AND x.id > y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(False).alias("star"))
         star = many.select(F.col("id").alias("a"), F.col("p").alias("b"), F.lit(True).alias("star"))
         pairs = direct.unionAll(star).groupBy("a", "b").agg(F.max("star").alias("star"))
@@ -257,12 +293,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
         far = compared.where(F.col("star") & (F.col("share") < SETTLED)).select(F.col("a").alias("id"), F.col("b").alias("p"))
         left = scratch.keep(many.join(far, ["id", "p"]).select("key", "id", "fame"))
         scratch.drop(rest, met)
-        rest, whole_up_to = left, 8 * whole_up_to
-        if rest.isEmpty():
-            break
-    compared = found[0]
-    for part in found[1:]:
-        compared = compared.unionAll(part)
+        rest = left
+        if len(found) == PIVOTS and not rest.isEmpty():
+            rest = scratch.keep(_narrowed(left, sets, percent))
+            scratch.drop(left)
+    if not found:
+        return _labelled(sketches, classes, None)
+    compared = functools.reduce(DataFrame.unionAll, found)
     edges = compared.where(_is_linked(percent)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     labels = scratch.keep(components(edges, scratch))
     family = compared.where("star AND common IS NOT NULL").select(F.col("b").alias("p"), F.col("a").alias("id"), _is_linked(percent).alias("linked"))
@@ -271,10 +308,4 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
         late = _compared(more.withColumn("star", F.lit(False)), leaders, sets, bands, 0.0).where(_is_linked(percent)).select("a", "b")
         labels = scratch.keep(components(edges.unionAll(late), scratch))
     scratch.drop(sets)
-    whole = sketches.join(classes, "digest", "left").join(labels.withColumnRenamed("id", "leader"), "leader", "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "leader")).otherwise(F.col("id"))
-    return whole.select(
-        F.col("id").alias("doc_id"),
-        "n_shingles",
-        F.when(F.col("id").isNotNull(), component).alias("component_id"),
-    ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return _labelled(sketches, classes, labels)

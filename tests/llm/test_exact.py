@@ -180,6 +180,32 @@ def test_near_duplicates_in_families_of_edited_copies(spark, edits):
         assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found.collect()} == brute.near_duplicates(docs, width, percent)
 
 
+def test_near_duplicates_among_texts_that_share_a_passage(spark, monkeypatch):
+    """Buckets full of texts that are far from every pivot are dealt by rare shingles, and no link is lost."""
+    rng, docs = random.Random(5), []
+    passage = [f"p{k}" for k in range(130)]
+    for n in range(70):
+        own = [f"n{n}w{k}" for k in range(110)]
+        docs.append((2 * n, " ".join(passage + own)))
+        if n % 3 == 0:
+            own[rng.randrange(110)] = "edited"
+            docs.append((2 * n + 1, " ".join(passage + own)))
+    docs.append((0, "one id " + " ".join(passage)))
+    dealt, narrowed = [], minhash._narrowed
+
+    def counted(rest, sets, percent):
+        found = narrowed(rest, sets, percent)
+        dealt.append((rest.groupBy("key").count().agg(F.max("count")).first()[0], found.groupBy("key").count().agg(F.max("count")).first()[0]))
+        return found
+
+    monkeypatch.setattr(minhash, "_narrowed", counted)
+    found = minhash.near_duplicates(spark, spark.createDataFrame(docs, "doc_id long, text string"), 3, 85)
+    links = {r.doc_id: (r.component_id, r.kept) for r in found.where("n_shingles > 200").collect()}
+    assert links == {i: (i - i % 2, i % 2 == 0) for i, _ in docs}
+    (before, after), = dealt
+    assert before > 30 and after < 10
+
+
 def test_line_dedup_of_odd_rows(spark, odd, nothing):
     found = linededup.dedup_lines(spark, odd)
     rows = [(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in found.collect()]
