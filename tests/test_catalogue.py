@@ -62,6 +62,28 @@ def test_every_order_of_a_known_customer_is_read(spark):
     assert sum(r.orders_in_table for r in rows) == orders.count()
 
 
+def test_every_part_has_a_header_however_the_tables_are_joined(spark, tmp_path):
+    """Lines of wide rows and their headers may be read by differently many tasks."""
+    n = 3000
+    spark.range(n).selectExpr("id AS c_custkey", "CAST(id % 900 AS DOUBLE) AS c_acctbal", "'BUILDING' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(n).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'F' AS o_orderstatus", "CAST(id AS DOUBLE) AS o_totalprice", "TIMESTAMP'1997-03-04' AS o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    settings = {"spark.sql.shuffle.partitions": "7", "spark.sql.autoBroadcastJoinThreshold": "40k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = {r.rejection_reason: r.rows_found for r in contract.queries()["malformed_rows"](spark, str(tmp_path)).collect()}
+    finally:
+        for name in settings:
+            spark.conf.set(name, before[name]) if before[name] else spark.conf.unset(name)
+    # a long line is a row of its own for each variant but the copies; those without a bill count as missing
+    surplus = sum(rows for reason, rows in found.items() if "malformed_row" in reason.split("|"))
+    longer = [i for i in range(1, n + 1) if i % 11 == 0 and i % 37]
+    assert surplus == len(longer) + sum(i % 97 == 0 for i in longer) + sum(i % 89 == 0 for i in longer)
+
+
 def test_entry(spark):
     found = contract.entry(spark).collect()
     assert [r.alert_status for r in sorted(found)][0] == "BASELINE" and len(found) == 6
