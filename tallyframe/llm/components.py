@@ -22,9 +22,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Number and order-free checksum of the edges."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _kept(edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, dict]:
+    """edges, kept, with their number and an order-free checksum."""
+    return scratch.measured(edges, n=F.count(F.lit(1)), checksum=F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -35,12 +35,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     of a node with many neighbours. Each round is written to the shared folder,
     and the previous one deleted. No edges give no rows.
     """
-    edges = scratch.keep(edges.select("a", "b").distinct())
-    state = _state(edges)
-    while state[0]:
-        step = scratch.keep(_small_star(_large_star(edges)))
+    edges, state = _kept(edges.select("a", "b").distinct(), scratch)
+    while state["n"]:
+        step, after = _kept(_small_star(_large_star(edges)), scratch)
         scratch.drop(edges)
-        edges, before, state = step, state, _state(step)
+        edges, before, state = step, state, after
         if state == before:
             break
     roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()

@@ -13,10 +13,13 @@
    at similarity t shares one of its n - ceil(t n) + 1 rarest ones (a prefix
    filter). So no large bucket is ever compared whole, and no pair is lost.
 3. Two members that are not linked to their pivot, or one that is not and one
-   that is, can still be linked with each other. Then they share deviations from
-   the shingles that most of the family hold: shingles that both have and the
-   majority lacks, or the other way round. With w = t |added| + |removed|, a pair
-   at similarity t or more has at least
+   that is, can still be linked with each other, where no later round compares
+   them. Families whose pivots are of one component are one family. Its members are
+   described by their deviations from the shingles that most of it hold: shingles
+   that they have and the majority lacks (added), or the other way round (removed).
+   With w = t |added| + |removed|, a pair with w1 + w2 <= (1 - t) |majority| is
+   linked. All members that are so with any other are so with the one of least w,
+   and linked with it. Every other pair at similarity t or more has at least
    (w1 + w2 - (1 - t) |majority|) / (1 + t) deviations in common, so one of the
    rarest deviations of either is common (a prefix filter), and only pairs that
    meet there are compared. A family of near copies whose edits differ costs
@@ -175,53 +178,84 @@ def _is_linked(percent: int):
 def _against_majority(sized: DataFrame) -> DataFrame:
     """The same deviations, taken against the shingles that most of a family hold instead of those of its pivot.
 
-    sized has (p, id, ..., n, added, removed), n being the size of the set that they
+    sized has (f, ..., n, added, removed), n being the size of the set that they
     deviate from. What the pivot alone has or lacks is a deviation of all others,
     which all of them would share; against the majority it is nobody's but the
     pivot's, and no deviation is shared by more than half of a family.
     """
-    signed = sized.select("p", F.inline(F.concat(*[F.transform(c, lambda t, s=s: F.struct(t.alias("token"), F.lit(s).alias("sign"))) for c, s in (("added", 1), ("removed", -1))])))
-    size = sized.groupBy("p").agg(F.count("*").alias("members"))
-    common = signed.groupBy("p", "token", "sign").agg(F.count("*").alias("f")).join(size, "p").where("2 * f > members")
+    signed = sized.select("f", F.inline(F.concat(*[F.transform(c, lambda t, s=s: F.struct(t.alias("token"), F.lit(s).alias("sign"))) for c, s in (("added", 1), ("removed", -1))])))
+    size = sized.groupBy("f").agg(F.count("*").alias("members"))
+    common = signed.groupBy("f", "token", "sign").agg(F.count("*").alias("held")).join(size, "f").where("2 * held > members")
     none = F.array().cast("array<long>")
-    turned = common.groupBy("p").agg(*[F.collect_list(F.when(F.col("sign") == s, F.col("token"))).alias(c) for c, s in (("more", 1), ("less", -1))])
-    met = sized.join(turned, "p", "left").withColumns({c: F.coalesce(c, none) for c in ("more", "less")})
+    turned = common.groupBy("f").agg(*[F.collect_list(F.when(F.col("sign") == s, F.col("token"))).alias(c) for c, s in (("more", 1), ("less", -1))])
+    met = sized.join(turned, "f", "left").withColumns({c: F.coalesce(c, none) for c in ("more", "less")})
     added = F.concat(F.array_except("added", "more"), F.array_except("less", "removed"))
     removed = F.concat(F.array_except("removed", "less"), F.array_except("more", "added"))
-    return met.select("p", "id", "linked", "component", (F.col("n") + F.size("more") - F.size("less")).alias("n"), added.alias("added"), removed.alias("removed"))
+    return met.withColumns({"n": F.col("n") + F.size("more") - F.size("less"), "added": added, "removed": removed}).drop("more", "less")
+
+
+def _families(stars: DataFrame, percent: int) -> DataFrame:
+    """(p, id, gone) of the comparisons with pivots: members of which a pair may be linked that no later round compares.
+
+    gone is a member that no round compares again. Two that are not gone meet
+    again in their bucket, so a member that is not is wanted for those that are. Jaccard
+    distance is a metric: linked texts are equally similar to a pivot but for
+    1 - t, so it must come near enough to the least similar of them.
+    """
+    like = F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
+    # an id has several rows here if it has several texts
+    each = stars.groupBy(F.col("b").alias("p"), F.col("a").alias("id")).agg(
+        (F.min("share") >= SETTLED).alias("gone"), F.min(like).alias("least"), F.max(like).alias("most")
+    ).where("most IS NOT NULL")
+    least = each.where("gone").groupBy("p").agg(F.min("least").alias("bound"))
+    reach = F.col("most") + (100 - percent) / 100 + 1e-9
+    return each.join(least, "p").where(F.col("gone") | (reach >= F.col("bound"))).select("p", "id", "gone")
 
 
 def _deviating_pairs(family: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(a, b): members of one family in different components that share enough deviations to be linked.
 
-    family has (p, id, linked): a pivot, a member, and whether they are linked.
+    family has (p, id, gone), see _families. Families of pivots of one component are one,
+    so that a member of many of them is compared once.
     """
-    member = family.join(labels, "id", "left").select("p", "id", "linked", F.coalesce("component", "id").alias("component"))
-    open_ = member.groupBy("p").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")).where("least < most AND n > 1")
-    member = member.join(open_.select("p"), "p")
-    known = member.join(sets.toDF("id", "x"), "id").join(sets.toDF("p", "pivot"), "p")
-    sized = known.select("p", "id", "linked", "component", F.size("pivot").alias("n"), F.array_except("x", "pivot").alias("added"), F.array_except("pivot", "x").alias("removed"))
-    sized = _against_majority(scratch.keep(sized))
-    sized = scratch.keep(sized.withColumn("d", F.size("added") + F.size("removed")))
-    rows = sized.select("p", "id", F.explode(F.concat("added", "removed")).alias("token"))
+    whole = family.join(labels.toDF("p", "f"), "p", "left").withColumn("f", F.coalesce("f", "p"))
+    # the pivot that most members met stands for the others
+    pivot = whole.groupBy("f", "p").agg(F.count("*").alias("n")).groupBy("f").agg(F.max_by("p", F.struct("n", -F.col("p"))).alias("p"))
+    member = whole.groupBy("f", "id").agg(F.max("gone").alias("gone")).join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    member = scratch.keep(member)
+    open_ = member.groupBy("f").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("f")
+    reference = sets.toDF("p", "x").join(pivot.join(open_, "f"), "p").groupBy("f").agg(F.min("x").alias("pivot"))
+    known = member.join(sets.toDF("id", "x"), "id").join(reference, "f")
+    # rows of one id with different texts have a set each
+    sized = known.select("f", "id", F.xxhash64("x").alias("set"), "gone", "component", F.size("pivot").alias("n"), F.array_except("x", "pivot").alias("added"), F.array_except("pivot", "x").alias("removed"))
+    by_pivot = scratch.keep(sized)
+    sized = _against_majority(by_pivot)
     # w and the room (1 - t) n in hundredths, so that all bounds are whole numbers
     w, room = F.size("added") * percent + F.size("removed") * 100, F.col("n") * (100 - percent)
-    members = sized.select("p", "id", "linked", "component", "d", w.alias("w"), room.alias("room"))
-    frequency = rows.groupBy("p", "token").agg(F.count("*").alias("f"))
-    rank = F.row_number().over(Window.partitionBy("p", "id").orderBy("f", "token")) - 1
+    sized = scratch.keep(sized.withColumns({"d": F.size("added") + F.size("removed"), "w": w, "room": room}))
+    scratch.drop(member, by_pivot)
+    # Texts with w1 + w2 <= room are linked whatever they share. All that are so with any are
+    # so with the member of least w; these pairs stand for them, and make them one component.
+    centre = sized.groupBy("f").agg(F.min(F.struct("w", "id", "component")).alias("c")).select("f", F.col("c.w").alias("w0"), F.col("c.id").alias("centre"), F.col("c.component").alias("main"))
+    members = sized.drop("n", "added", "removed").join(centre, "f").withColumn("core", F.col("w") + F.col("w0") <= F.col("room"))
+    near = members.where("core AND component <> main").select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b"))
+    rows = sized.select("f", "id", "set", F.explode(F.concat("added", "removed")).alias("token"))
+    frequency = rows.groupBy("f", "token").agg(F.count("*").alias("held"))
+    rank = F.row_number().over(Window.partitionBy("f", "id", "set").orderBy("held", "token")) - 1
     # a token of one member only has a rank, but meets nothing
-    ranked = rows.join(frequency, ["p", "token"]).withColumn("rank", rank).where("f > 1").join(members, ["p", "id"])
-    # at least so many deviations in common, whatever the other text is
-    unlinked = ranked.where("NOT linked").where(F.col("rank") <= F.col("d") - F.greatest(F.lit(1), F.ceil((F.col("w") - F.col("room")) / 100)))
-    every = ranked.where(F.col("rank") < F.col("d") - F.floor(F.col("w") / (100 + percent)))
+    ranked = rows.join(frequency, ["f", "token"]).withColumn("rank", rank).where("held > 1")
+    ranked = ranked.join(members.withColumn("main", F.expr("core OR component = main")), ["f", "id", "set"])
+    # at least so many deviations in common, whatever the other text is: one of both is not of the core
+    unlinked = ranked.where("NOT main").where(F.col("rank") <= F.col("d") - F.greatest(F.lit(1), F.ceil((F.col("w") - F.col("room")) / 100)))
+    every = ranked.where(F.col("rank") <= F.col("d") - F.greatest(F.lit(1), F.ceil((F.col("w") - F.col("w0") + 1) / (100 + percent))))
     met = unlinked.alias("x").join(
         every.alias("y"),
         F.expr(
-            "x.p = y.p AND x.token = y.token AND x.component <> y.component AND (y.linked OR x.id > y.id)"
+            "x.f = y.f AND x.token = y.token AND x.component <> y.component AND (x.gone OR y.gone) AND (y.main OR x.id > y.id)"
             f" AND greatest(x.rank - x.d, y.rank - y.d) <= -ceil((x.w + y.w - x.room) / {100 + percent})"
         ),
     )
-    return met.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
+    return met.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).unionAll(near).distinct()
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -275,11 +309,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     sizes = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = scratch.keep(every.join(sizes, "key"))
     fame = buckets.groupBy("id").agg(F.sum("n").alias("fame"))
-    rest = scratch.keep(buckets.select("key", "id").join(fame, "id"))
+    size = {"n": F.count(F.lit(1))}
+    rest, left = scratch.measured(buckets.select("key", "id").join(fame, "id"), **size)
     scratch.drop(buckets)
     sets = scratch.keep(_full_sets(docs, rest.select("id").distinct(), width).dropDuplicates(["id", "shingles"]))
     found = []
-    while not rest.isEmpty():
+    while left["n"]:
         best = rest.groupBy("key").agg(F.max(F.struct("fame", (-F.col("id")).alias("id"))).alias("top"), F.count("*").alias("n"))
         best = best.where("n > 1").select("key", (-F.col("top.id")).alias("p"), "n")
         met = scratch.keep(rest.join(best, "key"))
@@ -291,20 +326,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
         compared = scratch.keep(_compared(pairs, leaders, sets, bands, FAMILY))
         found.append(compared)
         far = compared.where(F.col("star") & (F.col("share") < SETTLED)).select(F.col("a").alias("id"), F.col("b").alias("p"))
-        left = scratch.keep(many.join(far, ["id", "p"]).select("key", "id", "fame"))
-        scratch.drop(rest, met)
-        rest = left
-        if len(found) == PIVOTS and not rest.isEmpty():
-            rest = scratch.keep(_narrowed(left, sets, percent))
-            scratch.drop(left)
+        before = rest
+        rest, left = scratch.measured(many.join(far, ["id", "p"]).select("key", "id", "fame"), **size)
+        scratch.drop(before, met)
+        if len(found) == PIVOTS and left["n"]:
+            before = rest
+            rest, left = scratch.measured(_narrowed(before, sets, percent), **size)
+            scratch.drop(before)
     if not found:
         return _labelled(sketches, classes, None)
     compared = functools.reduce(DataFrame.unionAll, found)
     edges = compared.where(_is_linked(percent)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     labels = scratch.keep(components(edges, scratch))
-    family = compared.where("star AND common IS NOT NULL").select(F.col("b").alias("p"), F.col("a").alias("id"), _is_linked(percent).alias("linked"))
-    more = scratch.keep(_deviating_pairs(family.groupBy("p", "id").agg(F.max("linked").alias("linked")), sets, labels, percent, scratch))
-    if not more.isEmpty():
+    more, met = scratch.measured(_deviating_pairs(_families(compared.where("star"), percent), sets, labels, percent, scratch), **size)
+    if met["n"]:
         late = _compared(more.withColumn("star", F.lit(False)), leaders, sets, bands, 0.0).where(_is_linked(percent)).select("a", "b")
         labels = scratch.keep(components(edges.unionAll(late), scratch))
     scratch.drop(sets)

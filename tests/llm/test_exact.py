@@ -180,6 +180,35 @@ def test_near_duplicates_in_families_of_edited_copies(spark, edits):
         assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found.collect()} == brute.near_duplicates(docs, width, percent)
 
 
+def test_members_of_many_families_are_described_once(spark, monkeypatch):
+    """Pivots that are linked with each other have one family, so that rows grow with the members, not with their pivots."""
+    rng, docs = random.Random(3), []
+    base = [f"w{k}" for k in range(120)]
+    for member in range(150):
+        words = list(base)
+        for _ in range(rng.randrange(9)):
+            words[rng.randrange(120)] = f"e{rng.random()}"
+        docs.append((member, " ".join(words)))
+    described, turned = [], minhash._against_majority
+
+    def counted(sized):
+        described.append((sized.count(), sized.select("id").distinct().count()))
+        return turned(sized)
+
+    monkeypatch.setattr(minhash, "_against_majority", counted)
+    found = minhash.near_duplicates(spark, spark.createDataFrame(docs, "doc_id long, text string"), 3, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found.collect()} == brute.near_duplicates(docs, 3, 85)
+    (rows, members), = described
+    assert members > 100 and rows < 1.2 * members
+
+
+def test_counts_of_kept_rows_are_those_written(spark):
+    rows = spark.range(0, 1000, 1, 7)
+    for few in (1000, 1, 0):
+        kept, seen = Scratch(spark, "measured").measured(rows.where(f"id < {few}").distinct(), n=F.count(F.lit(1)), total=F.sum("id"))
+        assert (kept.count(), kept.agg(F.sum("id")).first()[0]) == (seen["n"], seen["total"]) and seen["n"] == few
+
+
 def test_near_duplicates_among_texts_that_share_a_passage(spark, monkeypatch):
     """Buckets full of texts that are far from every pivot are dealt by rare shingles, and no link is lost."""
     rng, docs = random.Random(5), []
