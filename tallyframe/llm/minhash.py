@@ -52,6 +52,7 @@ from .words import BY_SPACE, mixed, runs, sliced
 ROWS = 4  # minima in a band
 MISS = 1e-6  # chance that a pair at the threshold shares no band
 FEW = 8  # members of a bucket that are compared with each other
+SLOT_BITS = 20  # of the number of counters that estimate the frequencies of shingles
 PIVOTS = 2  # pivots of a bucket before what is far from all of them is dealt into narrower ones
 #: Ids of texts that share a bucket are sent to all tasks up to this number.
 BROADCAST_IDS = 1_000_000
@@ -158,17 +159,69 @@ def _compared(pairs: DataFrame, leaders: DataFrame, sets: DataFrame, bands: int,
     return with_b.select("a", "b", "star", "share", common.alias("common"), F.size("x_a").alias("n_a"), F.size("x_b").alias("n_b"))
 
 
+def _slots(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """The counter of each shingle: its upper bits, for shingles are hashes."""
+    return (shingles.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _frequencies(wanted: DataFrame, bits: int) -> np.ndarray:
+    """How many of the sets hold a shingle of each counter, 65,535 standing for more: never less than hold one shingle.
+
+    Each task counts its own sets; a row is a block of counters, whatever the sets hold.
+    """
+    counters, block = 1 << bits, 1 << min(bits, 12)
+
+    def count(batches):
+        counts = np.zeros(counters, dtype=np.uint32)
+        for batch in batches:
+            for lo in range(0, len(batch), 1024):
+                counts += np.bincount(_slots(batch.column(0).slice(lo, 1024).flatten().to_numpy(), bits), minlength=counters).astype(np.uint32)
+        places = [at for at in range(0, counters, block) if counts[at : at + block].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array([counts[at : at + block].tobytes() for at in places], pa.binary())], ["at", "counts"])
+
+    def total(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
+        counts = np.zeros(block, dtype=np.int64)
+        for part in parts["counts"]:
+            counts += np.frombuffer(part, dtype=np.uint32)
+        return pd.DataFrame({"at": [key[0]], "counts": [np.minimum(counts, 65_535).astype(np.uint16).tobytes()]})
+
+    parts = wanted.select("shingles").mapInArrow(count, "at long, counts binary")
+    frequency = np.zeros(counters, dtype=np.uint16)
+    for at, counts in parts.groupBy("at").applyInPandas(total, "at long, counts binary").collect():
+        frequency[at : at + block] = np.frombuffer(counts, dtype=np.uint16)
+    return frequency
+
+
+def _rarest(wanted: DataFrame, percent: int, bits: int = SLOT_BITS) -> DataFrame:
+    """(id, tokens): of each set the rarest shingles, of which a linked set has one among its own rarest ones.
+
+    Any order of all shingles would do; that by estimated frequency keeps what many
+    sets hold for the last. Shingles of one set only meet nothing and are left out.
+    """
+    estimated = wanted.sparkSession.sparkContext.broadcast(_frequencies(wanted, bits))
+
+    def rarest(batches):
+        frequency = estimated.value
+        for batch in batches:
+            found = []
+            for lo in range(len(batch)):
+                shingles = batch.column(1).slice(lo, 1).flatten().to_numpy()
+                held = frequency[_slots(shingles, bits)]
+                first = np.lexsort((shingles, held))[: len(shingles) * (100 - percent) // 100 + 1]
+                found.append(shingles[first[held[first] > 1]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "tokens"])
+
+    return wanted.select("id", "shingles").mapInArrow(rarest, "id long, tokens array<long>")
+
+
 def _narrowed(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(key, id, fame) again, a bucket being the members of one of rest that share one of their rarest shingles."""
-    wanted = sets.join(rest.select("id").distinct(), "id", "left_semi")
+    wanted = sets.join(rest.select("id").distinct().hint("merge"), "id", "left_semi")
     # rows of one id with different texts have a set each
-    each = wanted.select("id", F.xxhash64("shingles").alias("set"), F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
-    frequency = each.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
-    # shingles of one text only are the rarest, and meet nothing
-    known = each.join(frequency, "token", "left")
-    rank = F.row_number().over(Window.partitionBy("id", "set").orderBy(F.coalesce("f", F.lit(1)), "token"))
-    rare = known.withColumn("rank", rank).where(f"f > 1 AND rank <= n * {100 - percent} div 100 + 1").select("id", "token").distinct()
-    return rest.join(rare, "id").select(F.xxhash64("key", "token").alias("key"), "id", "fame")
+    rare = _rarest(wanted, percent).select("id", F.explode("tokens").alias("token")).distinct()
+    shared = rare.groupBy("token").agg(F.count("*").alias("f")).where("f > 1").select("token")
+    rare = rare.join(shared.hint("merge"), "token")
+    return rest.join(rare.hint("merge"), "id").select(F.xxhash64("key", "token").alias("key"), "id", "fame")
 
 
 def _is_linked(percent: int):

@@ -1,5 +1,6 @@
 """Operators with one right answer, against plain Python."""
 
+import itertools
 import random
 import re
 from collections import Counter
@@ -235,6 +236,26 @@ def test_near_duplicates_among_texts_that_share_a_passage(spark, monkeypatch):
     assert before > 30 and after < 10
 
 
+@pytest.mark.parametrize("bits", [20, 3])
+def test_rarest_shingles_of_linked_texts_meet(spark, bits):
+    """Few rows come of long texts with a common passage, and linked ones share a row however crowded the counters are."""
+    rng, docs = random.Random(bits), []
+    for n in range(40):
+        own = list(range(300)) + [1000 * n + k for k in range(1000, 1200)]
+        docs.append(sorted(rng.sample(own, len(own))))
+        docs.append(sorted(rng.sample(own, len(own) - 36)))
+    docs += [[], [7], [7], [8]]
+    spread = [[words.mixed(np.array([t], dtype=np.uint64)).view(np.int64)[0].item() for t in d] for d in docs]
+    sets = spark.createDataFrame(list(enumerate(spread)), "id long, shingles array<long>")
+    rarest = {r.id: r.tokens for r in minhash._rarest(sets, 85, bits).collect()}
+    assert sorted(rarest) == list(range(len(docs)))
+    for a, b in itertools.combinations(range(len(docs)), 2):
+        one, other = set(spread[a]), set(spread[b])
+        if 100 * len(one & other) >= 85 * len(one | other) > 0:
+            assert set(rarest[a]) & set(rarest[b])
+    assert sum(map(len, rarest.values())) < 0.2 * sum(map(len, docs))
+
+
 def test_line_dedup_of_odd_rows(spark, odd, nothing):
     found = linededup.dedup_lines(spark, odd)
     rows = [(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in found.collect()]
