@@ -12,13 +12,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest node of its neighbourhood."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    return both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = edges.join(least.hint("merge"), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 
 

@@ -26,6 +26,9 @@
    rows in proportion to its edits, not to its pairs.
 4. Linked documents are joined to components.
 
+Joins of tables that are both shuffled by the same key are merge joins on small inputs
+too: to broadcast a side after its shuffle would cost the driver memory in each of many steps.
+
 Two linked texts miss each other in all buckets with probability MISS at most.
 Pairs that meet are decided on their full sets.
 """
@@ -147,7 +150,7 @@ def _compared(pairs: DataFrame, leaders: DataFrame, sets: DataFrame, bands: int,
     """
     signatures = leaders.select("id", "signature")
     likely = (
-        pairs.join(signatures.toDF("a", "s_a"), "a").join(signatures.toDF("b", "s_b"), "b")
+        pairs.join(signatures.toDF("a", "s_a").hint("merge"), "a").join(signatures.toDF("b", "s_b"), "b")
         .select("a", "b", "star", (_equal_minima("s_a", "s_b") / F.lit(ROWS * bands)).alias("share"))
     )
     near = F.col("share") >= least
@@ -278,7 +281,7 @@ def _deviating_pairs(family: DataFrame, sets: DataFrame, labels: DataFrame, perc
     member = scratch.keep(member)
     open_ = member.groupBy("f").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("f")
     reference = sets.toDF("p", "x").join(pivot.join(open_, "f"), "p").groupBy("f").agg(F.min("x").alias("pivot"))
-    known = member.join(sets.toDF("id", "x"), "id").join(reference, "f")
+    known = member.join(sets.toDF("id", "x").hint("merge"), "id").join(reference, "f")
     # rows of one id with different texts have a set each
     sized = known.select("f", "id", F.xxhash64("x").alias("set"), "gone", "component", F.size("pivot").alias("n"), F.array_except("x", "pivot").alias("added"), F.array_except("pivot", "x").alias("removed"))
     by_pivot = scratch.keep(sized)
@@ -296,13 +299,13 @@ def _deviating_pairs(family: DataFrame, sets: DataFrame, labels: DataFrame, perc
     frequency = rows.groupBy("f", "token").agg(F.count("*").alias("held"))
     rank = F.row_number().over(Window.partitionBy("f", "id", "set").orderBy("held", "token")) - 1
     # a token of one member only has a rank, but meets nothing
-    ranked = rows.join(frequency, ["f", "token"]).withColumn("rank", rank).where("held > 1")
-    ranked = ranked.join(members.withColumn("main", F.expr("core OR component = main")), ["f", "id", "set"])
+    ranked = rows.join(frequency.hint("merge"), ["f", "token"]).withColumn("rank", rank).where("held > 1")
+    ranked = ranked.join(members.withColumn("main", F.expr("core OR component = main")).hint("merge"), ["f", "id", "set"])
     # at least so many deviations in common, whatever the other text is: one of both is not of the core
     unlinked = ranked.where("NOT main").where(F.col("rank") <= F.col("d") - F.greatest(F.lit(1), F.ceil((F.col("w") - F.col("room")) / 100)))
     every = ranked.where(F.col("rank") <= F.col("d") - F.greatest(F.lit(1), F.ceil((F.col("w") - F.col("w0") + 1) / (100 + percent))))
     met = unlinked.alias("x").join(
-        every.alias("y"),
+        every.hint("merge").alias("y"),
         F.expr(
             "x.f = y.f AND x.token = y.token AND x.component <> y.component AND (x.gone OR y.gone) AND (y.main OR x.id > y.id)"
             f" AND greatest(x.rank - x.d, y.rank - y.d) <= -ceil((x.w + y.w - x.room) / {100 + percent})"
@@ -360,27 +363,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = 5, percen
     classes = leaders.select("digest", F.col("id").alias("leader"))
     every = _buckets(leaders, bands)
     sizes = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = scratch.keep(every.join(sizes, "key"))
+    buckets = scratch.keep(every.join(sizes.hint("merge"), "key"))
     fame = buckets.groupBy("id").agg(F.sum("n").alias("fame"))
     size = {"n": F.count(F.lit(1))}
-    rest, left = scratch.measured(buckets.select("key", "id").join(fame, "id"), **size)
+    rest, left = scratch.measured(buckets.select("key", "id").join(fame.hint("merge"), "id"), **size)
     scratch.drop(buckets)
     sets = scratch.keep(_full_sets(docs, rest.select("id").distinct(), width).dropDuplicates(["id", "shingles"]))
     found = []
     while left["n"]:
         best = rest.groupBy("key").agg(F.max(F.struct("fame", (-F.col("id")).alias("id"))).alias("top"), F.count("*").alias("n"))
         best = best.where("n > 1").select("key", (-F.col("top.id")).alias("p"), "n")
-        met = scratch.keep(rest.join(best, "key"))
+        met = scratch.keep(rest.join(best.hint("merge"), "key"))
         # a few members are compared with each other, more with their pivot
         few, many = met.where(F.col("n") <= FEW), met.where((F.col("n") > FEW) & (F.col("id") != F.col("p")))
-        direct = few.alias("x").join(few.alias("y"), F.expr("x.key = y.key AND x.id > y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(False).alias("star"))
+        direct = few.alias("x").join(few.hint("merge").alias("y"), F.expr("x.key = y.key AND x.id > y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(False).alias("star"))
         star = many.select(F.col("id").alias("a"), F.col("p").alias("b"), F.lit(True).alias("star"))
         pairs = direct.unionAll(star).groupBy("a", "b").agg(F.max("star").alias("star"))
         compared = scratch.keep(_compared(pairs, leaders, sets, bands, FAMILY))
         found.append(compared)
         far = compared.where(F.col("star") & (F.col("share") < SETTLED)).select(F.col("a").alias("id"), F.col("b").alias("p"))
         before = rest
-        rest, left = scratch.measured(many.join(far, ["id", "p"]).select("key", "id", "fame"), **size)
+        rest, left = scratch.measured(many.join(far.hint("merge"), ["id", "p"]).select("key", "id", "fame"), **size)
         scratch.drop(before, met)
         if len(found) == PIVOTS and left["n"]:
             before = rest

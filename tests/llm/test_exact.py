@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tallyframe.llm import components, decontaminate, licenses, linededup, minhash, rlz, words
+from tallyframe.llm import components, decontaminate, licenses, linededup, minhash, rlz, scratch, words
 from tallyframe.llm.oracles import ORACLES
 from tallyframe.llm.scratch import Scratch
 
@@ -256,6 +256,20 @@ def test_rarest_shingles_of_linked_texts_meet(spark, bits):
     assert sum(map(len, rarest.values())) < 0.2 * sum(map(len, docs))
 
 
+def test_garbage_is_not_collected_after_every_small_step(spark, monkeypatch):
+    collected = []
+    monkeypatch.setattr(scratch.gc, "collect", lambda: collected.append(1))
+    monkeypatch.setattr(Scratch, "_collected", float("-inf"))
+    tables = Scratch(spark, "small")
+    # the second and third of them collect after each keep and drop, for time or for a full heap
+    for every, crowded, most in ((3600.0, 2.0, 1), (0.0, 2.0, 9), (3600.0, 0.0, 17)):
+        monkeypatch.setattr(scratch, "COLLECT_EVERY", every)
+        monkeypatch.setattr(scratch, "CROWDED", crowded)
+        for n in range(4):
+            tables.drop(tables.keep(spark.range(n)))
+        assert len(collected) == most
+
+
 def test_line_dedup_of_odd_rows(spark, odd, nothing):
     found = linededup.dedup_lines(spark, odd)
     rows = [(r.doc_id, r.n_lines, r.n_dropped, r.text) for r in found.collect()]
